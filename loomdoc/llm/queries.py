@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing
+from . import decontaminate, jaccard, mixing
 from .common import table
 
 QUERIES: dict = {}
@@ -30,3 +30,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_decontaminate")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_ngram_jaccard")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
