@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, mixing
+from . import decontaminate, fingerprint, jaccard, mixing
 from .common import table
 
 QUERIES: dict = {}
@@ -35,3 +35,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ngram_jaccard")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+@query("op10_fingerprint")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(table(spark, sf_dir, "documents"))
