@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard, mixing
+from . import decontaminate, fingerprint, jaccard, mixing, quality
 from .common import table
 
 QUERIES: dict = {}
@@ -40,3 +40,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprint")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, quality.train(docs, labels))
