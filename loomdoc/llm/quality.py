@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
 A document is the mean of the learned vectors of its words and of its words' byte n-grams
-(3 and 4, with word ends), hashed into BUCKETS; a softmax layer gives the two classes.  Vectors and layer
+(3 and 4, with word ends), hashed into BUCKETS, and of a token for each word repeated within REPEATS
+places (vectors of single words cannot show that); a softmax layer gives the two classes.  Vectors and layer
 are trained together by numpy stochastic gradient descent on the driver, on a bounded
 sample: TRAIN_ROWS labelled documents, those with the smallest hashes of their ids.  As the
 layer is linear, a trained bucket reduces to one number, so scoring gathers one float per feature.
@@ -27,6 +28,7 @@ from .textkernel import SPACE, Words, text_chunks
 
 TRAIN_ROWS, BUCKET_BITS, DIM, EPOCHS, RATE = 4000, 18, 8, 6, 4.0
 BUCKETS = 1 << BUCKET_BITS
+REPEATS = (1, 2, 3)
 
 
 def _hashed(values: np.ndarray, salt: int) -> np.ndarray:
@@ -44,6 +46,11 @@ def _features(data: np.ndarray, offs: np.ndarray) -> tuple[list[np.ndarray], lis
     firsts = words.cut[words.bounds] + words.bounds
     parts = [(words.hash >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)]
     bounds = [words.bounds]
+    doc = words.doc_of()
+    for back in REPEATS:  # a token of its own wherever a word is that of so many places before
+        same = np.flatnonzero((words.hash[back:] == words.hash[:-back]) & (doc[back:] == doc[:-back])) + back
+        parts.append(np.full(len(same), back, np.int32))
+        bounds.append(np.searchsorted(same, words.bounds))
     wide = line.astype(np.uint32)
     for size in (3, 4):
         if len(line) < size:
