@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard, mixing, quality
+from . import decontaminate, fingerprint, jaccard, lines, mixing, quality
 from .common import table
 
 QUERIES: dict = {}
@@ -46,3 +46,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.score(docs, quality.train(docs, labels))
+
+
+@query("op9_line_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.decide(table(spark, sf_dir, "documents"))
