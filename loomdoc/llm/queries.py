@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard, lines, mixing, quality
+from . import chat, decontaminate, fingerprint, jaccard, lines, mixing, quality
 from .common import table
 
 QUERIES: dict = {}
@@ -51,3 +51,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_line_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.decide(table(spark, sf_dir, "documents"))
+
+
+@query("op3_chat")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.windows(chat.probe(table(spark, sf_dir, "conversations"))))
