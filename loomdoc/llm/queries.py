@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, fingerprint, jaccard, lines, mixing, quality
+from . import chat, decontaminate, fingerprint, jaccard, lines, mixing, quality, urlfilter
 from .common import table
 
 QUERIES: dict = {}
@@ -56,3 +56,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_chat")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(chat.probe(table(spark, sf_dir, "conversations"))))
+
+
+@query("op5_url_filter")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
