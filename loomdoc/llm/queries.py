@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, fingerprint, jaccard, lines, mixing, quality, urlfilter
+from . import chat, decontaminate, fingerprint, jaccard, lines, mixing, quality, urlfilter, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -61,3 +61,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_url_filter")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
