@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, fingerprint, jaccard, lines, mixing, quality, urlfilter, warc
+from . import chat, decontaminate, fingerprint, jaccard, lines, lm, mixing, quality, urlfilter, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -66,3 +66,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_warc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
+
+
+@query("op8_lm_score")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
