@@ -35,7 +35,7 @@ from .common import written
 from .textkernel import SPACE, Words, text_chunks
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-SAMPLE_DOCS, TUNE_ONE_IN, CLASSES, GROUPS, BANDS, FREQUENT = 600, 64, 1024, 32, 16, 500_000
+SAMPLE_DOCS, EPOCHS, TUNE_ONE_IN, CLASSES, GROUPS, BANDS, FREQUENT = 1000, 3, 64, 1024, 32, 16, 500_000
 _BATCH = 128
 END_WORD = 0  # stands for the end among word hashes
 WORD, PAIR = 0, 1
@@ -252,8 +252,8 @@ def train(docs: DataFrame, pairs: DataFrame, table: dict[bytes, int], shared) ->
     texts = [t for _, t in sorted(map(tuple, rows))]
     model = scorer.model
     if texts:
-        half = len(texts) // 2
-        model.fit(_batches(scorer, coder, iter([pa.array(texts[:half], pa.large_string()), pa.array(texts[half:], pa.large_string())]), 1))
+        column = pa.array(texts, pa.large_string())
+        model.fit(_batches(scorer, coder, iter([column] * EPOCHS), 1))
     begun = spark.sparkContext.broadcast(scorer)
 
     def tune(batches):
