@@ -195,3 +195,6 @@ def q18_chunk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = C.chunks(pack)
     out = C.quality(found, C.source_spans(pack), C.scores(found), _documents(spark, sf_dir))
     return out.select(*[F.round(c, 4).alias(c) if kind == "double" else c for c, kind in out.dtypes])
+
+
+from . import topicqueries, selectqueries  # noqa: E402, F401

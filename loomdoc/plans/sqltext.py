@@ -88,7 +88,7 @@ def tfidf(source: str, keys: str, order: str, k: int, name: str = "top") -> str:
     on = " AND ".join(f"t.{x} = n.{x}" for x in n)
     return f"""{name}s AS (SELECT {keys}, {order}, string_split({collapsed('lower(text)')}, ' ') AS ws FROM {source}),
 {name}u AS (SELECT {keys}, {order}, unnest(ws) AS term, generate_subscripts(ws, 1) AS pos FROM {name}s),
-{name}p AS (SELECT {keys}, {order}, term, count(*) AS tf, min(at) AS pos FROM {name}u WHERE length(term) >= 3 GROUP BY ALL),
+{name}p AS (SELECT {keys}, {order}, term, count(*) AS tf, min(pos) AS pos FROM {name}u WHERE length(term) >= 3 GROUP BY ALL),
 {name}g AS (SELECT {keys}, term, sum(tf) AS tf, count(*) AS df, min(({order}, pos)) AS f FROM {name}p GROUP BY ALL),
 {name}n AS (SELECT {keys}, count(*) AS n FROM {source} WHERE {strip('text')} <> '' GROUP BY ALL),
 {name}r AS (SELECT {', '.join(f't.{x}' for x in n)}, term, CAST(tf * (ln((n.n + 1) / (df + 1)) + 1) AS DOUBLE) AS score, f FROM {name}g t JOIN {name}n n ON {on}),
