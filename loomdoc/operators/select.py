@@ -95,7 +95,7 @@ def explanation(config: Config) -> Column:
         F.filter(F.array(*[F.struct((-F.col(f"{n.lower()}_part")).alias("v"), F.lit(i).alias("i"), F.lit(LABELS[n]).alias("label")) for i, n in enumerate("KECTP")]), lambda x: x["v"] < 0)
     )
     why = F.array_join(F.slice(order, 1, 3)["label"], ", ")
-    strong = F.concat(F.lit("Dominio '"), F.col("domain"), F.lit("' seleccionado por "), why, F.lit(". (precisión_kw="), F.format_string("%.2f", F.col("precision")), F.lit(", recall_kw="), F.format_string("%.2f", F.col("recall")), F.lit(")"))
+    strong = F.concat(F.lit("Dominio '"), F.col("domain"), F.lit("' seleccionado por "), why, F.lit(". (precisión_kw="), F.format_string("%.2f", F.bround("precision", 2)), F.lit(", recall_kw="), F.format_string("%.2f", F.bround("recall", 2)), F.lit(")"))
     weak = F.concat(F.lit("Dominio '"), F.col("domain"), F.lit("' seleccionado con señales débiles; se recomienda fallback genérico."))
     return F.when(F.size(order) > 0, strong).otherwise(weak)
 
