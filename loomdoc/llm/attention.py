@@ -55,26 +55,47 @@ class Model:
         return own @ p["Wr"] + o @ p["Wo"], (e, own, q, k, v, s, o)
 
     def _by_group(self, group: np.ndarray):
+        group = group.astype(np.uint8)  # sorted by radix
         order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(self.groups + 1))
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.groups))])
         for g in np.flatnonzero(np.diff(cuts)):
             yield g, order[cuts[g] : cuts[g + 1]]
 
-    def logprob(self, x: np.ndarray, valid: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log probability of the target classes (batch, STEP)."""
-        h = self.attend(x, valid)[0].reshape(-1, DIM)
-        unit, target_ = x[:, OVERLAP:].ravel(), target.ravel()
-        group, place = np.divmod(target_, self.size)
+    def tables(self) -> tuple:
+        """Everything about a unit that does not depend on its context: query, key (with a place for its mask),
+        value, logits of groups and classes; the bias of distances; computed once for scoring."""
+        p, far, causal = self.p, *self.distances()
+        q, k = p["E"] @ (p["Wq"] * F32(DIM**-0.5)), p["E"] @ p["Wk"]
+        top = float((q @ k.T).max() + p["R"].max())
+        bias = np.where(causal, p["R"][far] - F32(max(0.0, top - 60)), F32(-1e9)).astype(F32)  # exp stays finite
+        own = p["E"] @ p["Wr"]
+        q, k = np.c_[q, np.ones(len(q), F32)], np.c_[k, np.zeros(len(k), F32)]
+        return q, k, p["E"] @ (p["Wv"] @ p["Wo"]), own @ p["G"].T + self.first, own @ p["U"].T + self.then, bias
+
+    def logprob(self, x: np.ndarray, valid: np.ndarray, target: np.ndarray, tables: tuple) -> np.ndarray:
+        """Natural log probability of the target classes (batch, STEP); tables: of tables()."""
+        q, k, v, first, then, bias = tables
+        key = k[x]
+        key[..., -1] = np.where(valid, F32(0), F32(-1e9))
+        s = q[x[:, OVERLAP:]] @ key.transpose(0, 2, 1)
+        s += bias
+        np.exp(s, out=s)
+        h = s @ v[x]
+        h /= s.sum(axis=-1, keepdims=True)
+        h = h.reshape(-1, DIM)
+        unit, group = x[:, OVERLAP:].ravel(), target.ravel() // self.size
+        place = target.ravel() - group * self.size
         z = h @ self.p["G"].T
-        z += self.first[unit]
+        z += first[unit]
         out = z[np.arange(len(z)), group]
         out -= np.log(np.exp(z, out=z).sum(axis=1))
         for g, rows in self._by_group(group):
             own = slice(g * self.size, (g + 1) * self.size)
             z = h[rows] @ self.p["U"][own].T
-            z += self.then[unit[rows], own]
-            out[rows] += z[np.arange(len(z)), place[rows]]
-            out[rows] -= np.log(np.exp(z, out=z).sum(axis=1))
+            z += then[unit[rows], own]
+            told = z[np.arange(len(z)), place[rows]]
+            told -= np.log(np.exp(z, out=z).sum(axis=1))
+            out[rows] += told
         return out.reshape(target.shape)
 
     def gradients(self, x: np.ndarray, valid: np.ndarray, target: np.ndarray, scored: np.ndarray) -> tuple[float, dict]:

@@ -67,7 +67,7 @@ class Coder:
     def tokens(self, w: Words, unique: np.ndarray, where: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids of all documents of a chunk, an end after each, and bounds.
         unique, where, inverse: np.unique of the word hashes."""
-        if len(self.slots) > 1 << 20:
+        if len(self.slots) > 1 << 19:
             self._clear()
         slots = np.empty(len(unique), np.int64)
         flat, lens = [], []
@@ -163,14 +163,14 @@ class Scorer:
         x[bounds[:-1]] = CLASSES  # the unit before a document
         return windows(x, self.place[self.code[ids]], bounds), self.share[ids]
 
-    def logprobs(self, coder: Coder, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each document."""
+    def logprobs(self, coder: Coder, ids: np.ndarray, bounds: np.ndarray, tables: tuple) -> np.ndarray:
+        """log10 probability of each document; tables: of the model."""
         (x, valid, target, places), out = self.stream(coder, ids, bounds)
         out = out.astype(np.float64)
-        for i in range(0, len(x), 512):
-            at = places[i : i + 512]
+        for i in range(0, len(x), 1024):
+            at = places[i : i + 1024]
             real = at >= 0
-            out[at[real]] += self.model.logprob(x[i : i + 512], valid[i : i + 512], target[i : i + 512])[real]
+            out[at[real]] += self.model.logprob(x[i : i + 1024], valid[i : i + 1024], target[i : i + 1024], tables)[real]
         return np.add.reduceat(out, bounds[:-1]) / np.log(10)
 
 
@@ -280,6 +280,7 @@ _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, logs doub
 def _score(batches: Iterator[pa.RecordBatch], shared, model, common) -> Iterator[pa.RecordBatch]:
     coder, scorer = Coder(shared.value), model.value
     hashes, logs = common.value
+    tables = scorer.model.tables()
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
         out: list[list] = [[] for _ in range(5)]
@@ -299,7 +300,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared, model, common) -> Iterator
             rare = w.hash[~is_known]
             sizes.append(n - found)
             ids, bounds = coder.tokens(w, unique, where, inverse)
-            for c, x in zip(out, (n + 1, found, sums, scorer.logprobs(coder, ids, bounds), rare.view(np.int64)), strict=True):
+            for c, x in zip(out, (n + 1, found, sums, scorer.logprobs(coder, ids, bounds, tables), rare.view(np.int64)), strict=True):
                 c.append(x)
         if not out[0]:
             continue
