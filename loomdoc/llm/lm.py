@@ -179,7 +179,7 @@ def _coded(pairs: DataFrame, size: int) -> tuple[Model, np.ndarray, np.ndarray,
     spark = pairs.sparkSession
     single = pairs.groupBy(F.col("key").bitwiseAND((1 << 20) - 1).alias("id")).agg(F.sum("n").alias("n")).toPandas()  # a row per subword at most
     n = np.zeros(size, np.float64)
-    n[single["id"].to_numpy()] = single["n"].to_numpy()
+    n[single["id"].to_numpy().astype(np.int64)] = single["n"].to_numpy()
     order = np.lexsort((np.arange(size), -n))
     code = CLASSES - BANDS + np.arange(size) % BANDS
     code[order[: CLASSES - BANDS]] = np.arange(CLASSES - BANDS)
@@ -191,7 +191,7 @@ def _coded(pairs: DataFrame, size: int) -> tuple[Model, np.ndarray, np.ndarray,
     both = pairs.withColumn("i", F.shiftright("key", 20)).withColumn("j", F.col("key").bitwiseAND((1 << 20) - 1))
     found = both.join(F.broadcast(left), "i").join(F.broadcast(right), "j").groupBy("x", "y").agg(F.sum("n").alias("n")).toPandas()  # CLASSES**2 rows at most
     big = np.zeros((CLASSES + 1, CLASSES), np.float64)
-    big[found["x"].to_numpy(), found["y"].to_numpy()] = found["n"].to_numpy()
+    big[found["x"].to_numpy().astype(np.int64), found["y"].to_numpy().astype(np.int64)] = found["n"].to_numpy()
     big[CLASSES] = big[code[size - 1]]  # before a document as after its end
     even = (big[:CLASSES].sum(0) + 1) / (big[:CLASSES].sum() + CLASSES)
     # classes in the order of the first direction in which their left neighbours differ, then cut in groups
