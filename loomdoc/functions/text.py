@@ -78,27 +78,27 @@ def sentences(c: Column) -> Column:
     return F.filter(parts, lambda x: x != "")
 
 
-def _split(c: Column) -> Column:
-    return F.filter(F.split(c, r"(?U)\s+"), lambda x: x != "")
+WORD_LETTERS = "0-9a-záéíóúüñ"
 
 
-def words(c: Column) -> Column:
-    """Lower-cased tokens of digits and letters with Spanish accents, stop words included."""
-    return _split(F.regexp_replace(F.lower(c), r"(?U)[^0-9a-záéíóúüñ\s]", " "))
+def _runs(c: Column, letters: str, but: list[str] | None = None) -> Column:
+    """Runs of letters in lower-cased text, without those in but; one regular expression, no lambda over tokens."""
+    skip = f"(?<![{letters}])(?!(?:{'|'.join(but)})(?![{letters}]))" if but else ""
+    return F.regexp_extract_all(F.lower(c), F.lit(f"{skip}[{letters}]+"), F.lit(0))
 
 
-def stop_words(lang: Column) -> Column:
-    array = lambda xs: F.array(*[F.lit(x) for x in xs])
-    return F.when(F.lower(lang).startswith("en"), array(STOP_EN)).otherwise(array(STOP_ES))
+def words(c: Column) -> Column:
+    """Lower-cased tokens of digits and letters with Spanish accents, stop words included."""
+    return _runs(c, WORD_LETTERS)
 
 
 def tokens(c: Column, lang: Column) -> Column:
-    stop = stop_words(lang)
-    return F.filter(words(c), lambda t: ~F.array_contains(stop, t))
+    """words() without the stop words of English (lang en...) or Spanish (any other)."""
+    return F.when(F.lower(lang).startswith("en"), _runs(c, WORD_LETTERS, STOP_EN)).otherwise(_runs(c, WORD_LETTERS, STOP_ES))
 
 
 def selector_tokens(c: Column) -> Column:
-    return _split(F.regexp_replace(F.lower(c), rf"(?U)[^{SELECTOR_LETTERS}\s]", " "))
+    return _runs(c, SELECTOR_LETTERS)
 
 
 def rough_tokens(c: Column) -> Column:
@@ -106,7 +106,7 @@ def rough_tokens(c: Column) -> Column:
 
 
 def space_tokens(c: Column, min_len: int = 3) -> Column:
-    return F.filter(F.split(collapsed(F.lower(c)), " "), lambda t: F.length(t) >= min_len)
+    return F.regexp_extract_all(F.lower(c), F.lit(rf"(?U)\S{{{min_len},}}"), F.lit(0))
 
 
 def folded(c: Column) -> Column:

@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import blocks as B
 from ..operators import chunks as C
 from ..operators import keywords as K
+from ..sources.stage import staged
 from . import sqltext as S
 
 QUERIES: dict = {}
@@ -192,7 +193,8 @@ SELECT doc_id, n_chunks, round(boundary_alignment, 4) AS boundary_alignment, rou
   round(0.6 * m2 + 0.4 * m1, 4) AS global_health_score, CASE WHEN 0.6 * m2 + 0.4 * m1 >= 0.75 THEN 'good' WHEN 0.6 * m2 + 0.4 * m1 >= 0.5 THEN 'moderate' ELSE 'poor' END AS status FROM a JOIN documents USING (doc_id)""")
 def q18_chunk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     pack = _pack(spark, sf_dir)
-    found = C.chunks(pack)
+    pack = staged(pack, "sentences")
+    found = staged(C.chunks(pack), "chunks")
     out = C.quality(found, C.source_spans(pack), C.scores(found), _documents(spark, sf_dir))
     return out.select(*[F.round(c, 4).alias(c) if kind == "double" else c for c, kind in out.dtypes])
 

@@ -13,6 +13,7 @@ from ..operators import chunks as C
 from ..operators import ontology as O
 from ..operators import select as X
 from ..operators import topics as P
+from ..sources.stage import staged
 from . import sqltext as S
 from .catalogue import _PACK, _SCORED, _TOP, _blocks, _chunks, _pack, _top, query
 from .topicqueries import TOPICS
@@ -66,9 +67,9 @@ class _State:
     def __init__(self, spark, sf_dir):
         self.spark = spark
         self.blocks = _blocks(spark, sf_dir)
-        self.chunks = _chunks(spark, sf_dir)
-        self.scores = C.scores(self.chunks)
-        self.topics = P.block_topics(self.blocks)
+        self.chunks = staged(_chunks(spark, sf_dir), "chunks")
+        self.scores = staged(C.scores(self.chunks), "scores")
+        self.topics = staged(P.block_topics(self.blocks), "topics")
         self.words = _chunk_words(self.chunks, self.topics)
         self.lexical = self.chunks.select("doc_id", "chunk_seq", "lexical_density", "type_token_ratio")
         self.metrics = self.scores.join(self.lexical, ["doc_id", "chunk_seq"])
