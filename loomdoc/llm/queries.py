@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, decontaminate, fingerprint, jaccard, lines, lm, mixing, quality, urlfilter, warc
-from .common import table
+from .common import table, written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,8 +23,8 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_mixing", mixing.ORACLE_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    return mixing.mix(written(docs, "sizes")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op2_decontaminate")
