@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fingerprint, jaccard, lines, lm, mixing, quality, urlfilter, warc
+from . import chat, decontaminate, fingerprint, jaccard, lines, lm, mixing, oracles, quality, urlfilter, warc
 from .common import table, written
 
 QUERIES: dict = {}
@@ -27,12 +28,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(written(docs, "sizes")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query("op2_decontaminate")
+@query("op2_decontaminate", oracles.DECONTAMINATE)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op4_ngram_jaccard")
+@query("op4_ngram_jaccard", oracles.JACCARD)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
@@ -48,17 +49,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, labels))
 
 
-@query("op9_line_dedup")
+@query("op9_line_dedup", oracles.LINES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.decide(table(spark, sf_dir, "documents"))
+    """Every judged line and the line that stands for it: itself, or the earlier one that it repeats."""
+    found = lines.decide(table(spark, sf_dir, "documents"))
+    return found.withColumns({"of_doc": F.coalesce("of_doc", "doc_id"), "of_line": F.coalesce("of_line", "line")})
 
 
-@query("op3_chat")
+@query("op3_chat", oracles.CHAT)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(chat.probe(table(spark, sf_dir, "conversations"))))
 
 
-@query("op5_url_filter")
+@query("op5_url_filter", oracles.urls(urlfilter.RULES, urlfilter.ORDER, urlfilter.ALPHABET, urlfilter.MICRO))
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
