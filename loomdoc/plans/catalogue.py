@@ -65,9 +65,9 @@ def q01_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocks(spark, sf_dir).select("doc_id", "page_number", "block_idx", "text")
 
 
-@query(f"WITH {_TYPED} SELECT doc_id, block_idx, type, CASE WHEN type = 'heading' THEN 2 END AS level, CASE WHEN type = 'list_item' THEN regexp_replace(t, '^[{T.BULLETS}]\\s*', '') ELSE t END AS text FROM typed")
+@query(f"WITH {_TYPED} SELECT doc_id, block_idx, type, CASE WHEN type = 'heading' THEN 2 ELSE 0 END AS level, CASE WHEN type = 'list_item' THEN regexp_replace(t, '^[{T.BULLETS}]\\s*', '') ELSE t END AS text FROM typed")
 def q02_block_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return B.typed(_blocks(spark, sf_dir)).select("doc_id", "block_idx", "type", "level", "text")
+    return B.typed(_blocks(spark, sf_dir)).select("doc_id", "block_idx", "type", F.coalesce("level", F.lit(0)).alias("level"), "text")
 
 
 @query(f"WITH {_PARAS} SELECT * FROM paras")
