@@ -27,7 +27,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomdoc-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes tables made by written() that no later step reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

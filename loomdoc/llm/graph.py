@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import removed, written
 
 
 def _large(links: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     links = written(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
     mark = None
     for _ in range(most):
-        links = written(_small(_large(links)).where("u <> v").distinct(), "links")
+        before, links = links, written(_small(_large(links)).where("u <> v").distinct(), "links")
+        removed(before)
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:
             break

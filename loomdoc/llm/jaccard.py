@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import removed, written
 from .graph import components
 from .textkernel import SPACE, Words, sequence_hash, shingle_hashes, text_chunks
 
@@ -163,11 +163,14 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, num: in
     pairs = written(pairs.select("u", "v").distinct(), "pairs")
     ids = written(pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct(), "pair-ids")
     if ids.isEmpty():
+        removed(ids)
         return pairs
     sets = written(_ids_of(docs, ids).mapInArrow(lambda b: _sets(b, k), "rep long, hashes binary"), "pair-sets")
     side = lambda x: sets.select(F.col("rep").alias(x), F.col("hashes").alias(f"h_{x}"))
     both = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "h_u", "h_v")
-    return written(both.mapInArrow(lambda b: _verify(b, num, den), "u long, v long").distinct(), "linked")
+    found = written(both.mapInArrow(lambda b: _verify(b, num, den), "u long, v long").distinct(), "linked")
+    removed(pairs, ids, sets)
+    return found
 
 
 def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -196,17 +199,20 @@ def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataF
     apart = (F.col("a.token") == F.col("b.token")) & (F.col("a.c") != F.col("b.c")) & _near("a", "b", num, den) & ((F.col("b.c") == F.col("b.lead_c")) | (F.col("a.rep") < F.col("b.rep")))
     pairs = odd.join(rest, apart).select(F.greatest("a.rep", "b.rep").alias("u"), F.least("a.rep", "b.rep").alias("v")).distinct()
     found = _linked(pairs, nodes, docs, k, num, den)
+    removed(listed, more)
     if not found.isEmpty():
         label = components(found.union(label.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     by_key = nodes.select("k1", "k2", "rep")
     whole = rows.select("doc_id", "k1", "k2", "n").join(by_key, ["k1", "k2"], "left").join(label.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep", "doc_id"))
-    return whole.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    out = written(whole.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id")), "classes")
+    removed(rows, nodes, links, found)
+    return out
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs without the documents whose class has a smaller doc_id; of rows with one doc_id and text one stays."""
-    found = written(classes(docs, k, num, den), "classes")
+    found = classes(docs, k, num, den)
     out = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("rep")).distinct(), "classes-out")
     out = F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
     kept = docs.join(out, docs["doc_id"].cast("long") == out["rep"], "left_anti")

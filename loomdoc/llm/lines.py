@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import removed, written
 from .textkernel import SPACE, Words, mix, text_chunks
 
 MIN_WORDS = 5
@@ -190,7 +190,12 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def decide(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line, n_words, kept, of_doc, of_line (the earlier line that a dropped one repeats) of
+    """doc_id, line, n_words, kept, of_doc, of_line of every line that is judged; see _decide()."""
+    return _decide(docs, min_words)[0]
+
+
+def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Decisions, and the written tables that they are read from: doc_id, line, n_words, kept, of_doc, of_line (the earlier line that a dropped one repeats) of
     every line of docs (doc_id, text) with at least min_words words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
@@ -201,6 +206,7 @@ def decide(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared_half = halves.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     maybe = written(halves.join(shared_half, "key").select("h1", "h2").distinct().join(kinds.select("h1", "h2", "f"), ["h1", "h2"]), "lines-maybe")
     found = spark.createDataFrame([], "h1 long, h2 long, of struct<of_doc:long,of_line:int>")
+    tables = [rows, kinds]
     if n := maybe.count():
         bits = spark.sparkContext.broadcast(bit_filter(maybe.select("h1"), n))
         texts = docs.select("text").mapInArrow(lambda b: _texts(b, min_words, bits), "h1 long, h2 long, words binary")
@@ -219,17 +225,23 @@ def decide(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         pairs = pairs.join(mine, ["h1", "h2"]).join(theirs, ["_1", "_2"]).select("h1", "h2", "of_doc", "of_line", "words", "other_words")
         checked = pairs.mapInArrow(_checked, "h1 long, h2 long, of_doc long, of_line int")
         found = written(checked.groupBy("h1", "h2").agg(F.min(F.struct("of_doc", "of_line")).alias("of")), "lines-near")
+        tables.append(found)
+        removed(texts, variants)
+    removed(maybe)
     firsts = kinds.select("h1", "h2", "f").join(found, ["h1", "h2"], "left")
     out = rows.select("doc_id", "line", "n", "h1", "h2").join(firsts, ["h1", "h2"])
     first = F.struct("doc_id", "line").eqNullSafe(F.col("f"))
     of = F.when(~first, F.struct(F.col("f.doc_id").alias("of_doc"), F.col("f.line").alias("of_line"))).otherwise(F.col("of"))
-    return out.select("doc_id", "line", F.col("n").alias("n_words"), (first & F.col("of").isNull()).alias("kept"), of.alias("of")).select("doc_id", "line", "n_words", "kept", "of.of_doc", "of.of_line")
+    out = out.select("doc_id", "line", F.col("n").alias("n_words"), (first & F.col("of").isNull()).alias("kept"), of.alias("of"))
+    return out.select("doc_id", "line", "n_words", "kept", "of.of_doc", "of.of_line"), tables
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs without the lines that decide() drops (n_chars set anew), and without documents that lose all their words so."""
-    gone = decide(docs, min_words).where("NOT kept").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
+    decisions, tables = _decide(docs, min_words)
+    gone = decisions.where("NOT kept").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
     gone = written(gone.withColumnRenamed("doc_id", "_id"), "lines-gone")
+    removed(*tables)
     joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]), "left")
     left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     joined = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
