@@ -20,6 +20,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Arrow batches of so many rows at most from now on (Spark's 10,000 whole texts of several KB, with their copies
+    on both sides of the pipe, take some hundred MB of each executor); a smaller setting is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "0")) <= rows:
+        spark.conf.set(key, rows)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table written to the shared folder and read back.
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import small_batches, written
 from .textkernel import NOT_WORD, Words, mix, text_chunks
 
 WINDOW = 13
@@ -173,6 +173,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list, list
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with n_words, n_hit, items (ids whose windows occur, sorted as strings), spans
     (hit words as start and length) and contaminated.  docs needs text."""
+    small_batches(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession

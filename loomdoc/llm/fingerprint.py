@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .textkernel import SPACE, Words, mix, shingle_hashes, text_chunks
 
 SHINGLE, BINS, BITS = 5, 512, 4
@@ -92,6 +93,7 @@ def likeness(a: bytes, b: bytes) -> float:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint of every row of docs."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -159,6 +161,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Fingerprint of every document and of its text edited with the document next in descending order of ids."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     n = int(np.clip(size // range_bytes, 1, MOST_RANGES))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, written
+from .common import removed, small_batches, written
 from .graph import components
 from .textkernel import SPACE, Words, sequence_hash, shingle_hashes, text_chunks
 
@@ -176,6 +176,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, num: in
 def classes(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id per row of docs (doc_id, text): documents link when
     den * |A and B| >= num * |A or B| over their sets of k-word shingles."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shared = spark.sparkContext.broadcast(shingle_counts(docs.select("text"), k))

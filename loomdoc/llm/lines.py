@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, written
+from .common import removed, small_batches, written
 from .textkernel import SPACE, Words, mix, text_chunks
 
 MIN_WORDS = 5
@@ -197,6 +197,7 @@ def decide(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]]:
     """Decisions, and the written tables that they are read from: doc_id, line, n_words, kept, of_doc, of_line (the earlier line that a dropped one repeats) of
     every line of docs (doc_id, text) with at least min_words words."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
     rows = written(docs.mapInArrow(lambda b: _lines(b, min_words), _LINE), "lines")

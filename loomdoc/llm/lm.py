@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .attention import Model, windows
-from .common import written
+from .common import small_batches, written
 from .textkernel import SPACE, Words, text_chunks
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -313,6 +313,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared, model, common) -> Iterator
 
 def score(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = ranks(vocabulary)

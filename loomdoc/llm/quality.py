@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .textkernel import SPACE, Words, text_chunks
 
 TRAIN_ROWS, BUCKET_BITS, DIM, EPOCHS, RATE = 4000, 18, 8, 6, 4.0
@@ -111,6 +112,7 @@ def learned(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 7) -> tu
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """Model from the labelled documents outside the held-out third, train_rows of them at most."""
+    small_batches(docs.sparkSession)
     chosen = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label"))
     chosen = chosen.where(~held_out("_id")).orderBy(F.xxhash64("_id"), "_id", "label").limit(train_rows)
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "label")
@@ -139,6 +141,7 @@ def _scores(column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -151,6 +154,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are predicted to be of label 1."""
+    small_batches(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))

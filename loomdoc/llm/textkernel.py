@@ -38,7 +38,7 @@ _POW = _powers(_R, _LOW)
 _POW_HIGH = _powers(pow(_R, _LOW, 1 << 64), 1024)
 
 #: Texts are handled together up to so many bytes; a longer text goes alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 VERSION, DATE = "WARC/1.1", "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space of RFC 4122
 CRLF = b"\r\n"
@@ -239,6 +241,7 @@ _DERIVED = "name string, type string, record_id string, refers_to string, target
 def derivatives(records: DataFrame) -> DataFrame:
     """Metadata and conversion records of all responses in records (name, record: WARC data, plain or gzip),
     and a row of type error for what cannot be parsed."""
+    small_batches(records.sparkSession)
     names = [x.split()[0] for x in _DERIVED.split(", ")]
     kinds = [pa.int64() if " long" in x else pa.binary() if " binary" in x else pa.string() for x in _DERIVED.split(", ")]
 
