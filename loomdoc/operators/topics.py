@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
+from ..sources.stage import staged
 from . import chunks as C
 from . import keywords as K
 
@@ -90,30 +91,30 @@ def clusters(points: DataFrame, doc: str, key: str, vector: str = "embedding", e
 
 def mmr(candidates: DataFrame, group: str, key: str, vector: str = "embedding", k: int = 10, weight: float = 0.7) -> DataFrame:
     """group, key, rank: k members chosen greedily by weight * cosine to the mean less (1 - weight) * largest cosine to
-    those chosen; all in their order where k are there or fewer."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key, kind="stable")
-        n = len(pdf)
-        if k >= n:
-            chosen = list(range(n))
-        else:
-            x = np.array(pdf[vector].tolist(), dtype=np.float64)
-            length = np.linalg.norm(x, axis=1, keepdims=True)
-            x = np.divide(x, length, out=np.zeros_like(x), where=length > 0)
-            mean = x.mean(axis=0)
-            near = x @ (mean / (np.linalg.norm(mean) or 1.0))
-            chosen = [int(np.argmax(near))]
-            most = x @ x[chosen[0]]
-            while len(chosen) < k:
-                gain = weight * near - (1 - weight) * most
-                gain[chosen] = -np.inf
-                chosen.append(int(np.argmax(gain)))
-                most = np.maximum(most, x @ x[chosen[-1]])
-        return pd.DataFrame({group: pdf[group].iloc[chosen], key: pdf[key].iloc[chosen], "rank": np.arange(1, len(chosen) + 1, dtype=np.int32)})
-
-    kind = lambda c: candidates.schema[c].dataType.simpleString()
-    return candidates.select(group, key, vector).groupBy(group).applyInPandas(run, f"{group} {kind(group)}, {key} {kind(key)}, rank int")
+    those chosen (smallest key of equals); all in their order where k are there or fewer.
+    Each step is an arg-max over all rows, aggregated in every task first; only the k chosen of each group are broadcast."""
+    u = candidates.select(F.col(group).alias("_g"), F.col(key).alias("_k"), T.unit(F.col(vector)).alias("_u"))
+    u = staged(u.withColumn("_row", F.monotonically_increasing_id()), "mmr")
+    mean = centroids(u.select("_g", "_u"), "_g", "_u")
+    at = F.col("_k").isNull().alias("last"), F.col("_k").alias("key"), F.col("_row").alias("row")
+    sizes = u.groupBy("_g").agg(F.count("*").alias("n")).select(F.col("_g").alias("_s"), "n")
+    mean = mean.join(sizes, F.col("_g").eqNullSafe(F.col("_s"))).select(F.col("_g").alias("_of"), "n", "centroid")
+
+    def members(groups: DataFrame) -> DataFrame:
+        return u.join(F.broadcast(groups), F.col("_g").eqNullSafe(F.col("_of")))
+
+    none = u.select(F.array(F.struct(F.col("_k").alias("key"), F.col("_row").alias("row"), F.col("_u").alias("u")))).schema[0].dataType.simpleString()
+    state = mean.where(F.col("n") > k).withColumn("chosen", F.array().cast(none))
+    for _ in range(k):
+        open_ = members(state).where(~F.exists("chosen", lambda c: c["row"] == F.col("_row")))
+        most = F.coalesce(F.array_max(F.transform("chosen", lambda c: T.dot(F.col("_u"), c["u"]))), F.lit(0.0))
+        score = weight * T.dot(F.col("_u"), F.col("centroid")) - (1 - weight) * most
+        best = F.min(F.struct((-score).alias("score"), *at, F.col("_u").alias("u"))).alias("best")
+        state = open_.groupBy("_of").agg(best, *[F.first(c).alias(c) for c in ("centroid", "chosen")])
+        state = state.select("_of", "centroid", F.concat("chosen", F.array(F.struct("best.key", "best.row", "best.u"))).alias("chosen"))
+    few = members(mean.where(F.col("n") <= k)).groupBy("_of").agg(F.array_sort(F.collect_list(F.struct(*at))).alias("chosen"))
+    out = state.select("_of", F.col("chosen.key").alias("keys")).union(few.select("_of", F.col("chosen.key").alias("keys")))
+    return out.select(F.col("_of").alias(group), F.posexplode("keys").alias("rank", key)).select(group, key, (F.col("rank") + 1).alias("rank"))
 
 
 def topic_items(texts: DataFrame, labels: DataFrame, k: int = 10) -> DataFrame:
