@@ -4,9 +4,9 @@ The text is its lower-cased words; each word (with the space before it) is coded
 BPE vocabulary, and one end follows.  From all training documents (crc32 of the id mod 7 not 2) are counted:
 words, and pairs of successive subwords.  The pairs give the model's frozen part (bigram rows and shares of
 rare subwords).  The attention part (see attention.py) is trained in numpy: first on the driver on
-SAMPLE_DOCS documents at most (those with the smallest hashes of their ids), then by every task on its part of
-one training document in TUNE_ONE_IN, and the tasks' parameters are averaged by their steps, so what it
-learns from grows with the corpus.  Scoring cuts each whole text in overlapping windows; each
+SAMPLE_DOCS documents at most (those with the smallest hashes of their ids) as a start, then by every task on all
+training documents of its partition, and the tasks' parameters are averaged by their steps, so it
+learns from the whole corpus.  Scoring cuts each whole text in overlapping windows; each
 token is scored once, with at least OVERLAP tokens before it where there are so many.
 
 Scale.  Texts are never shuffled.  Word counts are summed in each task before they are shuffled.  The
@@ -35,7 +35,7 @@ from .common import small_batches, written
 from .textkernel import SPACE, Words, text_chunks
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-SAMPLE_DOCS, EPOCHS, TUNE_ONE_IN, CLASSES, GROUPS, BANDS, FREQUENT = 1000, 3, 64, 1024, 32, 16, 500_000
+SAMPLE_DOCS, EPOCHS, CLASSES, GROUPS, BANDS, FREQUENT = 1000, 3, 1024, 32, 16, 500_000
 _BATCH = 128
 END_WORD = 0  # stands for the end among word hashes
 WORD, PAIR = 0, 1
@@ -266,8 +266,7 @@ def train(docs: DataFrame, pairs: DataFrame, table: dict[bytes, int], shared) ->
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([(steps * _flat(copy)).tobytes()], pa.binary()), pa.array([steps], pa.int64())], names=["part", "sums", "steps"])
 
     schema = "part int, sums binary, steps long"
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(TUNE_ONE_IN)) == 0).select("text")
-    parts = some.mapInArrow(tune, schema).repartition(64, "part").mapInArrow(_sum, schema).collect()  # 64 rows at most
+    parts = docs.select("text").mapInArrow(tune, schema).repartition(64, "part").mapInArrow(_sum, schema).collect()  # 64 rows at most
     if parts:
         steps = sum(r["steps"] for r in parts)
         _unflat(model, sum(np.frombuffer(bytes(r["sums"]), np.float64) for r in parts) / steps)
