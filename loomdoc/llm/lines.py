@@ -3,7 +3,7 @@
 A line (text between newlines) is its sequence of lower-cased words.  Two lines are near when one
 word inserted, deleted or replaced turns one into the other.  Of all copies of a line the earliest
 stays (smallest doc_id, then line number), and it goes too where any near line is earlier.
-Lines of fewer than MIN_WORDS words are never touched.
+Lines of fewer than MIN_WORDS words are near none: of them only exact copies go.
 
 1. Equal lines are grouped (128-bit hash) under their first position.
 2. One edit leaves the first or the last (n-1)/2 words as they are, so only lines that share such a
@@ -54,7 +54,7 @@ def _sum_before(values: np.ndarray) -> np.ndarray:
 
 
 class Lines:
-    """Lines of a chunk with at least MIN_WORDS words: numbers in the chunk, hashes, half keys."""
+    """Lines of a chunk with at least min_words words: numbers in the chunk, hashes, half keys."""
 
     def __init__(self, data: np.ndarray, offs: np.ndarray, min_words: int):
         bounds, self.per_doc = line_offsets(data, offs)
@@ -190,27 +190,28 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def decide(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line, n_words, kept, of_doc, of_line of every line that is judged; see _decide()."""
+    """doc_id, line, n_words, kept, of_doc, of_line of every line that is judged (all with a word: min_words 1); see _decide()."""
     return _decide(docs, min_words)[0]
 
 
 def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]]:
     """Decisions, and the written tables that they are read from: doc_id, line, n_words, kept, of_doc, of_line (the earlier line that a dropped one repeats) of
-    every line of docs (doc_id, text) with at least min_words words."""
+    every line of docs (doc_id, text) with at least min_words words; those of fewer than MIN_WORDS repeat equal ones only."""
+    near_words = max(min_words, MIN_WORDS)
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
     rows = written(docs.mapInArrow(lambda b: _lines(b, min_words), _LINE), "lines")
-    kinds = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("f"), *[F.first(c).alias(c) for c in "abcd"])
+    kinds = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("f"), *[F.first(c).alias(c) for c in "nabcd"])
     kinds = written(kinds, "line-kinds")
-    halves = kinds.select("h1", "h2", F.explode(F.array_distinct(F.array("a", "b", "c", "d"))).alias("key"))
+    halves = kinds.where(F.col("n") >= near_words).select("h1", "h2", F.explode(F.array_distinct(F.array("a", "b", "c", "d"))).alias("key"))
     shared_half = halves.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     maybe = written(halves.join(shared_half, "key").select("h1", "h2").distinct().join(kinds.select("h1", "h2", "f"), ["h1", "h2"]), "lines-maybe")
     found = spark.createDataFrame([], "h1 long, h2 long, of struct<of_doc:long,of_line:int>")
     tables = [rows, kinds]
     if n := maybe.count():
         bits = spark.sparkContext.broadcast(bit_filter(maybe.select("h1"), n))
-        texts = docs.select("text").mapInArrow(lambda b: _texts(b, min_words, bits), "h1 long, h2 long, words binary")
+        texts = docs.select("text").mapInArrow(lambda b: _texts(b, near_words, bits), "h1 long, h2 long, words binary")
         texts = texts.join(maybe, ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("words").alias("words"), F.first("f").alias("f"))
         texts = written(texts.select("words", "h1", "h2", "f.doc_id", "f.line"), "line-texts")
         variants = written(texts.mapInArrow(_variants, _VARIANT), "line-variants")
@@ -237,7 +238,7 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
     return out.select("doc_id", "line", "n_words", "kept", "of.of_doc", "of.of_line"), tables
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """docs without the lines that decide() drops (n_chars set anew), and without documents that lose all their words so."""
     decisions, tables = _decide(docs, min_words)
     gone = decisions.where("NOT kept").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))

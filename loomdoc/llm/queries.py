@@ -51,8 +51,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_line_dedup", oracles.LINES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every judged line and the line that stands for it: itself, or the earlier one that it repeats."""
-    found = lines.decide(table(spark, sf_dir, "documents"))
+    """Every line with a word and the line that stands for it: itself, or the earlier one that it repeats."""
+    found = lines.decide(table(spark, sf_dir, "documents"), min_words=1)
     return found.withColumns({"of_doc": F.coalesce("of_doc", "doc_id"), "of_line": F.coalesce("of_line", "line")})
 
 
