@@ -10,6 +10,7 @@ from ..functions import text as T
 
 MAX_TOKENS, MAX_CHARS = 2048, 9000
 BLEND, ALPHA, BETA, W_COHESION, W_NOVELTY = 0.7, 0.7, 0.3, 0.6, 0.4
+MICRO = 1_000_000
 
 
 def sections(blocks: DataFrame, prefer_headings: bool = True) -> DataFrame:
@@ -160,24 +161,43 @@ def length_stats(found: DataFrame) -> DataFrame:
     return found.agg(F.count("*").alias("count"), *chars, *toks)
 
 
+def _mean4(total: Column, n: Column, unit: int) -> Column:
+    """total / (n * unit) half up to four places, in whole numbers, so that ties do not hang on binary fractions."""
+    total, n = total.cast("long"), n.cast("long") * unit
+    return F.floor((total * 20_000 + n) / (2 * n)) / 10_000
+
+
 def quality(found: DataFrame, spans: DataFrame, scored: DataFrame, documents: DataFrame) -> DataFrame:
-    """Per document: coverage, alignment with first blocks, score means, shares, and health with its status."""
+    """Per document: coverage, alignment with first blocks, score means, shares, and health with its status; four
+    places each, summed in whole millionths (the places that scores have)."""
     keys = ["doc_id", "chunk_seq"]
     first = F.col("source_spans")[0]["block_indices"]
     aligned = (F.array_contains(first, 0) | (F.size(first) <= 2)).cast("int")
     c = found.join(spans, keys).join(scored, keys)
-    mean = {k: F.avg(F.coalesce(k, F.lit(0.0))) for k in ("cohesion_vs_doc", "chunk_health", "redundancy_norm", "novelty", "lexical_density", "type_token_ratio")}
-    out = c.groupBy("doc_id").agg(
+    means = ("cohesion_vs_doc", "chunk_health", "redundancy_norm", "novelty", "lexical_density", "type_token_ratio")
+    micro = {k: F.sum(F.round(F.coalesce(k, F.lit(0.0)) * MICRO).cast("long")) for k in means}
+    a = c.groupBy("doc_id").agg(
         F.count("*").alias("n_chunks"),
-        F.sum("char_len").alias("covered"),
-        F.avg(aligned).alias("boundary_alignment"),
-        *[v.alias(f"{k}_mean") for k, v in mean.items()],
-        F.avg((F.col("cohesion_vs_doc") >= 0.7).cast("int")).alias("semantic_coverage"),
-        F.avg((F.col("redundancy_norm") >= 0.6).cast("int")).alias("redundancy_flag_rate"),
+        F.sum("char_len").alias("_covered"),
+        F.sum(aligned).alias("_aligned"),
+        *[v.alias(f"_{k}") for k, v in micro.items()],
+        F.sum((F.col("cohesion_vs_doc") >= 0.7).cast("int")).alias("_near"),
+        F.sum((F.col("redundancy_norm") >= 0.6).cast("int")).alias("_again"),
+    )
+    a = a.join(documents.select("doc_id", F.length("text").alias("_chars")), "doc_id")
+    n = F.col("n_chunks")
+    health = round(W_COHESION * 10) * F.col("_chunk_health") + round(W_NOVELTY * 10) * F.col("_cohesion_vs_doc")
+    status = F.when(health * 4 >= n * 30 * MICRO, "good").when(health * 2 >= n * 10 * MICRO, "moderate").otherwise("poor")
+    coverage = F.when(F.col("_chars") > 0, F.least(F.lit(1.0), _mean4(F.col("_covered"), F.greatest(F.lit(1), F.col("_chars")), 1))).otherwise(0.0)
+    return a.select(
+        "doc_id",
+        "n_chunks",
+        _mean4(F.col("_aligned"), n, 1).alias("boundary_alignment"),
+        *[_mean4(F.col(f"_{k}"), n, MICRO).alias(f"{k}_mean") for k in means],
+        _mean4(F.col("_near"), n, 1).alias("semantic_coverage"),
+        _mean4(F.col("_again"), n, 1).alias("redundancy_flag_rate"),
         F.lit(0.0).alias("redundancy_p95"),  # over a field that no stage writes
+        coverage.alias("coverage_rate"),
+        _mean4(health, n, 10 * MICRO).alias("global_health_score"),
+        status.alias("status"),
     )
-    chars = documents.select("doc_id", F.length("text").alias("approx"))
-    health = W_COHESION * F.col("chunk_health_mean") + W_NOVELTY * F.col("cohesion_vs_doc_mean")
-    out = out.join(chars, "doc_id").withColumn("coverage_rate", F.when(F.col("approx") > 0, F.least(F.lit(1.0), F.col("covered") / F.col("approx"))).otherwise(0.0))
-    status = F.when(health >= 0.75, "good").when(health >= 0.5, "moderate").otherwise("poor")
-    return out.withColumn("global_health_score", F.round(health, 4)).withColumn("status", status).drop("covered", "approx")

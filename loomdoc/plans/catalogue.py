@@ -183,20 +183,28 @@ def q17_chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.length_stats(_chunks(spark, sf_dir))
 
 
+def _r4(total: str, n: str) -> str:
+    """total / n half up to four places, in whole numbers."""
+    return f"CAST((({total}) * 20000 + ({n})) // (2 * ({n})) AS DOUBLE) / 10000"
+
+
+_MEANS = {"cohesion_vs_doc": "cohesion_vs_doc", "chunk_health": "chunk_health", "redundancy_norm": "redundancy_norm", "novelty": "novelty", "lexical_density": "ld", "type_token_ratio": "ttr"}
+
+
 @query(f"""WITH RECURSIVE {_SCORED}, fb AS (SELECT doc_id, chunk_seq, count(DISTINCT block_idx) AS nb, max(CASE WHEN block_idx = 0 THEN 1 ELSE 0 END) AS has0 FROM pack GROUP BY ALL),
 j AS (SELECT c.doc_id, c.char_len, s.*, CASE WHEN len(tokens) > 0 THEN 1.0 ELSE 0.0 END AS ld, CASE WHEN len(tokens) > 0 THEN round(len(list_distinct(tokens)) / CAST(len(tokens) AS DOUBLE), 6) ELSE 0 END AS ttr, CASE WHEN has0 = 1 OR nb <= 2 THEN 1 ELSE 0 END AS al
       FROM chunks c JOIN scores s USING (doc_id, chunk_seq) JOIN fb USING (doc_id, chunk_seq)),
-a AS (SELECT doc_id, count(*) AS n_chunks, sum(char_len) AS cov, avg(al) AS boundary_alignment, avg(cohesion_vs_doc) AS m1, avg(chunk_health) AS m2, avg(redundancy_norm) AS m3, avg(novelty) AS m4, avg(ld) AS m5, avg(ttr) AS m6,
-      avg(CASE WHEN cohesion_vs_doc >= 0.7 THEN 1 ELSE 0 END) AS semantic_coverage, avg(CASE WHEN redundancy_norm >= 0.6 THEN 1 ELSE 0 END) AS redundancy_flag_rate FROM j GROUP BY ALL)
-SELECT doc_id, n_chunks, round(boundary_alignment, 4) AS boundary_alignment, round(m1, 4) AS cohesion_vs_doc_mean, round(m2, 4) AS chunk_health_mean, round(m3, 4) AS redundancy_norm_mean, round(m4, 4) AS novelty_mean, round(CAST(m5 AS DOUBLE), 4) AS lexical_density_mean, round(m6, 4) AS type_token_ratio_mean,
-  round(semantic_coverage, 4) AS semantic_coverage, round(redundancy_flag_rate, 4) AS redundancy_flag_rate, CAST(0 AS DOUBLE) AS redundancy_p95, round(least(1.0, cov / CAST(length(text) AS DOUBLE)), 4) AS coverage_rate,
-  round(0.6 * m2 + 0.4 * m1, 4) AS global_health_score, CASE WHEN 0.6 * m2 + 0.4 * m1 >= 0.75 THEN 'good' WHEN 0.6 * m2 + 0.4 * m1 >= 0.5 THEN 'moderate' ELSE 'poor' END AS status FROM a JOIN documents USING (doc_id)""")
+a AS (SELECT doc_id, count(*) AS n, CAST(sum(char_len) AS BIGINT) AS cov, CAST(sum(al) AS BIGINT) AS al, {', '.join(f'CAST(sum(CAST(round({x} * 1000000) AS BIGINT)) AS BIGINT) AS s_{k}' for k, x in _MEANS.items())},
+      count(*) FILTER (cohesion_vs_doc >= 0.7) AS near, count(*) FILTER (redundancy_norm >= 0.6) AS again FROM j GROUP BY ALL),
+h AS (SELECT a.*, length(text) AS chars, 6 * s_chunk_health + 4 * s_cohesion_vs_doc AS health FROM a JOIN documents USING (doc_id))
+SELECT doc_id, n AS n_chunks, {_r4('al', 'n')} AS boundary_alignment, {', '.join(f"{_r4(f's_{k}', 'n * 1000000')} AS {k}_mean" for k in _MEANS)},
+  {_r4('near', 'n')} AS semantic_coverage, {_r4('again', 'n')} AS redundancy_flag_rate, CAST(0 AS DOUBLE) AS redundancy_p95, least(1.0, {_r4('cov', 'chars')}) AS coverage_rate,
+  {_r4('health', 'n * 10000000')} AS global_health_score, CASE WHEN 4 * health >= 30000000 * n THEN 'good' WHEN 2 * health >= 10000000 * n THEN 'moderate' ELSE 'poor' END AS status FROM h""")
 def q18_chunk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     pack = _pack(spark, sf_dir)
     pack = staged(pack, "sentences")
     found = staged(C.chunks(pack), "chunks")
-    out = C.quality(found, C.source_spans(pack), C.scores(found), _documents(spark, sf_dir))
-    return out.select(*[F.round(c, 4).alias(c) if kind == "double" else c for c, kind in out.dtypes])
+    return C.quality(found, C.source_spans(pack), C.scores(found), _documents(spark, sf_dir))
 
 
 from . import topicqueries, selectqueries  # noqa: E402, F401

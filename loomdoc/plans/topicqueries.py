@@ -58,7 +58,7 @@ def q24_dbscan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.clusters(points, "doc", "vec_id", eps=_EPS).select("vec_id", "label")
 
 
-@query(f"""WITH RECURSIVE {_U}, c0 AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM u), c AS (SELECT label, vec_id, u FROM c0 WHERE r <= 20),
+@query(f"""WITH RECURSIVE {_U}, c AS (SELECT label, vec_id, u FROM u),
 sim AS (SELECT a.label, a.vec_id AS i, b.vec_id AS j, list_dot_product(a.u, b.u) AS s FROM c a JOIN c b USING (label)),
 f AS (SELECT label, unnest(u) AS x, generate_subscripts(u, 1) AS dim FROM c), m AS (SELECT label, dim, avg(x) AS m FROM f GROUP BY ALL), ml AS (SELECT label, list(m ORDER BY dim) AS m FROM m GROUP BY ALL),
 rel AS (SELECT c.label, c.vec_id, list_dot_product(c.u, ml.m) / sqrt(list_dot_product(ml.m, ml.m)) AS rel FROM c JOIN ml USING (label)),
@@ -68,7 +68,7 @@ t(label, sel, n) AS (SELECT label, [arg_max(vec_id, rel)], 1 FROM rel GROUP BY l
    JOIN sim ON sim.label = t.label AND sim.i = rel.vec_id AND list_contains(t.sel, sim.j) WHERE t.n < 5 GROUP BY t.label, t.sel, t.n, rel.vec_id) GROUP BY label, n)
 SELECT label, CAST(unnest(sel) AS BIGINT) AS vec_id, CAST(generate_subscripts(sel, 1) AS INT) AS rank FROM t WHERE n = 5""")
 def q25_mmr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of all vectors of each label, five by diversity.  The SQL still stops at a label's first twenty (see README)."""
+    """Of all vectors of each label, five by diversity."""
     return P.mmr(_embeddings(spark, sf_dir), "label", "vec_id", k=5)
 
 
@@ -123,11 +123,14 @@ def q39_text_normalizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocks(spark, sf_dir).select("doc_id", "block_idx", F.size(T.selector_tokens(t)).cast("long").alias("n_selector_tokens"), F.sha2(T.folded(t), 256).alias("folded"), T.keyword(t).alias("keyword"), T.topic_text(t).alias("topic_text"), T.shorten(t, 40).alias("preview"))
 
 
-@query("""WITH d AS (SELECT doc_id, sha256('model' || substr(text, 1, 2000)) AS key FROM documents), c AS (SELECT DISTINCT key FROM d WHERE doc_id % 2 = 0)
+@query("""WITH d AS (SELECT doc_id, sha256('model' || substr(text, 1, 2000)) AS key FROM documents), c AS (SELECT DISTINCT sha256('model' || substr(html, 1, 2000)) AS key FROM pages UNION SELECT DISTINCT sha256('model' || substr(text, 1, 2000)) FROM documents WHERE source IN (SELECT min(source) FROM documents))
 SELECT d.doc_id, d.key, c.key IS NOT NULL AS hit FROM d LEFT JOIN c USING (key)""")
 def q40_cache_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which texts an embedding cache filled from the documents of even id would hold."""
+    """Which texts an embedding cache filled from the pages and the documents of one source would hold."""
     from ..sources.cache import cache_key, probe
 
-    d = table(spark, sf_dir, "documents").select("doc_id", cache_key(F.lit("model"), F.col("text")).alias("key"))
-    return probe(d, d.where("doc_id % 2 = 0").select("key"))
+    key = lambda c: cache_key(F.lit("model"), F.col(c)).alias("key")
+    docs = table(spark, sf_dir, "documents")
+    first = docs.agg(F.min("source").alias("source"))
+    known = docs.join(F.broadcast(first), "source").select(key("text")).union(table(spark, sf_dir, "pages").select(key("html")))
+    return probe(docs.select("doc_id", key("text")), known)
