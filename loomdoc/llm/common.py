@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver share (spark.checkpoint.dir).
 
-    Only where the session names none (tests, a laptop) a local one is set."""
+    Only where the session names none and runs in one process (tests, a laptop) a local one is set."""
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {key} to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="loomdoc-")
         spark.conf.set(key, found)
     return found.rstrip("/")
@@ -29,12 +31,14 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table written to the shared folder and read back.
+    """df as a table written to the shared folder and read back; what no removed() deletes goes when the application ends.
 
     Cuts the lineage: what follows survives the loss of any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomdoc-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
     return out

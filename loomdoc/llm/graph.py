@@ -3,7 +3,9 @@
 Each round is two joins of the links with one minimum per node; its links are written to the
 shared folder.  Links turn into stars around each component's smallest node in a number of
 rounds that grows with the logarithm of the longest path.  Nothing but a count and a checksum
-reaches the driver; a hub's links are aggregated before they are shuffled."""
+reaches the driver; a hub's links are aggregated before they are shuffled.  The minimum of every node is
+written before it is joined, so that the join's sides are both exchanges of written rows: a small one
+is broadcast by its measured size, and a hub's links beyond that are split over tasks (AQE)."""
 
 from __future__ import annotations
 
@@ -15,14 +17,19 @@ from .common import removed, written
 
 def _large(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    low = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "links-low")
+    out = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    out = written(out.distinct(), "links")
+    removed(low)
+    return out
 
 
 def _small(links: DataFrame) -> DataFrame:
-    low = links.groupBy("u").agg(F.min("v").alias("m"))
+    low = written(links.groupBy("u").agg(F.min("v").alias("m")), "links-low")
     over = links.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return over.union(low.select("u", F.col("m").alias("v")))
+    out = written(over.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "links")
+    removed(low, links)
+    return out
 
 
 def components(links: DataFrame, most: int = 60) -> DataFrame:
@@ -30,7 +37,7 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     links = written(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
     mark = None
     for _ in range(most):
-        before, links = links, written(_small(_large(links)).where("u <> v").distinct(), "links")
+        before, links = links, _small(_large(links))
         removed(before)
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:

@@ -3,7 +3,8 @@
 A line (text between newlines) is its sequence of lower-cased words.  Two lines are near when one
 word inserted, deleted or replaced turns one into the other.  Of all copies of a line the earliest
 stays (smallest doc_id, then line number), and it goes too where any near line is earlier.
-Lines of fewer than MIN_WORDS words are near none: of them only exact copies go.
+Lines of fewer than MIN_WORDS words are near none: of them only exact copies go.  An earlier near line counts
+whether or not it stays itself, so of a chain of lines each one edit off the one before only the first stays.
 
 1. Equal lines are grouped (128-bit hash) under their first position.
 2. One edit leaves the first or the last (n-1)/2 words as they are, so only lines that share such a
@@ -18,9 +19,12 @@ Scale.  Shuffled are slim hashes of lines; texts leave their partition only for
 near one, found by a bit filter of fixed size (2**28 bits at most) whose false positives the
 next join removes.
 
-Cases: null text is empty and stays as it is; rows with one doc_id share their positions, so of repeated
-rows all or none keep a line; null ids come first; a text whose every line goes becomes empty; an
-empty table gives an empty result; other columns are carried.
+The two joins that give every line its group's decision have written tables on both sides, of which the
+smaller is the groups that hold a copy or a near line; a line or variant that very many rows share is split over tasks (AQE).
+
+Cases: null text is empty and stays as it is; rows of one doc_id with different texts are told apart by a hash
+of the text, equal ones share their positions, so all or none of them keep a line; null ids come first; a text whose
+every line goes becomes empty; an empty table gives an empty result; other columns are carried.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,17 +82,18 @@ class Lines:
         self.keys = keys
 
 
-_LINE = "doc_id long, line int, h1 long, h2 long, n int, a long, b long, c long, d long"
+_LINE = "doc_id long, line int, mark long, h1 long, h2 long, n int, a long, b long, c long, d long"
 
 
 def _lines(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        for a, b, data, offs in text_chunks(batch.column(1)):
+        ids, marks = batch.column(0), batch.column(1)
+        for a, b, data, offs in text_chunks(batch.column(2)):
             x = Lines(data, offs, min_words)
             doc = np.repeat(np.arange(a, b), x.per_doc)
             number = np.arange(len(doc)) - np.repeat(np.cumsum(x.per_doc) - x.per_doc, x.per_doc)
-            columns = [ids.take(pa.array(doc[x.at])), pa.array(number[x.at].astype(np.int32)), *(pa.array(y.view(np.int64)) for y in (x.h1, x.h2)), pa.array(x.n.astype(np.int32)), *(pa.array(y.view(np.int64)) for y in x.keys)]
+            own = pa.array(doc[x.at])
+            columns = [ids.take(own), pa.array(number[x.at].astype(np.int32)), marks.take(own), *(pa.array(y.view(np.int64)) for y in (x.h1, x.h2)), pa.array(x.n.astype(np.int32)), *(pa.array(y.view(np.int64)) for y in x.keys)]
             yield pa.RecordBatch.from_arrays(columns, names=[y.split()[0] for y in _LINE.split(", ")])
 
 
@@ -144,7 +150,7 @@ def _texts(batches: Iterator[pa.RecordBatch], min_words: int, shared) -> Iterato
         yield pa.RecordBatch.from_arrays([*(pa.array(np.array(y, dtype=np.uint64).view(np.int64)) for y in (h1, h2)), pa.array(out, pa.binary())], names=["h1", "h2", "words"])
 
 
-_VARIANT = "h1 long, h2 long, doc_id long, line int, tag int, key long"
+_VARIANT = "h1 long, h2 long, doc_id long, line int, mark long, tag int, key long"
 SELF, DELETED, PLACED = 0, 1, 2
 
 
@@ -168,7 +174,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tag = np.concatenate([np.full(b - a, SELF), np.full(len(w), DELETED), np.full(len(w), PLACED)]).astype(np.int32)
             key = np.concatenate([whole, deleted, placed]).view(np.int64)
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(1, 5)), pa.array(tag), pa.array(key)], names=[x.split()[0] for x in _VARIANT.split(", ")])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(1, 6)), pa.array(tag), pa.array(key)], names=[x.split()[0] for x in _VARIANT.split(", ")])
 
 
 def near(a: list, b: list) -> bool:
@@ -191,63 +197,88 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def decide(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, line, n_words, kept, of_doc, of_line of every line that is judged (all with a word: min_words 1); see _decide()."""
-    return _decide(docs, min_words)[0]
+    return _decide(docs, min_words)[0].drop("mark")
+
+
+def _marked(docs: DataFrame, *columns) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), *columns)
 
 
 def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Decisions, and the written tables that they are read from: doc_id, line, n_words, kept, of_doc, of_line (the earlier line that a dropped one repeats) of
-    every line of docs (doc_id, text) with at least min_words words; those of fewer than MIN_WORDS repeat equal ones only."""
+    """Decisions, and the written tables that they are read from: doc_id, mark (hash of the text), line, n_words, kept, of_doc, of_line (the
+    earlier line that a dropped one repeats) of every line of docs (doc_id, text) with at least min_words words; those of fewer than MIN_WORDS repeat equal ones only."""
     near_words = max(min_words, MIN_WORDS)
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
-    rows = written(docs.mapInArrow(lambda b: _lines(b, min_words), _LINE), "lines")
-    kinds = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line")).alias("f"), *[F.first(c).alias(c) for c in "nabcd"])
+    rows = written(_marked(docs, "text").mapInArrow(lambda b: _lines(b, min_words), _LINE), "lines")
+    at_columns = "doc_id", "line", "mark"
+    at = F.struct(*at_columns)
+    kinds = rows.groupBy("h1", "h2").agg(F.min(at).alias("f"), F.count("*").alias("m"), *[F.first(c).alias(c) for c in "nabcd"])
     kinds = written(kinds, "line-kinds")
     halves = kinds.where(F.col("n") >= near_words).select("h1", "h2", F.explode(F.array_distinct(F.array("a", "b", "c", "d"))).alias("key"))
     shared_half = halves.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     maybe = written(halves.join(shared_half, "key").select("h1", "h2").distinct().join(kinds.select("h1", "h2", "f"), ["h1", "h2"]), "lines-maybe")
     found = spark.createDataFrame([], "h1 long, h2 long, of struct<of_doc:long,of_line:int>")
-    tables = [rows, kinds]
+    tables = [rows]
     if n := maybe.count():
         bits = spark.sparkContext.broadcast(bit_filter(maybe.select("h1"), n))
         texts = docs.select("text").mapInArrow(lambda b: _texts(b, near_words, bits), "h1 long, h2 long, words binary")
         texts = texts.join(maybe, ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("words").alias("words"), F.first("f").alias("f"))
-        texts = written(texts.select("words", "h1", "h2", "f.doc_id", "f.line"), "line-texts")
+        texts = written(texts.select("words", "h1", "h2", "f.doc_id", "f.line", "f.mark"), "line-texts")
         variants = written(texts.mapInArrow(_variants, _VARIANT), "line-variants")
         kind = (F.col("tag") == PLACED).alias("kind")
-        me = F.struct("doc_id", "line", "h1", "h2")
-        least = variants.groupBy(kind, "key").agg(*[F.min(F.when(F.col("tag") == t, me)).alias(f"m{t}") for t in (SELF, DELETED, PLACED)])
-        least = least.where("kind OR (m0 IS NOT NULL AND m1 IS NOT NULL)")
+        me = F.struct(*at_columns, "h1", "h2")
+        least = variants.groupBy(kind, "key").agg(F.count("*").alias("m"), *[F.min(F.when(F.col("tag") == t, me)).alias(f"m{t}") for t in (SELF, DELETED, PLACED)])
+        least = written(least.where("m > 1 AND (kind OR (m0 IS NOT NULL AND m1 IS NOT NULL))").drop("m"), "line-least")
         other = F.when(F.col("tag") == SELF, F.col("m1")).when(F.col("tag") == DELETED, F.col("m0")).otherwise(F.col("m2"))
         pairs = variants.withColumn("kind", F.col("tag") == PLACED).join(least, ["kind", "key"]).withColumn("o", other)
-        pairs = pairs.where(F.struct("o.doc_id", "o.line") < F.struct("doc_id", "line")).select("h1", "h2", "o").distinct()
+        pairs = pairs.where(F.struct("o.doc_id", "o.line", "o.mark") < at).select("h1", "h2", "o").distinct()
         mine, theirs = texts.select("h1", "h2", "words"), texts.select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("words").alias("other_words"))
         pairs = pairs.select("h1", "h2", F.col("o.doc_id").alias("of_doc"), F.col("o.line").alias("of_line"), F.col("o.h1").alias("_1"), F.col("o.h2").alias("_2"))
         pairs = pairs.join(mine, ["h1", "h2"]).join(theirs, ["_1", "_2"]).select("h1", "h2", "of_doc", "of_line", "words", "other_words")
         checked = pairs.mapInArrow(_checked, "h1 long, h2 long, of_doc long, of_line int")
         found = written(checked.groupBy("h1", "h2").agg(F.min(F.struct("of_doc", "of_line")).alias("of")), "lines-near")
-        tables.append(found)
-        removed(texts, variants)
-    removed(maybe)
-    firsts = kinds.select("h1", "h2", "f").join(found, ["h1", "h2"], "left")
-    out = rows.select("doc_id", "line", "n", "h1", "h2").join(firsts, ["h1", "h2"])
-    first = F.struct("doc_id", "line").eqNullSafe(F.col("f"))
+        removed(texts, variants, least)
+    # groups that decide something: with copies, or near an earlier line
+    moved = written(kinds.select("h1", "h2", "f", "m").join(found, ["h1", "h2"], "left").where("m > 1 OR of IS NOT NULL").drop("m"), "lines-moved")
+    tables.append(moved)
+    removed(maybe, kinds)
+    out = rows.select(*at_columns, "n", "h1", "h2").join(moved, ["h1", "h2"], "left")
+    first = F.col("f").isNull() | at.eqNullSafe(F.col("f"))
     of = F.when(~first, F.struct(F.col("f.doc_id").alias("of_doc"), F.col("f.line").alias("of_line"))).otherwise(F.col("of"))
-    out = out.select("doc_id", "line", F.col("n").alias("n_words"), (first & F.col("of").isNull()).alias("kept"), of.alias("of"))
-    return out.select("doc_id", "line", "n_words", "kept", "of.of_doc", "of.of_line"), tables
+    out = out.select("doc_id", "mark", "line", F.col("n").alias("n_words"), (first & F.col("of").isNull()).alias("kept"), of.alias("of"))
+    return out.select("doc_id", "mark", "line", "n_words", "kept", "of.of_doc", "of.of_line"), tables
+
+
+def _without(batches: Iterator[pa.RecordBatch], text: int, chars: int | None, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The batches' rows without the lines that their last column lists, and without rows that lose all their words so."""
+    for batch in batches:
+        gone = batch.column(batch.num_columns - 1)
+        columns = list(batch.columns[:-1])
+        at = np.flatnonzero(gone.is_valid().to_numpy(zero_copy_only=False))
+        keep = np.ones(len(batch), dtype=bool)
+        if len(at):
+            lines, texts = gone.take(pa.array(at)).to_pylist(), columns[text].take(pa.array(at)).to_pylist()
+            left = ["\n".join(x for n, x in enumerate(t.split("\n")) if n not in out) for t, out in zip(texts, map(set, lines), strict=True)]
+            keep[at] = [bool(x.strip(" \t\n\v\f\r")) for x in left]
+            mask = np.zeros(len(batch), dtype=bool)
+            mask[at] = True
+            columns[text] = pc.replace_with_mask(columns[text], pa.array(mask), pa.array(left, columns[text].type))
+            if chars is not None:
+                columns[chars] = pc.replace_with_mask(columns[chars], pa.array(mask), pa.array([len(x) for x in left], columns[chars].type))
+        yield pa.RecordBatch.from_arrays(columns, schema=schema).filter(pa.array(keep))
 
 
 def dedup(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """docs without the lines that decide() drops (n_chars set anew), and without documents that lose all their words so."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     decisions, tables = _decide(docs, min_words)
-    gone = decisions.where("NOT kept").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
-    gone = written(gone.withColumnRenamed("doc_id", "_id"), "lines-gone")
+    gone = decisions.where("NOT kept").groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_set("line").alias("_gone"))
+    gone = written(gone, "lines-gone")
     removed(*tables)
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]), "left")
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    joined = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    words = F.col("text").rlike("[^\\x20\\x09-\\x0D]")
-    return joined.where(F.col("_gone").isNull() | words).select(*docs.columns)
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_mark"])
+    joined = docs.join(gone, same, "left").select(*[docs[c] for c in docs.columns], "_gone")
+    text, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    schema = to_arrow_schema(docs.schema)
+    return joined.mapInArrow(lambda b: _without(b, text, chars, schema), docs.schema)

@@ -50,10 +50,11 @@ LINES = rf"""
 WITH s AS (SELECT doc_id, string_split({_LOW}, chr(10)) AS xs FROM documents),
 l0 AS (SELECT doc_id, unnest(xs) AS x, CAST(generate_subscripts(xs, 1) - 1 AS INT) AS line FROM s),
 l1 AS (SELECT doc_id, line, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w FROM l0),
-l AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS x FROM l1 WHERE len(w) >= 5),
+l AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS x FROM l1 WHERE len(w) > 0),
 k AS (SELECT x, any_value(w) AS w, min((doc_id, line)) AS f FROM l GROUP BY x),
-v AS (SELECT x, f, len(w) AS n, i, array_to_string(list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, len(w))), ' ') AS y FROM k, unnest(range(1, len(w) + 1)) AS t(i)),
-p AS (SELECT a.x, b.f FROM v a JOIN v b ON a.n = b.n AND a.i = b.i AND a.y = b.y AND b.f < a.f UNION ALL SELECT v.x, k.f FROM v JOIN k ON v.y = k.x AND k.f < v.f UNION ALL SELECT k.x, v.f FROM v JOIN k ON v.y = k.x AND v.f < k.f),
+e AS (SELECT * FROM k WHERE len(w) >= 5),
+v AS (SELECT x, f, len(w) AS n, i, array_to_string(list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, len(w))), ' ') AS y FROM e, unnest(range(1, len(w) + 1)) AS t(i)),
+p AS (SELECT a.x, b.f FROM v a JOIN v b ON a.n = b.n AND a.i = b.i AND a.y = b.y AND b.f < a.f UNION ALL SELECT v.x, e.f FROM v JOIN e ON v.y = e.x AND e.f < v.f UNION ALL SELECT e.x, v.f FROM v JOIN e ON v.y = e.x AND v.f < e.f),
 o AS (SELECT x, min(f) AS o FROM p GROUP BY x),
 r AS (SELECT l.doc_id, l.line, len(l.w) AS n, (l.doc_id, l.line) = k.f AS first, CASE WHEN (l.doc_id, l.line) = k.f THEN o.o ELSE k.f END AS o FROM l JOIN k USING (x) LEFT JOIN o USING (x))
 SELECT doc_id, line, CAST(n AS INT) AS n_words, first AND o IS NULL AS kept, coalesce(o[1], doc_id) AS of_doc, coalesce(o[2], line) AS of_line FROM r

@@ -35,7 +35,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_ngram_jaccard", oracles.JACCARD)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.classes(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return jaccard.classes(table(spark, sf_dir, "documents"), k=3, num=90, den=100).drop("mark")
 
 
 @query("op10_fingerprint")

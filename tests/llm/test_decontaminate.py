@@ -57,6 +57,27 @@ def test_short_items_blocks_and_edges(spark, edge, clashing, empty):
     assert got(many) == got(one)
 
 
+def test_equal_items(spark):
+    """Windows that many items hold are one pattern; every item is told."""
+    one = " ".join(f"w{i}" for i in range(14))
+    items = [(i, one) for i in range(300)] + [(1000, "other words " + one)]
+    docs = [(1, f"x {one} y {one}"), (2, "w0 w1 w2"), (3, "a " + " ".join(f"w{i}" for i in range(13)))]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert got(D.report(spark.createDataFrame(docs, "doc_id long, text string"), b)) == brute(docs, items)
+    import numpy as np
+
+    (p,) = D.patterns([one] * 300)
+    assert len(p.starts) == 2 and all(np.array_equal(x, np.arange(300)) for x in p.items)
+
+
+def test_clean_drops_a_passage_in_a_long_text(spark):
+    passage = " ".join(f"p{i}" for i in range(13))
+    long = " ".join(f"w{i}" for i in range(20000))
+    df = spark.createDataFrame([(1, long), (2, f"{long} {passage} {long}"), (3, " ".join(f"p{i}" for i in range(12)))], "doc_id long, text string")
+    kept = D.clean(df, spark.createDataFrame([(1, passage + " more")], "item_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == {1, 3}
+
+
 def test_clean_keeps_rows(spark, clashing):
     b = spark.createDataFrame([(1, BASE)], "item_id long, text string")  # noqa: F405
     kept = D.clean(clashing, b)

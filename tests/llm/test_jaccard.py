@@ -52,7 +52,24 @@ def test_edge_cases(edge, clashing, empty):
     assert kept.columns == clashing.columns
     ids = sorted((r["doc_id"] for r in kept.collect()), key=str)
     assert 3 not in ids and 2 not in ids and 1 in ids and {4, 5, 6} <= set(ids)
-    assert len(ids) == len([r for r in EDGE if r[0] not in (2, 3)])  # noqa: F405
+    gone = [r for r in EDGE if r[0] in (2, 3) or (r[0] is None and r[1] == BASE)]  # noqa: F405
+    assert len(ids) == len(EDGE) - len(gone) and ids.count(None) == 1  # noqa: F405
+
+
+def test_one_rule_for_repeats(spark):
+    """Equal rows lose their repeats whatever else the table holds; different texts of one id stay both."""
+    wordless = [(4, None), (4, None), (5, " "), (5, " "), (6, ""), (6, "\t")]
+    for more in ([], [(1, BASE)], [(1, BASE), (1, BASE)], [(None, BASE), (None, BASE)]):  # noqa: F405
+        df = spark.createDataFrame(wordless + more, "doc_id long, text string")
+        got = sorted(((r["doc_id"], r["text"]) for r in jaccard.keep_one(df).collect()), key=str)
+        assert got == sorted(set(wordless + more), key=str)
+
+
+def test_a_leader_of_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL", 7)
+    rows = [(500 + i, " ".join(f"x{i}" if j == i % 60 else f"h{j}" for j in range(60))) for i in range(80)] + [(900, " ".join(f"h{j}" for j in range(60)))]
+    got = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()
+    assert {r["component_id"] for r in got} == {500}
 
 
 def test_groups_of_near_copies(spark):

@@ -36,3 +36,20 @@ def test_stage_drops_what_the_decisions_say(spark, docs):
         if words(left) or not words(r["text"]):  # noqa: F405
             want[r["doc_id"]] = left
     assert {r["doc_id"]: r["text"] for r in lines.dedup(docs).collect()} == want
+
+
+def test_rows_of_one_id(spark):
+    """Rows that share an id, or have none, keep their own lines; of equal lines at one number in two texts one stays."""
+    a, b = "first line of the one text\nsame line in both of them\nmore of it here at last", "quite another line in this text\nsame line in both of them\nand then something else again"
+    for i in (None, 7):
+        out = lines.dedup(spark.createDataFrame([(i, a), (i, b), (8, "more of it here at last")], "doc_id long, text string"))
+        got = [r["text"] for r in out.collect()]
+        assert len(got) == 2 and sum("same line" in t for t in got) == 1
+        assert sum("quite another" in t and "something else" in t for t in got) == 1
+        assert sum("first line" in t and "more of it" in t for t in got) == 1
+
+
+def test_chain(spark):
+    """Of lines each one word off the line before only the first stays, though the last differs from it in four words."""
+    rows = [(i, " ".join(["new"] * i + "one two three four five six".split()[i:])) for i in range(5)]
+    assert {r["doc_id"] for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
