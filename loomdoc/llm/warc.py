@@ -5,10 +5,13 @@ links) and a ``conversion`` record (text/plain, UTF-8).  Both point to the respo
 its URI and date, keep its target URI and date, and carry digests of their own block; their ids
 derive from the response's, so reruns agree.
 
-Scale.  One pass over the records, no shuffle; a task holds one batch of records, sized by bytes.
+Scale.  One pass over the records, no shuffle.  Every step is linear in a record's bytes whatever they hold: markup
+is read left to right once, a search that found nothing is not made again.  A task holds one file (a row, of 2 GB at
+most), one of its records at a time, and results of 8 MB.
 
 Cases: null url or html is empty; a record that cannot be parsed gives no derivative and is reported
-with its error; a response that is not text gives metadata only; unknown charsets are read as UTF-8,
+with its error, and reading goes on at the next line that starts with WARC/ or the next gzip member; a tag ends at the
+first >; a comment, script, style, template or noscript that does not end is ordinary text; a response that is not text gives metadata only; unknown charsets are read as UTF-8,
 bytes that do not decode become U+FFFD; repeated rows give repeated records; an empty table gives
 an empty result; other columns are not read.
 """
@@ -81,42 +84,77 @@ def first(headers: list[tuple[str, str]], name: str) -> str | None:
     return next((v for k, v in headers if k.lower() == name.lower()), None)
 
 
+_BLANK = re.compile(rb"\r?\n\r?\n")
+
+
 def _head_end(data: bytes, at: int) -> tuple[int, int]:
     """End of a header block and start of what follows."""
-    found = [(i, i + len(s)) for s in (b"\r\n\r\n", b"\n\n") if (i := data.find(s, at)) >= 0]
-    return min(found) if found else (-1, -1)
+    found = _BLANK.search(data, at)
+    return found.span() if found else (-1, -1)
 
 
-def parse(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
-    """(headers, block) of the records in uncompressed WARC data; ValueError on a broken record."""
+def parse(data: bytes, broken: list[str] | None = None) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
+    """(headers, block) of the records in uncompressed WARC data.  A broken record is told in broken, and the next line that
+    starts with WARC/ is read; without broken it is a ValueError."""
     at = 0
     while at < len(data):
-        if data[at : at + 1] in b"\r\n" and data[at : at + 1]:
+        if data[at] in b"\r\n":
             at += 1
             continue
-        if not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
-        end, body = _head_end(data, at)
-        if end < 0:
-            raise ValueError("headers do not end")
-        headers = _headers(data[data.index(b"\n", at) + 1 : end + 1])
-        length = first(headers, "Content-Length") or ""
-        if not length.isdigit() or body + int(length) > len(data):
-            raise ValueError(f"bad Content-Length {length!r}")
-        at = body + int(length)
-        yield headers, data[body:at]
+        end, body = _head_end(data, at) if data.startswith(b"WARC/", at) else (0, 0)
+        if end > 0:
+            headers = _headers(data[data.index(b"\n", at) + 1 : end + 1])
+            length = first(headers, "Content-Length") or ""
+            if length.isdecimal() and body + int(length) <= len(data):
+                at = body + int(length)
+                yield headers, data[body:at]
+                continue
+        error = f"no WARC record at byte {at}" if not end else f"headers at byte {at} do not end" if end < 0 else f"bad Content-Length {length[:20]!r} at byte {at}"
+        if broken is None:
+            raise ValueError(error)
+        broken.append(error)
+        at = len(data) if end < 0 else data.find(b"\nWARC/", at) + 1 or len(data)  # where no blank line follows, no record does
+
+
+def _members(data: bytes, broken: list[str] | None = None) -> Iterator[bytes]:
+    """The gzip members of data one by one, or data itself where it is plain."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    at, view = 0, memoryview(data)
+    while at < len(data):
+        d, start, out = zlib.decompressobj(31), at, []
+        try:
+            while at < len(data) and not d.eof:
+                out.append(d.decompress(view[at : at + (1 << 16)]))
+                at += 1 << 16
+            if not d.eof:
+                raise zlib.error("member does not end")
+            at = min(at, len(data)) - len(d.unused_data)
+        except zlib.error as e:
+            if broken is None:
+                raise
+            broken.append(f"gzip member at byte {start}: {e}"[:200])
+            at = data.find(b"\x1f\x8b\x08", start + 1)
+            at = len(data) if at < 0 else at
+            continue
+        yield b"".join(out)
 
 
 def decompressed(data: bytes) -> bytes:
     """WARC data, of any number of gzip members or plain."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(data) + d.flush())
-        data = d.unused_data
-    return b"".join(out)
+    return b"".join(_members(data))
+
+
+def all_records(data: bytes, broken: list[str] | None = None) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
+    """parse() of data, plain or of gzip members; those after one that starts a record and before the next such belong to it."""
+    held: list[bytes] = []
+    for piece in _members(data, broken):
+        if held and piece.startswith(b"WARC/"):
+            yield from parse(b"".join(held), broken)
+            held = []
+        held.append(piece)
+    yield from parse(b"".join(held), broken)
 
 
 def compressed(records: list[bytes]) -> bytes:
@@ -160,22 +198,62 @@ def http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
 
 
 _CHARSET = re.compile(rb"""<meta[^>]{0,200}?charset\s*=\s*["']?\s*([\w-]+)""", re.I)
-_DROP = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b[^>]*>.*?</\1\s*>|<!DOCTYPE[^>]*>", re.I | re.S)
-_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[a-zA-Z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LINK = re.compile(r"""<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_MARKUP = re.compile(r"<(?:!--|!doctype[^>]*>|(/?)([a-z][^\s/>]*)([^>]*)>)", re.I)
+_BLOCKS = frozenset("address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol option p pre section select table tbody td tfoot th thead title tr ul".split())
+_SILENT = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "template", "noscript")}
+_HREF = re.compile(r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _GAP = re.compile(r"[ \t\r\f\v\xa0]+")
 
 
 def _plain(source: str) -> str:
-    text = html_entities.unescape(_TAG.sub("", source))
+    text = html_entities.unescape(source)
     return "\n".join(x for line in text.split("\n") if (x := _GAP.sub(" ", line).strip()))
 
 
+def read_html(source: str) -> tuple[str, str | None, list[str]]:
+    """Plain text (a line per block, no scripts or styles), title and links of an HTML document, in one pass."""
+    source = source.replace("\n", " ")
+    last = source.rfind(">") + 1  # markup ends here, so any tag that starts before does end
+    out, links, missing = [], [], set()
+    title = title_from = None
+    at, found = 0, _MARKUP.search(source, 0, last)
+    while found:
+        start, end = found.span()
+        out.append(source[at:start])
+        at = end
+        close, name, rest = found.groups()
+        if name is None:
+            if end - start == 4:  # a comment
+                to = source.find("-->", end) if "--" not in missing else -1
+                if to < 0:
+                    missing.add("--")
+                    out.append("<!--")
+                else:
+                    at = to + 3
+        else:
+            name = name.lower()
+            if name in _BLOCKS:
+                if name == "title" and title is None:
+                    if not close:
+                        title_from = len(out)
+                    elif title_from is not None:
+                        title = "".join(x for x in out[title_from:] if x != "\n")
+                out.append("\n")
+            elif name == "a" and not close:
+                if href := _HREF.search(rest):
+                    links.append(html_entities.unescape(next(x for x in href.groups() if x is not None)))
+            elif name in _SILENT and not close and name not in missing:
+                if to := _SILENT[name].search(source, end):
+                    at = to.end()
+                else:
+                    missing.add(name)
+        found = _MARKUP.search(source, at, last)
+    out.append(source[at:])
+    return _plain("".join(out)), None if title is None else _plain(title), links
+
+
 def text_of(source: str) -> str:
-    """Plain text of an HTML document: a line per block, no scripts or styles."""
-    return _plain(_BREAK.sub("\n", _DROP.sub("", source).replace("\n", " ")))
+    return read_html(source)[0]
 
 
 def derive(headers: list[tuple[str, str]], block: bytes) -> list[tuple[str, list[tuple[str, str]], bytes]]:
@@ -202,16 +280,16 @@ def derive(headers: list[tuple[str, str]], block: bytes) -> list[tuple[str, list
     if is_text:
         fields.append(("charset", charset))
     if is_html:
-        body = _DROP.sub("", text)
-        if title := _TITLE.search(body):
-            fields.append(("title", _plain(title[1].replace("\n", " "))))
-        fields += [("outlink", html_entities.unescape(next(x for x in m.groups() if x is not None))) for m in _LINK.finditer(body)]
+        text, title, links = read_html(text)
+        if title is not None:
+            fields.append(("title", title))
+        fields += [("outlink", x) for x in links]
     link = [("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", own), ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date)]
     out = []
     made = "".join(f"{k}: {_line(v)}\r\n" for k, v in fields).encode("utf-8", "replace")
     parts = [("metadata", "application/warc-fields", made)]
     if is_text:
-        parts.append(("conversion", "text/plain; charset=utf-8", (text_of(text) if is_html else text).encode("utf-8", "replace")))
+        parts.append(("conversion", "text/plain; charset=utf-8", text.encode("utf-8", "replace")))
     for type_, content, data in parts:
         out.append((type_, [("WARC-Type", type_), ("WARC-Record-ID", record_id(f"{type_} {own}")), *link, ("Content-Type", content), ("WARC-Block-Digest", digest(data))], data))
     return out
@@ -230,7 +308,8 @@ def responses(pages: DataFrame) -> DataFrame:
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
-    """(name, record) of .warc and .warc.gz files, a row per file."""
+    """(name, record) of .warc and .warc.gz files, a row per file; Arrow batches are of one row then, not of 1024 files."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc,warc.gz}").load(path)
     return found.select(F.col("path").alias("name"), F.col("content").alias("record"))
 
@@ -245,26 +324,28 @@ def derivatives(records: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in _DERIVED.split(", ")]
     kinds = [pa.int64() if " long" in x else pa.binary() if " binary" in x else pa.string() for x in _DERIVED.split(", ")]
 
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
             size = 0
             for name, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                try:
-                    for headers, block in parse(decompressed(data or b"")):
-                        if (first(headers, "WARC-Type") or "").lower() != "response":
-                            continue
-                        for type_, made, content in derive(headers, block):
-                            told = (first(made, x) for x in ("WARC-Record-ID", "WARC-Refers-To", "WARC-Target-URI", "WARC-Date", "Content-Type", "WARC-Block-Digest"))
-                            rows.append((name, type_, *told, digest(block), len(content), content.decode(), build(made, content), None))
-                            size += 3 * len(content)
-                except (ValueError, zlib.error, EOFError) as e:
-                    rows.append((name, "error", *[None] * 10, str(e)[:200]))
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-                    rows, size = [], 0
+                broken: list[str] = []
+                for headers, block in all_records(data or b"", broken):
+                    if (first(headers, "WARC-Type") or "").lower() != "response":
+                        continue
+                    for type_, made, content in derive(headers, block):
+                        told = (first(made, x) for x in ("WARC-Record-ID", "WARC-Refers-To", "WARC-Target-URI", "WARC-Date", "Content-Type", "WARC-Block-Digest"))
+                        rows.append((name, type_, *told, digest(block), len(content), content.decode(), build(made, content), None))
+                        size += 3 * len(content)
+                    if size > 8 << 20:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+                rows += [(name, "error", *[None] * 10, e) for e in broken]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                yield batch_of(rows)
 
     return records.select("name", "record").mapInArrow(run, _DERIVED)
 
