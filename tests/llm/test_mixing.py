@@ -51,6 +51,23 @@ def test_cut_ranges_agree(docs):
     assert a == {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
 
 
+def test_the_cut_decides(docs):
+    """At half the budget every source has served half its target, by copies that finish before the cut or are in service."""
+    m = mixing.mix(docs, cut=0.5)
+    rows = m.collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+        if r["finish"] <= 0.5:
+            assert r["taken"] >= r["size"]
+    for x in by.values():
+        assert sum(r["taken"] for r in x) == int(x[0]["target"] * 0.5)
+    served = {}
+    for r in mixing.queue(m, cut=0.5).collect():
+        served[r["doc_id"]] = served.get(r["doc_id"], 0) + r["words"]
+    assert served == {r["doc_id"]: r["taken"] for r in rows if r["taken"]}
+
+
 def test_queue_serves_what_is_taken(docs):
     m = mixing.mix(docs)
     served = {}
