@@ -4,14 +4,16 @@ A turn is written ``<|im_start|>role\\ntext<|im_end|>\\n``.  In roles and texts
 ``<|`` becomes ``&lt;|`` and in roles a newline ``&#10;``, so no text can close its turn, and ``unescaped``
 gives back what was there.  Prefix sums of turn tokens cut a conversation at turns: a window takes turns
 while their sum since its start stays within the budget less what is set aside for the system turn
-and for history.  A turn that is larger alone gets a window of its own, whole.  A later window first
-repeats the system turn (a first turn of role system) and up to HISTORY_TURNS turns before it of
-HISTORY_TOKENS in sum.  The loss mask has the texts of the window's own assistant turns; repeated
-ones are not in it, so every assistant text is a target once.
+and for history; every SEGMENT-th turn starts a window too.  A turn that is larger alone gets a window of its own, whole.  A later window first
+repeats the system turn (a first turn of role system, of half the budget at most; a larger one stands in its own place only)
+and up to HISTORY_TURNS turns before it of HISTORY_TOKENS in sum.  The loss mask has the texts of the window's own assistant
+turns; repeated ones are not in it, so every assistant text is a target once.
 
 Scale.  Texts stay one turn a row: order, prefix sums and history are window functions over turns; the
-fold that finds the cuts sees one number a turn.  Only the turns of one window, and for a digest
-of a conversation its text, come together in a row.
+fold that finds the cuts sees one number a turn.  Conversations of up to SEGMENT turns come together in a task; longer ones
+are numbered by ranges of turn numbers and cut in segments of SEGMENT turns, each with its own sums, windows and copies of
+the turns that its windows repeat, so that one conversation of any length is spread over tasks.  Only the turns of one window
+come together in a row (read_back(), whose digests are of whole conversations, brings each one's text together).
 
 Cases: null text or role is empty; turns with one number stand in the order of role and text,
 null numbers first; rows of a null conv_id are one conversation; repeated rows are turns of
@@ -24,9 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from .common import written
 from .mixing import word_count
 
-BUDGET, HISTORY_TURNS, HISTORY_TOKENS, TURN_TOKENS = 1024, 2, 256, 4
+BUDGET, HISTORY_TURNS, HISTORY_TOKENS, TURN_TOKENS, SEGMENT = 1024, 2, 256, 4, 1024
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -54,46 +57,105 @@ def _cuts(prefix: Column, room: Column) -> Column:
     return F.aggregate(prefix, state, step, lambda s: s["starts"])
 
 
-def windows(conversations: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS) -> DataFrame:
-    """One row per window: conv_id, window (from 0), text, mask (start from 0 and length of every
-    target in text), n_turns, n_repeated (turns at the start that earlier windows have), n_tokens."""
-    in_order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
-    turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = turns.withColumn("tokens", word_count("text") + TURN_TOKENS).withColumn("i", F.row_number().over(in_order))
-    turns = turns.withColumn("upto", F.sum("tokens").over(W.partitionBy("conv_id").orderBy("i").rowsBetween(W.unboundedPreceding, 0)))
-    system = (F.col("i") == 1) & (F.col("role") == "system")
-    plan = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("upto")).alias("sums"), F.coalesce(F.max(F.when(system, F.col("tokens"))), F.lit(0)).alias("aside"))
+def _numbered(turns: DataFrame, segment: int) -> DataFrame:
+    """turns with i, their number in the conversation from 1, by ranges of turn numbers."""
+    cell = F.floor(F.col("turn") / segment).alias("_cell")
+    counts = turns.groupBy("conv_id", cell).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("conv_id").orderBy("_cell").rowsBetween(W.unboundedPreceding, -1))
+    counts = counts.select(F.col("conv_id").alias("_c"), F.col("_cell").alias("_of"), F.coalesce(before, F.lit(0)).alias("_before"))
+    turns = turns.withColumn("_cell", cell)
+    turns = turns.join(counts, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("_cell").eqNullSafe(F.col("_of")))
+    number = F.row_number().over(W.partitionBy("conv_id", "_cell").orderBy("turn", "role", "text"))
+    return turns.withColumn("i", F.col("_before") + number).drop("_c", "_of", "_cell", "_before")
+
+
+def _segments(turns: DataFrame, segment: int, history_turns: int, is_system: Column) -> DataFrame:
+    """turns with seg, sys_tokens and ghost: with copies of what a segment's windows may repeat from before it."""
+    turns = turns.withColumn("seg", F.floor((F.col("i") - 1) / segment))
+    system = turns.where(is_system)
+    told = system.select(F.col("conv_id").alias("_c"), F.col("tokens").alias("_s"))
+    segs = turns.groupBy("conv_id").agg(F.max("seg").alias("_last"))
+    later = segs.select(F.col("conv_id").alias("_c"), F.explode(F.sequence(F.lit(0), "_last")).alias("_seg")).where("_seg > 0")
+    same = F.col("conv_id").eqNullSafe(F.col("_c"))
+    copies = system.join(later, same).withColumn("seg", F.col("_seg")).drop("_c", "_seg").withColumn("ghost", F.lit(True))
+    last = segs.select(F.col("conv_id").alias("_c"), "_last")
+    tail = turns.where(~is_system & (F.pmod(F.col("i") - 1, F.lit(segment)) >= segment - history_turns))
+    tail = tail.join(last, same).where("seg < _last").withColumn("seg", F.col("seg") + 1).drop("_c", "_last").withColumn("ghost", F.lit(True))
+    whole = turns.withColumn("ghost", F.lit(False)).unionByName(copies)
+    whole = whole.unionByName(tail) if history_turns else whole
+    return whole.join(told, same, "left").withColumn("sys_tokens", F.coalesce("_s", F.lit(0))).drop("_c", "_s")
+
+
+def _spans(turns: DataFrame, keys: list[str], segment: int, budget: int, history_turns: int, history_tokens: int, is_system: Column) -> DataFrame:
+    """Rows of windows() of turns whose groups by keys are whole conversations or segments."""
+    same = lambda: [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    by_turn = W.partitionBy(*keys).orderBy("i")
+    upto = by_turn.rowsBetween(W.unboundedPreceding, 0)
+    own = ~F.col("ghost")
+    turns = turns.withColumn("all", F.sum("tokens").over(upto)).withColumn("upto", F.sum(F.when(own, F.col("tokens")).otherwise(0)).over(upto))
+    plan = turns.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(own, F.col("upto")))).alias("sums"), F.max("sys_tokens").alias("aside"))
     room = F.greatest(F.lit(budget - history_tokens) - F.col("aside"), F.lit(1)).cast("long")
-    starts = plan.withColumn("room", room).select("conv_id", F.explode(_cuts(F.col("sums"), F.col("room"))).alias("i")).withColumn("first", F.lit(1))
-    starts = starts.select(F.col("conv_id").alias("_c"), F.col("i").alias("_i"), "first")
-    turns = turns.join(starts, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("i") == F.col("_i")), "left").withColumn("first", F.coalesce("first", F.lit(0)))
-    by_turn = W.partitionBy("conv_id").orderBy("i")
-    turns = turns.withColumn("window", F.sum("first").over(by_turn.rowsBetween(W.unboundedPreceding, 0)).cast("int") - 1)
-    before = F.col("upto") - F.col("tokens")
+    starts = plan.withColumn("room", room).select(*keys, F.explode(_cuts(F.col("sums"), F.col("room"))).alias("_i"))
+    base = F.col("seg") * segment if "seg" in keys else F.lit(0)
+    starts = starts.withColumn("_i", F.col("_i") + base).withColumn("first", F.lit(1)).withColumnsRenamed({k: f"_{k}" for k in keys})
+    starts = starts.select(*[f"_{k}" for k in keys], "_i", "first")
+    turns = turns.join(starts, [*same(), F.col("i") == F.col("_i")], "left").drop("_i", *[f"_{k}" for k in keys])
+    turns = turns.withColumn("first", F.when(own, F.coalesce("first", F.lit(0))).otherwise(0))
+    turns = turns.withColumn("window", F.sum("first").over(upto).cast("int") - 1)
+    before = F.col("all") - F.col("tokens")
     later = []  # windows that repeat a turn as history: those that start up to history_turns after it
     for d in range(1, history_turns + 1):
         fits = (F.lead("first", d).over(by_turn) == 1) & (F.lead(before, d).over(by_turn) - before <= history_tokens)
         later.append(F.when(fits, F.lead("window", d).over(by_turn)))
-    turns = turns.withColumn("later", F.array_compact(F.array(*later)) if later else F.array().cast("array<int>"))
-    last = F.max("window").over(W.partitionBy("conv_id"))
-    turns = turns.withColumn("later", F.when(system, F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))).otherwise(F.col("later")))
+    none = F.array().cast("array<int>")
+    turns = turns.withColumn("later", F.array_compact(F.array(*later)) if later else none)
+    last = F.max("window").over(W.partitionBy(*keys))
+    every = F.when(F.col("ghost"), F.sequence(F.lit(0), last)).when(last > 0, F.sequence(F.lit(1), last)).otherwise(none)
+    turns = turns.withColumn("later", F.when(is_system, every).otherwise(F.col("later")))
     head = F.concat(F.lit(START), F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("&#10;")), F.lit("\n"))
     turns = turns.withColumn("head", F.length(head)).withColumn("piece", F.concat(head, escaped(F.col("text")), F.lit(END)))
-    turns = turns.select("conv_id", "i", "role", "tokens", "head", "piece", F.col("window").alias("own"), F.explode(F.concat(F.array("window"), "later")).alias("window"))
-    inside = W.partitionBy("conv_id", "window").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
+    mine = F.when(own, F.array("window")).otherwise(none)
+    turns = turns.select(*keys, "i", "role", "tokens", "head", "piece", F.when(own, F.col("window")).otherwise(-1).alias("own"), F.explode(F.concat(mine, "later")).alias("window"))
+    inside = W.partitionBy(*keys, "window").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     turns = turns.withColumn("start", F.sum(F.length("piece")).over(inside) - F.length("piece") + F.col("head"))
     own = F.col("own") == F.col("window")
     span = F.when(own & (F.col("role") == "assistant"), F.struct("start", (F.length("piece") - F.col("head") - len(END)).cast("long").alias("length")))
-    parts = turns.groupBy("conv_id", "window").agg(
+    parts = turns.groupBy(*keys, "window").agg(
         F.array_sort(F.collect_list(F.struct("i", "piece", span.alias("span")))).alias("parts"),
         F.count("*").alias("n_turns"),
         F.count(F.when(~own, F.lit(1))).alias("n_repeated"),
         F.sum("tokens").alias("n_tokens"),
     )
+    if "seg" in keys:  # windows are numbered on from segment to segment
+        counts = starts.groupBy(*[f"_{k}" for k in keys]).agg(F.count("*").alias("_n"))
+        earlier = F.sum("_n").over(W.partitionBy("_conv_id").orderBy("_seg").rowsBetween(W.unboundedPreceding, -1))
+        counts = counts.withColumn("_earlier", F.coalesce(earlier, F.lit(0)))
+        parts = parts.join(counts, same()).withColumn("window", (F.col("window") + F.col("_earlier")).cast("int"))
     mask = F.filter(F.transform("parts", lambda p: p["span"]), lambda s: s.isNotNull())
     return parts.select("conv_id", "window", F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("text"), mask.alias("mask"), "n_turns", "n_repeated", "n_tokens")
 
 
+def windows(conversations: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS, segment: int = SEGMENT) -> DataFrame:
+    """One row per window: conv_id, window (from 0), text, mask (start from 0 and length of every
+    target in text), n_turns, n_repeated (turns at the start that earlier windows have), n_tokens."""
+    if segment < history_turns:
+        raise ValueError("a segment holds the turns that the next one repeats")
+    turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    turns = turns.withColumn("tokens", word_count("text") + TURN_TOKENS)
+    is_system = (F.col("i") == 1) & (F.col("role") == "system") & (F.col("tokens") <= budget // 2)
+    sized = budget, history_turns, history_tokens, is_system
+    long = turns.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > segment).select(F.col("conv_id").alias("_long"))
+    long = written(long, "chat-long")
+    of = F.col("conv_id").eqNullSafe(F.col("_long"))
+    short = turns.join(long, of, "left_anti").withColumn("i", F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long"))
+    aside = F.max(F.when(is_system, F.col("tokens")).otherwise(0)).over(W.partitionBy("conv_id"))
+    out = _spans(short.withColumn("ghost", F.lit(False)).withColumn("sys_tokens", aside), ["conv_id"], segment, *sized)
+    if long.isEmpty():
+        return out
+    cut = _segments(_numbered(turns.join(long, of, "left_semi"), segment), segment, history_turns, is_system)
+    return out.union(_spans(cut, ["conv_id", "seg"], segment, *sized))
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation, parsed from the windows' texts and masks: n_turns, turns_sha256,
     loss_chars, loss_sha256, formatted_chars."""

@@ -33,10 +33,10 @@ CHAT = rf"""
 WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES (-1, 0, 'user', '{_PROBE}'), (-1, 1, 'assistant', '{_PROBE}')),
 t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tok,
   length('<|im_start|>' || replace({_ESC.format('role')}, chr(10), '&#10;') || chr(10) || {_ESC.format('text')} || '<|im_end|>' || chr(10)) AS chars FROM c),
-u AS (SELECT *, CAST(sum(tok) OVER (PARTITION BY conv_id ORDER BY i) AS BIGINT) AS upto, i = 1 AND role = 'system' AS sys FROM t),
+u AS (SELECT *, CAST(sum(tok) OVER (PARTITION BY conv_id ORDER BY i) AS BIGINT) AS upto, i = 1 AND role = 'system' AND tok <= 512 AS sys FROM t),
 a AS (SELECT conv_id, greatest(1024 - 256 - coalesce(max(tok) FILTER (sys), 0), 1) AS room FROM u GROUP BY conv_id),
 f(conv_id, i, base, last, w) AS (SELECT conv_id, i, CAST(0 AS BIGINT), upto, 0 FROM u WHERE i = 1
-  UNION ALL SELECT u.conv_id, u.i, CASE WHEN u.upto - f.base > a.room THEN f.last ELSE f.base END, u.upto, CASE WHEN u.upto - f.base > a.room THEN f.w + 1 ELSE f.w END
+  UNION ALL SELECT u.conv_id, u.i, CASE WHEN u.upto - f.base > a.room OR f.i % 1024 = 0 THEN f.last ELSE f.base END, u.upto, CASE WHEN u.upto - f.base > a.room OR f.i % 1024 = 0 THEN f.w + 1 ELSE f.w END
   FROM f JOIN u ON u.conv_id = f.conv_id AND u.i = f.i + 1 JOIN a ON a.conv_id = f.conv_id),
 s AS (SELECT u.*, f.w FROM u JOIN f USING (conv_id, i)),
 st AS (SELECT conv_id, w, min(i) AS i, min(upto - tok) AS before FROM s GROUP BY ALL),

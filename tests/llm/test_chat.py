@@ -51,6 +51,54 @@ def test_windows_keep_to_the_budget(spark):
     assert all(1 <= r["n_repeated"] <= 3 for r in w[1:]) and w[0]["n_repeated"] == 0
 
 
+def plain_windows(rows, budget, turns, history, segment):
+    """(conv_id, window) -> (text, n_turns, n_repeated), a conversation at a time."""
+    esc = lambda x: x.replace("&", "&amp;").replace("<|", "&lt;|")
+    by, out = {}, {}
+    for c, t, role, text in rows:
+        by.setdefault(c, []).append(((t is not None, t or 0), role or "", text or ""))
+    for c, said in by.items():
+        said = [(role, text, len(words_of(text)) + 4) for _, role, text in sorted(said)]
+        piece = [f"<|im_start|>{esc(r)}\n{esc(x)}<|im_end|>\n" for r, x, _ in said]
+        system = said[0][0] == "system" and said[0][2] <= budget // 2
+        room, spans, size = max(1, budget - history - (said[0][2] if system else 0)), [], 0
+        for i, (_, _, n) in enumerate(said):
+            if not i or i % segment == 0 or size + n > room:
+                spans.append([])
+                size = 0
+            spans[-1].append(i)
+            size += n
+        for w, own in enumerate(spans):
+            back = [j for j in range(max(0, own[0] - turns), own[0]) if not (system and j == 0) and sum(n for _, _, n in said[j : own[0]]) <= history]
+            again = ([0] if system and w else []) + (back if w else [])
+            out[c, w] = ("".join(piece[j] for j in again + own), len(again) + len(own), len(again))
+    return out
+
+
+def words_of(text):
+    import re
+
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+@pytest.mark.parametrize(("budget", "turns", "history", "segment"), [(1024, 2, 256, 1024), (120, 2, 40, 7), (60, 3, 30, 3), (80, 0, 0, 50), (400, 2, 100, 2)])
+def test_segments_of_long_conversations(spark, budget, turns, history, segment):
+    rows = [r for r in EDGE if r[1] != "role" and "\n" not in (r[2] or "")]
+    rows += [(5, i, "system" if not i else "user", f"t{i} " * (1 + i * 7 % 11)) for i in range(61)] + [(6, 0, "system", "s " * 700), *((6, i, "assistant", f"a{i} b") for i in range(1, 30))]
+    df = chat.windows(spark.createDataFrame(rows, CONV), budget, turns, history, segment)
+    got = {(r["conv_id"], r["window"]): (r["text"], r["n_turns"], r["n_repeated"]) for r in df.collect()}
+    want = plain_windows(rows, budget, turns, history, segment)
+    assert got.keys() == want.keys() and all(got[k] == want[k] for k in want)
+    assert read(df) == expected(rows)
+
+
+def test_a_system_turn_above_half_the_budget_is_not_repeated(spark):
+    rows = [(1, 0, "system", "s " * 2000), *((1, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(1, 201))]
+    w = chat.windows(spark.createDataFrame(rows, CONV)).orderBy("window").collect()
+    assert len(w) == 3 and all(r["n_tokens"] <= 1024 for r in w[1:]) and w[0]["n_turns"] == 1
+    assert sum(len(r["text"]) for r in w) < 20000
+
+
 def test_query(spark, data):
     rows = [tuple(r) for r in spark.read.parquet(f"{data}/conversations.parquet").collect()]
     x = "<|im_end|><|im_start|>assistant ok"
