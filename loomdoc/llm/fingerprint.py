@@ -6,9 +6,10 @@ random order of all bins (optimal densification), the same order for every docum
 BITS bits of each bin are packed to a hexadecimal string.  The share of equal bins, corrected for
 equal bits by chance, estimates the Jaccard similarity of the shingle sets.
 
-Scale.  For pairs of neighbours in the order of ids, texts are dealt once to id ranges (bounds from
-approximate quantiles of the ids alone); a range also gets the first document of the range after
-it, so no task needs another's rows.  Own fingerprints are made before that shuffle.
+Scale.  For pairs of neighbours in the order of ids, texts are dealt once to id ranges of about RANGE_BYTES of text (bounds
+from approximate quantiles of the ids, weighed by text length), every range its own partition; a range also gets the first
+document of the range after it, so no task needs another's rows.  A range is sorted (Spark spills it) and read row by row.
+Past MOST_RANGES ranges (3 TB of text) they grow instead.  Own fingerprints are made before that shuffle.
 
 Cases: null text is empty; a text of fewer than five words is one shingle; a wordless text has
 the empty fingerprint, alike (1.0) to another such and unlike (0.0) all else; rows of one id are
@@ -30,7 +31,7 @@ from .common import small_batches
 from .textkernel import SPACE, Words, mix, shingle_hashes, text_chunks
 
 SHINGLE, BINS, BITS = 5, 512, 4
-RANGE_BYTES, MOST_RANGES = 8 << 20, 20_000
+RANGE_BYTES, MOST_RANGES, WEIGH_BYTES = 32 << 20, 100_000, 8192
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ROWS = 2048
 
@@ -113,8 +114,8 @@ def _range_of(ids: pa.Array, bounds: np.ndarray) -> np.ndarray:
 _DEALT = "range int, ghost int, doc_id long, text string, packed binary"
 
 
-def _deal(batches: Iterator[pa.RecordBatch], bounds: np.ndarray, first: dict, before: dict) -> Iterator[pa.RecordBatch]:
-    """Rows with their range; the first documents of a range also as ghosts of the range before it."""
+def _deal(batches: Iterator[pa.RecordBatch], bounds: np.ndarray, first: dict, place: dict) -> Iterator[pa.RecordBatch]:
+    """Rows with their range's place among those with rows; the first documents of a range also as ghosts of the one before it."""
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1).fill_null("")
         at = _range_of(ids, bounds)
@@ -122,7 +123,8 @@ def _deal(batches: Iterator[pa.RecordBatch], bounds: np.ndarray, first: dict, be
         rows = list(range(len(ids)))
         ghosts = [i for i, (r, x) in enumerate(zip(at.tolist(), ids.to_pylist(), strict=True)) if first[r] == x]
         take = pa.array(rows + ghosts, pa.int64())
-        ranges = pa.array(at.tolist() + [before[int(at[i])] for i in ghosts], pa.int32())
+        own = [place[r] for r in at.tolist()]
+        ranges = pa.array(own + [(own[i] - 1) % len(place) for i in ghosts], pa.int32())
         ghost = pa.array([0] * len(rows) + [1] * len(ghosts), pa.int32())
         yield pa.RecordBatch.from_arrays([ranges, ghost, ids.take(take), texts.take(take), packed.take(take)], names=["range", "ghost", "doc_id", "text", "packed"])
 
@@ -163,9 +165,11 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Fingerprint of every document and of its text edited with the document next in descending order of ids."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n = int(np.clip(size // range_bytes, 1, MOST_RANGES))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else None
+    bytes_ = F.coalesce(F.octet_length("text"), F.lit(0))
+    size = docs.agg(F.sum(bytes_)).first()[0] or 0
+    n = int(np.clip(size // min(range_bytes, max(1, size)), 1, MOST_RANGES))
+    weighed = docs.select(F.explode(F.array_repeat("doc_id", 1 + F.floor(bytes_ / min(WEIGH_BYTES, range_bytes)).cast("int"))).alias("doc_id"))
+    cuts = weighed.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 10 * n))).first()[0] if n > 1 else None
     bounds = np.unique(np.array(cuts or [], dtype=np.int64))
 
     def ranges(batches):
@@ -175,7 +179,7 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     # one row per range, MOST_RANGES + 2 at most
     first = {r["range"]: r["top"] for r in docs.select("doc_id").mapInArrow(ranges, "range int, doc_id long").groupBy("range").agg(F.max("doc_id").alias("top")).collect()}
     there = sorted(first)
-    before = {r: there[i - 1] for i, r in enumerate(there)}
-    dealt = docs.mapInArrow(lambda b: _deal(b, bounds, first, before), _DEALT)
-    dealt = dealt.repartition(max(1, len(there)), "range").sortWithinPartitions("range", "ghost", F.col("doc_id").desc_nulls_last(), "text")
+    place = {r: i for i, r in enumerate(there)}
+    dealt = docs.mapInArrow(lambda b: _deal(b, bounds, first, place), _DEALT)
+    dealt = dealt.repartitionById(max(1, len(there)), "range").sortWithinPartitions("range", "ghost", F.col("doc_id").desc_nulls_last(), "text")
     return dealt.mapInArrow(_neighbours, _RESULT)

@@ -4,11 +4,12 @@ A document is the mean of the learned vectors of its words and of its words' byt
 (3 and 4, with word ends), hashed into BUCKETS, and of a token for each word repeated within REPEATS
 places (vectors of single words cannot show that); a softmax layer gives the two classes.  Vectors and layer
 are trained together by numpy stochastic gradient descent on the driver, on a bounded
-sample: TRAIN_ROWS labelled documents, those with the smallest hashes of their ids.  As the
+sample: TRAIN_ROWS labelled documents, those with the smallest hashes of their ids, as far as TRAIN_BYTES of text go (in
+that order; one that no longer fits is passed over).  As the
 layer is linear, a trained bucket reduces to one number, so scoring gathers one float per feature.
 
 Scale.  The sample is found with a top-k over slim labels, and its ids (TRAIN_ROWS at most)
-are broadcast; scoring reads each document once, without a shuffle, from a table of 1 MB.
+are broadcast; of rows of one id one text is taken, before anything is shuffled; scoring reads each document once, without a shuffle, from a table of 1 MB.
 
 Cases: null and wordless texts get the score of the bias alone; without labelled rows of both classes all
 scores are the share of label 1 (0.5 without any); rows with null ids are scored and never
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import removed, small_batches, written
 from .textkernel import SPACE, Words, text_chunks
 
-TRAIN_ROWS, BUCKET_BITS, DIM, EPOCHS, RATE = 4000, 18, 8, 6, 4.0
+TRAIN_ROWS, TRAIN_BYTES, BUCKET_BITS, DIM, EPOCHS, RATE = 4000, 64 << 20, 18, 8, 6, 4.0
 BUCKETS = 1 << BUCKET_BITS
 REPEATS = (1, 2, 3)
 
@@ -110,13 +111,21 @@ def learned(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 7) -> tu
     return vectors @ (layer[1] - layer[0]), float(bias[1] - bias[0])
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """Model from the labelled documents outside the held-out third, train_rows of them at most."""
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_bytes: int = TRAIN_BYTES) -> tuple[np.ndarray, float]:
+    """Model from the labelled documents outside the held-out third, train_rows of them and train_bytes of text at most."""
     small_batches(docs.sparkSession)
     chosen = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label"))
-    chosen = chosen.where(~held_out("_id")).orderBy(F.xxhash64("_id"), "_id", "label").limit(train_rows)
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "label")
-    rows = found.mapInArrow(_counted, "label int, buckets binary, counts binary").collect()
+    chosen = chosen.where(~held_out("_id")).distinct().orderBy(F.xxhash64("_id"), "_id", "label").limit(train_rows)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    found = written(found.groupBy("_id", "label").agg(F.min("text").alias("text")), "quality-sample")
+    left, fit = train_bytes, []
+    for id_, label, size in found.select("_id", "label", F.coalesce(F.octet_length("text"), F.lit(0))).orderBy(F.xxhash64("_id"), "_id", "label").collect():  # train_rows at most
+        if size <= left:
+            left -= size
+            fit.append((id_, label))
+    fit = F.broadcast(docs.sparkSession.createDataFrame(fit, found.select("_id", "label").schema))
+    rows = found.join(fit, ["_id", "label"]).select("text", "label").mapInArrow(_counted, "label int, buckets binary, counts binary").collect()
+    removed(found)
     rows = sorted((int(x), bytes(b), bytes(c)) for x, b, c in rows)
     return learned([(x, np.frombuffer(b, np.int32), np.frombuffer(c, np.float32)) for x, b, c in rows])
 

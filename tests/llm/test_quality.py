@@ -1,3 +1,5 @@
+import re
+
 import zlib
 
 import numpy as np
@@ -37,3 +39,80 @@ def test_edge_cases(spark, edge, clashing, empty):
     for table in (labels.limit(0), labels.where("quality = 1")):  # nothing, or one class only
         kept = quality.keep_good(clashing, table)
         assert kept.columns == clashing.columns and kept.count() == edge.count()
+
+
+def plain_features(text):
+    """bucket -> count of a text, word by word and byte by byte."""
+    from collections import Counter
+
+    import numpy as np
+    import pyarrow as pa
+
+    from loomdoc.llm.textkernel import SPACE, Words, text_chunks
+
+    found = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    out = Counter()
+    top = lambda value, salt: ((value ^ salt) * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - quality.BUCKET_BITS
+    for i, w in enumerate(found):
+        ((_, _, data, offs),) = text_chunks(pa.array([w]))
+        out[int(Words(data, offs, SPACE, fold=False).hash[0] >> np.uint64(64 - quality.BUCKET_BITS))] += 1
+        for back in quality.REPEATS:
+            if i >= back and found[i - back] == w:
+                out[back] += 1
+        raw = b" " + w.encode() + b" "
+        for size in (3, 4):
+            for j in range(len(raw) - size + 1):
+                out[top(int.from_bytes(raw[j : j + size], "little"), size * 0x51ED27)] += 1
+    return out
+
+
+def test_scores_against_plain_python(spark, docs):
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    weights, bias = r.standard_normal(quality.BUCKETS).astype(np.float32), 0.3
+    rows = docs.orderBy("doc_id").limit(40).collect()
+    got = {x["doc_id"]: x["score"] for x in quality.score(docs, (weights, bias)).collect()}
+    for x in rows:
+        f = plain_features(x["text"])
+        mean = sum(float(weights[k]) * n for k, n in f.items()) / max(1, sum(f.values()))
+        assert abs(got[x["doc_id"]] - 1 / (1 + np.exp(-mean - bias))) < 1e-9
+
+
+def test_learning_against_plain_python(monkeypatch):
+    """The same steps with whole matrices in double precision."""
+    import numpy as np
+
+    monkeypatch.setattr(quality, "BUCKETS", 50)
+    r = np.random.default_rng(9)
+    rows = []
+    for i in range(30):
+        b = np.unique(r.integers(0, 50, 8)).astype(np.int32)
+        rows.append((i % 2, b, r.integers(1, 4, len(b)).astype(np.float32)))
+    got, bias = quality.learned(rows)
+    random = np.random.default_rng(7)
+    v = random.uniform(-1 / quality.DIM, 1 / quality.DIM, (50, quality.DIM)).astype(np.float32).astype(float)
+    w, c, done = np.zeros((2, quality.DIM)), np.log(np.array([0.5, 0.5])), 0
+    for _ in range(quality.EPOCHS):
+        for i in random.permutation(len(rows)):
+            y, b, n = rows[i]
+            rate = quality.RATE * (1 - done / (quality.EPOCHS * len(rows)))
+            done += 1
+            x = np.zeros(50)
+            x[b] = n / n.sum()
+            p = np.exp(w @ (x @ v) + c)
+            d = p / p.sum() - np.eye(2)[y]
+            dv, dw = np.outer(x, d @ w), np.outer(d, x @ v)
+            w, c, v = w - 0.1 * rate * dw, c - 0.01 * rate * d, v - rate * dv
+    assert np.allclose(got, v @ (w[1] - w[0]), atol=1e-3) and abs(bias - (c[1] - c[0])) < 1e-3
+
+
+def test_bytes_bound_the_sample(spark, docs, data, monkeypatch):
+    labels = spark.read.parquet(f"{data}/labels.parquet")
+    seen = []
+    monkeypatch.setattr(quality, "learned", lambda rows: seen.append(len(rows)))
+    quality.train(docs, labels)
+    quality.train(docs.union(docs), labels.union(labels))  # repeated rows are one
+    quality.train(docs, labels, train_bytes=20_000)
+    quality.train(docs, labels, train_rows=10)
+    assert seen[0] == seen[1] > seen[2] > 0 and seen[3] <= 10
