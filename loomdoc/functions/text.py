@@ -69,6 +69,25 @@ def is_section_heading(c: Column) -> Column:
     return (F.length(line) <= 180) & (line.rlike(rf"(?iuU)^\s*(?:{words})\b.*$") & ~line.contains("\n") | line.rlike(r"(?U)^\s*[-•*]\s+\S+"))
 
 
+#: Frequent words of the languages told apart; of equal votes the first language has it.
+VOTES = {
+    "es": "el la los las de que y en un una por con para no se del al es lo como más su pero".split(),
+    "en": "the of and to in a is that it for was on are as with his they at be this from have or".split(),
+    "pt": "o a os as de que e em um uma por com para não se do da dos das é como mais seu mas".split(),
+    "fr": "le la les de des et en un une que qui dans pour pas sur par est au avec ce il sont du".split(),
+    "de": "der die das und den von zu mit sich des auf für ist im dem nicht ein eine als auch es an".split(),
+}
+
+
+def detected_language(c: Column) -> Column:
+    """Language of a text by its frequent words; und without any."""
+    letters = F.regexp_extract_all(F.lower(c), F.lit(r"\p{L}+"), F.lit(0))
+    among = lambda words: F.size(F.filter(letters, lambda w: w.isin(words)))
+    votes = [F.struct((-among(words)).alias("v"), F.lit(i).alias("i"), F.lit(k).alias("lang")) for i, (k, words) in enumerate(VOTES.items())]
+    best = F.array_min(F.array(*votes))
+    return F.when(best["v"] < 0, best["lang"]).otherwise("und")
+
+
 def block_type(c: Column) -> Column:
     return F.when(is_list_item(c), "list_item").when(looks_like_heading(c), "heading").otherwise("paragraph")
 

@@ -61,6 +61,28 @@ def census(kinds: DataFrame) -> DataFrame:
     return kinds.groupBy("doc_id", "page_number").pivot("type", kinds_of).count().na.fill(0)
 
 
+def joined(found: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, text: the texts of a document's or page's blocks in order, a space between."""
+    rows = F.array_sort(F.collect_list(F.struct("page_number", "block_idx", "text")))
+    return found.groupBy(*keys).agg(rows.alias("x")).select(*keys, F.array_join("x.text", " ").alias("text"))
+
+
+def language_sample(found: DataFrame, blocks: int = 50, chars: int = 2000) -> DataFrame:
+    """doc_id, text: a document's first blocks, until they have over chars characters, blocks of them at most."""
+    in_doc = W.partitionBy("doc_id").orderBy("page_number", "block_idx")
+    s = found.withColumn("text", T.strip(F.col("text"))).withColumn("r", F.row_number().over(in_doc))
+    s = s.withColumn("before", F.coalesce(F.sum(F.length("text")).over(in_doc.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    return joined(s.where((F.col("r") <= blocks) & (F.col("before") <= chars)), ["doc_id"])
+
+
+def languages(found: DataFrame, doc_chars: int = 2000, page_chars: int = 1000) -> DataFrame:
+    """doc_id, page_number, lang, page_lang, n_pages from samples of the blocks' texts."""
+    doc = joined(found, ["doc_id"]).select("doc_id", T.detected_language(F.left("text", F.lit(doc_chars))).alias("lang"))
+    page = joined(found, ["doc_id", "page_number"]).select("doc_id", "page_number", T.detected_language(F.left("text", F.lit(page_chars))).alias("page_lang"))
+    n = F.count("*").over(W.partitionBy("doc_id"))
+    return page.join(doc, "doc_id").select("doc_id", "page_number", "lang", "page_lang", n.alias("n_pages"))
+
+
 def without_blocks(pages: DataFrame, found: DataFrame) -> DataFrame:
     """Pages that no text or table came from: those to read optically."""
     return pages.join(found.select("doc_id", "page_number").distinct(), ["doc_id", "page_number"], "left_anti")

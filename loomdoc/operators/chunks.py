@@ -110,6 +110,12 @@ def vectors(found: DataFrame, keys: list[str], text: str = "text", size: int = 4
     return counts.join(length, keys).select(*keys, "bucket", (F.col("n") / F.col("norm")).alias("w"))
 
 
+def dense(sparse: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """keys, embedding: vectors() as arrays of size numbers."""
+    m = sparse.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("m"))
+    return m.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("embedding"))
+
+
 def cosine_redundancy(found: DataFrame) -> DataFrame:
     """doc_id, chunk_seq, redundancy_cos_max: largest cosine to another chunk of the document, from
     the places two chunks share."""
@@ -161,6 +167,19 @@ def length_stats(found: DataFrame) -> DataFrame:
     return found.agg(F.count("*").alias("count"), *chars, *toks)
 
 
+SCORES = ("cohesion_vs_doc", "redundancy_cos_max", "redundancy_jaccard_max", "redundancy_mix", "redundancy_norm", "novelty", "chunk_health", "intra_cohesion_lex", "lexical_density", "type_token_ratio", "avg_sentence_len_chars")
+
+
+def run_stats(sectioned: DataFrame, found: DataFrame) -> DataFrame:
+    """Per document: n_sections, n_blocks, n_chunks, mean lengths and mean SCORES of its chunks (found has them), half up to
+    six places, summed in whole millionths."""
+    blocks = sectioned.groupBy("doc_id").agg(F.countDistinct("section_no").alias("n_sections"), F.count("*").alias("n_blocks"))
+    mean = {"avg_chunk_chars": "char_len", "avg_chunk_tokens": "est_tokens"} | {f"avg_{k}": k for k in SCORES}
+    n, micro = F.count("*"), lambda c: F.sum(F.round(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) * MICRO).cast("long"))
+    chunks = found.groupBy("doc_id").agg(n.alias("n_chunks"), *[(F.floor((2 * micro(c) + n) / (2 * n)) / MICRO).alias(k) for k, c in mean.items()])
+    return blocks.join(chunks, "doc_id", "left").na.fill(0, ["n_chunks", *mean])
+
+
 def _mean4(total: Column, n: Column, unit: int) -> Column:
     """total / (n * unit) half up to four places, in whole numbers, so that ties do not hang on binary fractions."""
     total, n = total.cast("long"), n.cast("long") * unit

@@ -33,3 +33,8 @@ def fused(first: Column, second: Column, k: int = 10) -> Column:
     """Two keyword lists in order, cleaned, each keyword once, k at most."""
     clean = lambda c: F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), T.keyword), lambda x: x != "")
     return F.slice(F.array_distinct(F.concat(clean(first), clean(second))), 1, k)
+
+
+def inherited(keywords: Column, k: int = 10) -> Column:
+    """The first global keywords, which every chunk of a document inherits."""
+    return F.slice(F.coalesce(keywords, F.array().cast("array<string>")), 1, k)

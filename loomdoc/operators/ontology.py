@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -32,9 +32,14 @@ class Domain:
         if both := set(clean) & {x.strip().lower() for x in self.negative}:
             raise ValueError(f"aliases and negative aliases of {self.name} share {sorted(both)}")
 
-    def describe(self, entities: int = 3) -> str:
-        named = ", ".join(n for n, _ in self.entities[:entities])
-        return f"{self.name} ({self.schema_name}): {len(self.aliases)} aliases, entity types {named or '-'}"
+    def describe(self, most: int = 3) -> str:
+        """A few lines for people (fixed format)."""
+        entities, relations = ", ".join(n for n, _ in self.entities[:most]), ", ".join(n for n, _, _ in self.relations[:most])
+        return (
+            f"🔹 {self.name.upper()} — {len(self.aliases)} alias ({len(self.entities)} entidades, {len(self.relations)} relaciones)\n"
+            f"  Ejemplos entidades: {entities or 'N/A'}\n"
+            f"  Relaciones: {relations or 'N/A'}\n"
+        )
 
 
 @dataclass(frozen=True)
@@ -162,10 +167,30 @@ def cosine_vectors(spark: SparkSession, registry: Registry) -> DataFrame:
     return mean.select("domain", "bucket", (F.col("m") / length).alias("w"))
 
 
+def normalized_aliases(raw: DataFrame) -> DataFrame:
+    """domain, alias: lower-cased and stripped, each once, none empty, of raw aliases (domain, alias)."""
+    return raw.select("domain", T.keyword(F.col("alias")).alias("alias")).where("alias <> ''").distinct()
+
+
+def negative_conflicts(aliases: DataFrame, negative: DataFrame) -> DataFrame:
+    """domain, alias: aliases that are also negative aliases of their domain, normalized."""
+    return normalized_aliases(aliases).intersect(normalized_aliases(negative))
+
+
+def named_twice(domains: DataFrame) -> DataFrame:
+    """domain (lower-cased), n of domains whose names differ in case only, or not at all."""
+    return domains.groupBy(F.lower("domain").alias("domain")).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def lookup(domains: DataFrame, name: Column) -> DataFrame:
+    """Rows of domains with that name, in any case."""
+    return domains.where(F.lower("domain") == F.lower(name))
+
+
 def valid_vectors(vectors: DataFrame, name: str, vector: str) -> DataFrame:
     """Number of vectors, those with the first one's dimension, and the names of the rest."""
-    first = F.first(F.size(vector)).over(W.partitionBy(F.lit(1)).orderBy(name).rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    v = vectors.select(name, F.size(vector).alias("dim"), first.alias("want"))
+    want = vectors.agg(F.min_by(F.size(vector), name).alias("want"))
+    v = vectors.select(name, F.size(vector).alias("dim")).crossJoin(F.broadcast(want))  # one row
     wrong = F.when(F.col("dim") != F.col("want"), F.col(name))
     return v.agg(F.count("*").alias("total"), F.count(F.when(F.col("dim") == F.col("want"), 1)).alias("valid"), F.array_sort(F.collect_list(wrong)).alias("invalid"), F.max("want").alias("dim"))
 

@@ -51,9 +51,45 @@ def context_score(extended: bool = False) -> Column:
     return T.clamp(base)
 
 
-def document_metrics(chunk_scores: DataFrame) -> DataFrame:
-    """Means of METRICS per document."""
-    return chunk_scores.groupBy("doc_id").agg(*[F.coalesce(F.avg(m), F.lit(0.0)).alias(m) for m in METRICS])
+def document_metrics(chunk_scores: DataFrame, extended: DataFrame | None = None) -> DataFrame:
+    """Means of METRICS per document, and the numbers of extended (doc_id, ...) as ext_*."""
+    out = chunk_scores.groupBy("doc_id").agg(*[F.coalesce(F.avg(m), F.lit(0.0)).alias(m) for m in METRICS])
+    if extended is None:
+        return out
+    named = [F.col(c).cast("double").alias(f"ext_{c}") for c, kind in extended.dtypes if c != "doc_id" and kind in ("int", "bigint", "float", "double")]
+    return out.join(extended.select("doc_id", *named), "doc_id", "left")
+
+
+def all_keywords(keywords: DataFrame, chunk_words: DataFrame) -> DataFrame:
+    """doc_id, keywords: those of the document and of its chunks (doc_id, keywords), normalized, sorted, each once."""
+    none = F.array().cast("array<string>")
+    both = keywords.select("doc_id", F.coalesce("keywords", none).alias("k")).union(chunk_words.select("doc_id", F.coalesce("keywords", none)))
+    return both.groupBy("doc_id").agg(F.flatten(F.collect_list("k")).alias("k")).select("doc_id", T.unique_sorted(F.col("k")).alias("keywords"))
+
+
+def text_and_keywords(keywords: DataFrame, chunks: DataFrame) -> DataFrame:
+    """doc_id, tokens: a document's keywords and the tokens of all its chunks, each once, for entity_scores()."""
+    own = chunks.select("doc_id", F.explode(F.array_distinct(T.selector_tokens(F.col("text")))).alias("t")).distinct()
+    both = own.union(keywords.select("doc_id", F.explode("keywords"))).distinct()
+    return both.groupBy("doc_id").agg(F.collect_list("t").alias("tokens"))
+
+
+def evaluated(chunk_scores: DataFrame) -> DataFrame:
+    """doc_id, domains: those that any chunk of the document was scored for."""
+    return chunk_scores.groupBy("doc_id").agg(F.array_sort(F.collect_set("domain")).alias("domains"))
+
+
+def best_label(scores: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, emb_score in [0, 1], best_label: the first domain (pos) of the largest e, of those over 0."""
+    best = F.min(F.when(F.col("e") > 0, F.struct((-F.col("e")).alias("e"), "pos", "domain"))).alias("x")
+    return scores.groupBy(*keys).agg(best).select(*keys, T.clamp(F.coalesce(-F.col("x.e"), F.lit(0.0))).alias("emb_score"), F.col("x.domain").alias("best_label"))
+
+
+def summary(docs: DataFrame, n_chunks: DataFrame) -> DataFrame:
+    """doc_id, summary: one line for people (fixed format) of documents() and doc_id, n_chunks."""
+    names = F.concat(F.lit("['"), F.array_join("top_domains", "', '"), F.lit("']"))
+    line = F.concat(F.lit("Doc="), F.col("doc_id").cast("string"), F.lit(", TopDomains="), names, F.lit(", Schema="), "selected_schema", F.lit(", Confidence="), F.format_string("%.2f", "confidence"), F.lit(", Chunks="), F.col("n_chunks").cast("string"))
+    return docs.join(n_chunks, "doc_id").select("doc_id", line.alias("summary"))
 
 
 def topic_affinity(spark: SparkSession, registry: O.Registry, chunk_words: DataFrame, topics: DataFrame) -> DataFrame:

@@ -117,9 +117,36 @@ def mmr(candidates: DataFrame, group: str, key: str, vector: str = "embedding",
     return out.select(F.col("_of").alias(group), F.posexplode("keys").alias("rank", key)).select(group, key, (F.col("rank") + 1).alias("rank"))
 
 
-def topic_items(texts: DataFrame, labels: DataFrame, k: int = 10) -> DataFrame:
+def keyword_mmr(words: DataFrame, keys: list[str], k: int = 10, weight: float = 0.7) -> DataFrame:
+    """keys, keywords: k of each group's keywords (in order) by diversity of their hashed vectors; all of k or fewer as they are."""
+    flat = words.where(F.size("keywords") > k).select(F.struct(*keys).alias("_of"), F.posexplode("keywords").alias("_i", "text"))
+    dense = C.dense(C.vectors(flat, ["_of", "_i"], size=256), ["_of", "_i"], 256)
+    chosen = mmr(dense, "_of", "_i", k=k, weight=weight).join(flat.select("_of", "_i", "text"), ["_of", "_i"])
+    chosen = chosen.groupBy("_of").agg(F.array_sort(F.collect_list(F.struct("rank", "text"))).alias("x")).select("_of.*", F.col("x.text").alias("keywords"))
+    return words.where(F.size("keywords") <= k).select(*keys, "keywords").union(chosen.select(*keys, "keywords"))
+
+
+def topic_items(texts: DataFrame, labels: DataFrame, k: int = 10, vectors: DataFrame | None = None, second: DataFrame | None = None) -> DataFrame:
     """doc_id, topic_id, count, keywords of clustered texts (doc_id, block_idx, text); a document without a
-    cluster is one topic 0 of all its texts."""
+    cluster is one topic 0 of all its texts.  With vectors (doc_id, block_idx, embedding) also exemplar, the text nearest to
+    all others of its topic (the first text where there is no cluster).  second: doc_id, topic_id, keywords of another
+    extractor, fused behind the frequent ones; more than k are then thinned by diversity."""
+    if second is not None or vectors is not None:
+        plain = topic_items(texts, labels, k)
+        keys = ["doc_id", "topic_id"]
+        if second is not None:
+            both = plain.join(second.select(*keys, F.col("keywords").alias("_more")), keys, "left")
+            both = staged(both.withColumn("keywords", K.fused(F.col("keywords"), F.col("_more"), 2 * k)).drop("_more"), "topic-words")
+            plain = both.drop("keywords").join(keyword_mmr(both, keys, k), keys)
+        if vectors is None:
+            return plain
+        t = texts.select("doc_id", "block_idx", "text").join(labels.select("doc_id", "block_idx", "label"), ["doc_id", "block_idx"])
+        v = t.where("label >= 0").join(vectors.select("doc_id", "block_idx", "embedding"), ["doc_id", "block_idx"])
+        best = exemplars(v.select(F.struct("doc_id", F.col("label").alias("topic_id")).alias("_of"), "block_idx", "embedding"), "_of", "block_idx").select("_of.*", "block_idx")
+        best = best.join(t.select("doc_id", "block_idx", F.col("text").alias("exemplar")), ["doc_id", "block_idx"])
+        first = t.groupBy("doc_id").agg(F.max("label").alias("m"), F.min(F.struct("block_idx", "text")).alias("f")).where("m < 0")
+        best = best.select(*keys, "exemplar").union(first.select("doc_id", F.lit(0).alias("topic_id"), F.col("f.text").alias("exemplar")))
+        return plain.join(best, keys, "left")
     t = texts.join(labels.select("doc_id", "block_idx", "label"), ["doc_id", "block_idx"])
     none = F.max("label").over(W.partitionBy("doc_id")) < 0
     t = t.withColumn("topic_id", F.when(none, 0).otherwise(F.col("label"))).where("topic_id >= 0")
@@ -171,6 +198,7 @@ def metrics(topics: DataFrame, group: str) -> DataFrame:
         F.coalesce("size_median", F.lit(0.0)).alias("size_median"),
         F.when(F.size("sizes") > 0, p95).otherwise(0.0).alias("size_p95"),
         F.round(diversity, 6).alias("keywords_diversity"),
+        diversity.alias("keywords_diversity_ext"),
         F.when(F.col("n_real") > 1, F.col("h") / (F.log(F.col("n_real").cast("double")) + 1e-12)).otherwise(0.0).alias("entropy_topics"),
         F.coalesce("redundancy_score", F.lit(0.0)).alias("redundancy_score"),
         F.when((F.col("n_topics") > 1) & (F.col("mean") > 0), 1 - F.col("sd") / (F.col("mean") + 1e-9)).otherwise(0.0).alias("topic_balance"),
@@ -203,6 +231,30 @@ def hints(found: DataFrame, topics: DataFrame, k: int = 3, blend: float = C.BLEN
     return s.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def context_alignment(found: DataFrame, group: str, chunk: str = "emb_chunk", hint: str = "emb_hint") -> DataFrame:
+    """group, context_alignment: mean cosine of a chunk's vector and that of its inherited topic, over chunks that have both; else 0."""
+    both = F.col(chunk).isNotNull() & F.col(hint).isNotNull()
+    return found.groupBy(group).agg(F.coalesce(F.avg(F.when(both, T.cosine(F.col(chunk), F.col(hint)))), F.lit(0.0)).alias("context_alignment"))
+
+
+def sparse_variance(vectors: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, sem_var: mean squared distance of a group's texts to their mean, of sparse vectors (keys, bucket, w; a text
+    without words is the zero vector): mean squared length less the mean's squared length; 0 for fewer than two texts."""
+    n = texts.groupBy(*keys).agg(F.count("*").alias("n"))
+    sums = vectors.groupBy(*keys, "bucket").agg(F.sum("w").alias("s"), F.sum(F.col("w") * F.col("w")).alias("q"))
+    sums = sums.groupBy(*keys).agg(F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s")).alias("s"))
+    var = F.coalesce("q", F.lit(0.0)) / F.col("n") - F.coalesce("s", F.lit(0.0)) / (F.col("n") * F.col("n"))
+    return n.join(sums, keys, "left").select(*keys, F.when(F.col("n") > 1, var).otherwise(0.0).alias("sem_var"))
+
+
+def router_votes_with_vectors(texts: DataFrame, vectors: DataFrame, group: str, order: str, limit: float = 0.25) -> DataFrame:
+    """router_votes() with the third vote, sem_var over limit."""
+    v = router_votes(texts, group, order).join(sparse_variance(vectors, texts, [group]), group)
+    votes = (F.col("avg_len") < 45).cast("int") + (F.col("ttr") > 0.5).cast("int") + (F.col("sem_var") > limit).cast("int")
+    few = F.col("n") < 5
+    return v.withColumn("hybrid_doc", few | (votes >= 2)).withColumn("hybrid_chunks", few | (F.col("avg_len") < 60) | (F.col("sem_var") > limit))
+
+
 def router_votes(texts: DataFrame, group: str, order: str) -> DataFrame:
     """group, n, avg_len, ttr, hybrid_doc, hybrid_chunks: the votes for the hybrid mode, without vectors."""
     first = F.row_number().over(W.partitionBy(group).orderBy(order))

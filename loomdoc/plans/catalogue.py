@@ -207,4 +207,4 @@ def q18_chunk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.quality(found, C.source_spans(pack), C.scores(found), _documents(spark, sf_dir))
 
 
-from . import topicqueries, selectqueries  # noqa: E402, F401
+from . import topicqueries, selectqueries, reportqueries  # noqa: E402, F401

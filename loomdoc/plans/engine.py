@@ -26,13 +26,12 @@ def contextize(blocks: DataFrame, k: int = 10, eps: float = 0.25, hybrid: bool =
     words = K.listed(K.tfidf_top(blocks, ["doc_id"], "block_idx", k), ["doc_id"])
     context = blocks.groupBy("doc_id").agg(F.count("*").alias("n_samples")).join(words.withColumnRenamed("keywords", "keywords_global"), "doc_id", "left")
     if not hybrid:
-        none = blocks.select("doc_id", F.lit(0).alias("topic_id"), F.lit(0).cast("long").alias("count"), F.array().cast("array<string>").alias("keywords")).limit(0)
+        none = blocks.select("doc_id", F.lit(0).alias("topic_id"), F.lit(0).cast("long").alias("count"), F.array().cast("array<string>").alias("keywords"), F.lit("").alias("exemplar")).limit(0)
         return none, context.withColumn("n_topics", F.lit(0).cast("long"))
     vectors = C.vectors(blocks, ["doc_id", "block_idx"], size=256)
-    dense = vectors.groupBy("doc_id", "block_idx").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("m"))
-    dense = dense.select("doc_id", "block_idx", F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("embedding"))
+    dense = C.dense(vectors, ["doc_id", "block_idx"], 256)
     labels = P.clusters(dense, "doc_id", "block_idx", eps=eps)
-    topics = P.topic_items(blocks, labels, k)
+    topics = P.topic_items(blocks, labels, k, vectors=dense)
     n = topics.groupBy("doc_id").agg(F.count("*").alias("n_topics"))
     return topics, context.join(n, "doc_id", "left").na.fill(0, ["n_topics"])
 

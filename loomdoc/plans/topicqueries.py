@@ -79,7 +79,7 @@ _TOP5 = S.BLOCKS + ", " + S.tfidf("blocks", "doc_id", "block_idx", 5)
 t AS (SELECT d.source, d.doc_id, nb.c, coalesce(kw.k, []) AS k, nb.c / CAST(sum(nb.c) OVER (PARTITION BY d.source) AS DOUBLE) AS p FROM documents d JOIN nb USING (doc_id) LEFT JOIN kw USING (doc_id)),
 a AS (SELECT source, count(*) AS n, min(c) AS mi, quantile_cont(c, 0.5) AS me, list_sort(list(c)) AS cs, flatten(list(k)) AS ks, -sum(p * ln(p + 1e-12)) AS h, avg(CASE WHEN len(k) > 0 THEN 1 - len(list_distinct(k)) / CAST(len(k) AS DOUBLE) END) AS red, avg(c) AS mu, stddev_pop(c) AS sd, avg(CASE WHEN len(k) > 0 THEN 1.0 ELSE 0.0 END) AS inf FROM t GROUP BY ALL)
 SELECT source, n AS n_topics, CAST(1 AS DOUBLE) AS coverage, CAST(0 AS DOUBLE) AS outlier_rate, CAST(mi AS DOUBLE) AS size_min, CAST(me AS DOUBLE) AS size_median, CAST(cs[CAST(floor(0.95 * (n - 1)) AS BIGINT) + 1] AS DOUBLE) AS size_p95,
- round(len(list_distinct(ks)) / CAST(len(ks) AS DOUBLE), 6) AS keywords_diversity, round(CASE WHEN n > 1 THEN h / (ln(n) + 1e-12) ELSE 0 END, 6) AS entropy_topics, round(coalesce(red, 0), 6) AS redundancy_score,
+ round(len(list_distinct(ks)) / CAST(len(ks) AS DOUBLE), 6) AS keywords_diversity, round(len(list_distinct(ks)) / CAST(len(ks) AS DOUBLE), 6) AS keywords_diversity_ext, round(CASE WHEN n > 1 THEN h / (ln(n) + 1e-12) ELSE 0 END, 6) AS entropy_topics, round(coalesce(red, 0), 6) AS redundancy_score,
  round(CASE WHEN n > 1 THEN 1 - sd / (mu + 1e-9) ELSE 0 END, 6) AS topic_balance, round(1 - len(list_distinct(ks)) / CAST(len(ks) AS DOUBLE), 6) AS keyword_redundancy_rate, round(CAST(inf AS DOUBLE), 6) AS informativeness_ratio FROM a""")
 def q26_topic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as the topics of their source: size in blocks, five keywords."""
