@@ -154,7 +154,7 @@ def q51_language_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", F.length("text").cast("long").alias("n_chars"), T.detected_language(F.col("text")).alias("lang"))
 
 
-_m6 = lambda x: f"CAST((2 * sum(CAST(round(({x}) * 1000000) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000"
+_m6 = lambda x: f"CAST((2 * sum(CAST(round(CAST(({x}) AS DOUBLE) * 1000000) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000"
 _VALUE = {k: k for k in C.SCORES} | {"intra_cohesion_lex": "ic", "lexical_density": "CASE WHEN len(tokens) > 0 THEN 1 ELSE 0 END", "type_token_ratio": "CASE WHEN len(tokens) > 0 THEN round(len(list_distinct(tokens)) / CAST(len(tokens) AS DOUBLE), 6) ELSE 0 END"}
 
 
