@@ -21,6 +21,7 @@ next join removes.
 
 The two joins that give every line its group's decision have written tables on both sides, of which the
 smaller is the groups that hold a copy or a near line; a line or variant that very many rows share is split over tasks (AQE).
+Both are merge joins: neither side's size in memory is known to be small.
 
 Cases: null text is empty and stays as it is; rows of one doc_id with different texts are told apart by a hash
 of the text, equal ones share their positions, so all or none of them keep a line; null ids come first; a text whose
@@ -231,7 +232,7 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
         least = variants.groupBy(kind, "key").agg(F.count("*").alias("m"), *[F.min(F.when(F.col("tag") == t, me)).alias(f"m{t}") for t in (SELF, DELETED, PLACED)])
         least = written(least.where("m > 1 AND (kind OR (m0 IS NOT NULL AND m1 IS NOT NULL))").drop("m"), "line-least")
         other = F.when(F.col("tag") == SELF, F.col("m1")).when(F.col("tag") == DELETED, F.col("m0")).otherwise(F.col("m2"))
-        pairs = variants.withColumn("kind", F.col("tag") == PLACED).join(least, ["kind", "key"]).withColumn("o", other)
+        pairs = variants.withColumn("kind", F.col("tag") == PLACED).join(least.hint("merge"), ["kind", "key"]).withColumn("o", other)
         pairs = pairs.where(F.struct("o.doc_id", "o.line", "o.mark") < at).select("h1", "h2", "o").distinct()
         mine, theirs = texts.select("h1", "h2", "words"), texts.select(F.col("h1").alias("_1"), F.col("h2").alias("_2"), F.col("words").alias("other_words"))
         pairs = pairs.select("h1", "h2", F.col("o.doc_id").alias("of_doc"), F.col("o.line").alias("of_line"), F.col("o.h1").alias("_1"), F.col("o.h2").alias("_2"))
@@ -243,7 +244,7 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
     moved = written(kinds.select("h1", "h2", "f", "m").join(found, ["h1", "h2"], "left").where("m > 1 OR of IS NOT NULL").drop("m"), "lines-moved")
     tables.append(moved)
     removed(maybe, kinds)
-    out = rows.select(*at_columns, "n", "h1", "h2").join(moved, ["h1", "h2"], "left")
+    out = rows.select(*at_columns, "n", "h1", "h2").join(moved.hint("merge"), ["h1", "h2"], "left")
     first = F.col("f").isNull() | at.eqNullSafe(F.col("f"))
     of = F.when(~first, F.struct(F.col("f.doc_id").alias("of_doc"), F.col("f.line").alias("of_line"))).otherwise(F.col("of"))
     out = out.select("doc_id", "mark", "line", F.col("n").alias("n_words"), (first & F.col("of").isNull()).alias("kept"), of.alias("of"))
