@@ -26,6 +26,7 @@ class Model:
         self.first, self.then = first.astype(F32), then.astype(F32)
         self.groups, self.classes = first.shape[1], then.shape[1]
         self.size = self.classes // self.groups
+        self.by_group = self.then.reshape(-1, self.size)
         self.p = {"E": w(len(first), DIM, scale=0.5), "G": w(self.groups, DIM, scale=0.1), "U": w(self.classes, DIM, scale=0.1)}
         for name in ("Wq", "Wk", "Wv", "Wo", "Wr"):
             self.p[name] = w(DIM, DIM, scale=DIM**-0.5)
@@ -38,29 +39,6 @@ class Model:
         d = OVERLAP + np.arange(STEP)[:, None] - np.arange(SPAN)[None, :]
         return np.maximum(d, 0), (d >= 0)
 
-    def attend(self, x: np.ndarray, valid: np.ndarray):
-        """State (batch, STEP, d) after units x (batch, SPAN), and what the gradients need."""
-        p = self.p
-        far, causal = self.distances()
-        e = p["E"][x]
-        own = e[:, OVERLAP:]
-        q, k, v = own @ (p["Wq"] * F32(DIM**-0.5)), e @ p["Wk"], e @ p["Wv"]
-        s = q @ k.transpose(0, 2, 1)
-        s += np.where(causal, p["R"][far], F32(-1e9))
-        s += np.where(valid, F32(0), F32(-1e9))[:, None, :]
-        s -= s.max(axis=-1, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(axis=-1, keepdims=True)
-        o = s @ v
-        return own @ p["Wr"] + o @ p["Wo"], (e, own, q, k, v, s, o)
-
-    def _by_group(self, group: np.ndarray):
-        group = group.astype(np.uint8)  # sorted by radix
-        order = np.argsort(group, kind="stable")
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.groups))])
-        for g in np.flatnonzero(np.diff(cuts)):
-            yield g, order[cuts[g] : cuts[g + 1]]
-
     def tables(self) -> tuple:
         """Everything about a unit that does not depend on its context: query, key (with a place for its mask),
         value, logits of groups and classes; the bias of distances; computed once for scoring."""
@@ -70,77 +48,103 @@ class Model:
         bias = np.where(causal, p["R"][far] - F32(max(0.0, top - 60)), F32(-1e9)).astype(F32)  # exp stays finite
         own = p["E"] @ p["Wr"]
         q, k = np.c_[q, np.ones(len(q), F32)], np.c_[k, np.zeros(len(k), F32)]
-        return q, k, p["E"] @ (p["Wv"] @ p["Wo"]), own @ p["G"].T + self.first, own @ p["U"].T + self.then, bias
+        return q, k, p["E"] @ (p["Wv"] @ p["Wo"]), own @ p["G"].T + self.first, (own @ p["U"].T + self.then).reshape(-1, self.size), bias
+
+    def _logits(self, h: np.ndarray, unit: np.ndarray, group: np.ndarray, then: np.ndarray):
+        """Logits of the classes in each row's group, the rows in order of groups; that order, its cuts, h in it."""
+        order = np.argsort(group.astype(np.uint8), kind="stable")  # by radix
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.groups))])
+        h, group = h[order], group[order]
+        z = np.take(then, unit[order] * self.groups + group, axis=0)
+        for i in np.flatnonzero(np.diff(cuts)):
+            rows = slice(cuts[i], cuts[i + 1])
+            z[rows] += h[rows] @ self.p["U"][i * self.size : (i + 1) * self.size].T
+        return z, order, cuts, h
 
     def logprob(self, x: np.ndarray, valid: np.ndarray, target: np.ndarray, tables: tuple) -> np.ndarray:
         """Natural log probability of the target classes (batch, STEP); tables: of tables()."""
         q, k, v, first, then, bias = tables
-        key = k[x]
+        key = np.take(k, x, axis=0)
         key[..., -1] = np.where(valid, F32(0), F32(-1e9))
-        s = q[x[:, OVERLAP:]] @ key.transpose(0, 2, 1)
+        s = np.take(q, x[:, OVERLAP:], axis=0) @ np.ascontiguousarray(key.transpose(0, 2, 1))
         s += bias
         np.exp(s, out=s)
-        h = s @ v[x]
-        h /= s.sum(axis=-1, keepdims=True)
+        h = s @ np.take(v, x, axis=0)
+        h /= s @ np.ones((SPAN, 1), F32)
         h = h.reshape(-1, DIM)
         unit, group = x[:, OVERLAP:].ravel(), target.ravel() // self.size
-        place = target.ravel() - group * self.size
+        place, rows = target.ravel() - group * self.size, np.arange(len(h))
         z = h @ self.p["G"].T
-        z += first[unit]
-        out = z[np.arange(len(z)), group]
-        out -= np.log(np.exp(z, out=z).sum(axis=1))
-        for g, rows in self._by_group(group):
-            own = slice(g * self.size, (g + 1) * self.size)
-            z = h[rows] @ self.p["U"][own].T
-            z += then[unit[rows], own]
-            told = z[np.arange(len(z)), place[rows]]
-            told -= np.log(np.exp(z, out=z).sum(axis=1))
-            out[rows] += told
+        z += np.take(first, unit, axis=0)
+        out = z[rows, group]
+        out -= np.log(np.exp(z, out=z) @ np.ones(self.groups, F32))
+        z, order, _, _ = self._logits(h, unit, group, then)
+        told = z[rows, place[order]]
+        told -= np.log(np.exp(z, out=z) @ np.ones(self.size, F32))
+        out[order] += told
         return out.reshape(target.shape)
 
     def gradients(self, x: np.ndarray, valid: np.ndarray, target: np.ndarray, scored: np.ndarray) -> tuple[float, dict]:
-        p = self.p
-        state, (e, own, q, k, v, a, o) = self.attend(x, valid)
-        h, unit, weight = state.reshape(-1, DIM), x[:, OVERLAP:].ravel(), (scored / max(1, int(scored.sum()))).astype(F32).ravel()
+        """Mean loss of the scored places and its gradients.  All that depends on one unit only is made once a unit; what
+        flows back to units is summed by unit before it meets the weights."""
+        p, near = self.p, DIM**-0.5
+        far, causal = self.distances()
+        e, own = p["E"], x[:, OVERLAP:]
+        left = np.concatenate([e @ (p["Wq"] * F32(near)), e @ p["Wr"]], axis=1)
+        mine, k, v = np.take(left, own, axis=0), np.take(e @ p["Wk"], x, axis=0), np.take(e @ p["Wv"], x, axis=0)
+        q = np.ascontiguousarray(mine[..., :DIM])
+        a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+        a += np.where(causal, p["R"][far], F32(-1e9))
+        if not valid.all():
+            a += np.where(valid, F32(0), F32(-1e9))[:, None, :]
+        np.minimum(a, F32(60), out=a)  # exp stays finite
+        np.exp(a, out=a)
+        a /= a @ np.ones((SPAN, 1), a.dtype)
+        o = a @ v
+        h = (mine[..., DIM:] + o @ p["Wo"]).reshape(-1, DIM)
+        unit, hit, count = own.ravel(), scored.ravel(), max(1, int(scored.sum()))
         group, place = np.divmod(target.ravel(), self.size)
+        at = np.arange(len(h))
 
-        def part(z, hit):
-            at = np.arange(len(z))
-            z = z - z.max(axis=1, keepdims=True)
-            told = z[at, hit]
+        def part(z, told_at, real):
+            told = z[at, told_at]
             np.exp(z, out=z)
-            total = z.sum(axis=1)
-            z /= total[:, None]
-            z[at, hit] -= 1
-            return told - np.log(total), z
-
-        log, dz = part(h @ p["G"].T + self.first[unit], group)
-        dz *= weight[:, None]
+            total = z @ np.ones(z.shape[1], z.dtype)
+            z *= (1 / (count * total))[:, None]
+            z[at, told_at] -= z.dtype.type(1 / count)
+            if not real.all():
+                z[~real] = 0
+                told, total = np.where(real, told, 0), np.where(real, total, 1)
+            return float(told.sum() - np.log(total).sum()), z
+
+        z = h @ p["G"].T
+        z += np.take(self.first, unit, axis=0)
+        log, dz = part(z, group, hit)
         g = {"G": dz.T @ h, "U": np.zeros_like(p["U"])}
         dh = dz @ p["G"]
-        for i, rows in self._by_group(group):
-            mine = slice(i * self.size, (i + 1) * self.size)
-            more, dz = part(h[rows] @ p["U"][mine].T + self.then[unit[rows], mine], place[rows])
-            dz *= weight[rows, None]
-            log[rows] += more
-            g["U"][mine] = dz.T @ h[rows]
-            dh[rows] += dz @ p["U"][mine]
-        dh = dh.reshape(state.shape)
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        g["Wr"], g["Wo"] = flat(own).T @ flat(dh), flat(o).T @ flat(dh)
+        z, order, cuts, its = self._logits(h, unit, group, self.by_group)
+        more, dz = part(z, place[order], hit[order])
+        back = np.empty_like(its)
+        for i in np.flatnonzero(np.diff(cuts)):
+            rows, block = slice(cuts[i], cuts[i + 1]), slice(i * self.size, (i + 1) * self.size)
+            g["U"][block] = dz[rows].T @ its[rows]
+            np.matmul(dz[rows], p["U"][block], out=back[rows])
+        dh[order] += back
+        g["Wo"] = o.reshape(-1, DIM).T @ dh
+        dh = dh.reshape(o.shape)
         do = dh @ p["Wo"].T
-        da = do @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ do
-        ds = a * (da - (a * da).sum(-1, keepdims=True))
-        far, causal = self.distances()
-        g["R"] = np.bincount(far[causal], weights=ds.sum(0)[causal], minlength=SPAN).astype(F32)
-        dq, dk = ds @ k * F32(DIM**-0.5), ds.transpose(0, 2, 1) @ q
-        g["Wq"], g["Wk"], g["Wv"] = flat(own).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv)
-        de = dk @ p["Wk"].T + dv @ p["Wv"].T
-        de[:, OVERLAP:] += dh @ p["Wr"].T + dq @ p["Wq"].T
-        g["E"] = np.zeros_like(p["E"])
-        np.add.at(g["E"], x.ravel(), flat(de))
-        return -float((log * weight).sum()), g
+        da = do @ np.ascontiguousarray(v.transpose(0, 2, 1))
+        back = np.empty((*k.shape[:2], 2 * DIM), k.dtype)
+        back[..., DIM:] = a.transpose(0, 2, 1) @ do
+        da *= a
+        da -= a * (da @ np.ones((SPAN, 1), a.dtype))
+        back[..., :DIM] = da.transpose(0, 2, 1) @ q
+        front = np.concatenate([da @ k, dh], axis=-1)
+        g["R"] = np.bincount(far[causal], weights=da.sum(0)[causal], minlength=SPAN).astype(F32)
+        (dq, dr), (dk, dv) = (np.split(_summed(u, rows, len(e)), 2, axis=1) for u, rows in ((own, front), (x, back)))
+        g["Wq"], g["Wr"], g["Wk"], g["Wv"] = e.T @ dq * F32(near), e.T @ dr, e.T @ dk, e.T @ dv
+        g["E"] = dq @ p["Wq"].T * F32(near) + dr @ p["Wr"].T + dk @ p["Wk"].T + dv @ p["Wv"].T
+        return -(log + more) / count, g
 
     def fit(self, batches, rate: float = 0.005, decay: float = 0.002) -> list[float]:
         """One step of Adam per batch (x, valid, target, scored); the losses."""
@@ -157,6 +161,19 @@ class Model:
         return losses
 
 
+def _summed(units: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by unit (n units): sorted by radix, then differences of running sums."""
+    units = units.ravel().astype(np.uint16)
+    order = np.argsort(units, kind="stable")
+    units = units[order]
+    ends = np.flatnonzero(np.concatenate([units[1:] != units[:-1], [True]]))
+    upto = np.cumsum(np.take(rows.reshape(-1, rows.shape[-1]), order, axis=0), axis=0)[ends]
+    upto[1:] -= upto[:-1].copy()
+    out = np.zeros((n, rows.shape[-1]), rows.dtype)
+    out[units[ends]] = upto
+    return out
+
+
 def windows(x: np.ndarray, target: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(units, valid, targets, places) of the overlapping windows of documents laid end to end in x and
     target with bounds: every place is scored in one window, with OVERLAP units or more before it where there

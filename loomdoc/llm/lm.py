@@ -3,13 +3,14 @@
 The text is its lower-cased words; each word (with the space before it) is coded by a public byte-level
 BPE vocabulary, and one end follows.  From all training documents (crc32 of the id mod 7 not 2) are counted:
 words, and pairs of successive subwords.  The pairs give the model's frozen part (bigram rows and shares of
-rare subwords).  The attention part (see attention.py) is trained in numpy: first on the driver on
-SAMPLE_DOCS documents at most (those with the smallest hashes of their ids) as a start, then by every task on all
-training documents of its partition, and the tasks' parameters are averaged by their steps, so it
-learns from the whole corpus.  Scoring cuts each whole text in overlapping windows; each
+rare subwords).  The attention part (see attention.py) is trained in numpy on all training documents: these are dealt
+by a hash of id and text to parts of about PART_TOKENS subwords, each in the order of another hash, so that the
+model does not depend on how files or partitions are laid out.  The first part's, run EPOCHS times, are the start; from
+there every part is trained once, side by side, and the parts' parameters are averaged by their steps.  Scoring cuts each whole text in overlapping windows; each
 token is scored once, with at least OVERLAP tokens before it where there are so many.
 
-Scale.  Texts are never shuffled.  Word counts are summed in each task before they are shuffled.  The
+Scale.  Texts are shuffled once, to the parts; a part is read batch by batch.  Past MOST_PARTS parts they grow instead.  No text
+reaches the driver.  Word counts are summed in each task before they are shuffled.  The
 commonest words, FREQUENT at most, are broadcast; the few other words of the texts are joined by hash.
 Pair counts are mapped to CLASSES x CLASSES before they are collected.
 
@@ -35,8 +36,9 @@ from .common import small_batches, written
 from .textkernel import SPACE, Words, text_chunks
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-SAMPLE_DOCS, EPOCHS, CLASSES, GROUPS, BANDS, FREQUENT = 1000, 3, 1024, 32, 16, 500_000
-_BATCH = 128
+EPOCHS, CLASSES, GROUPS, BANDS, FREQUENT = 3, 1024, 32, 16, 500_000
+PART_TOKENS, MOST_PARTS = 4_000_000, 10_000
+_START_BATCH, _BATCH = 128, 256
 END_WORD = 0  # stands for the end among word hashes
 WORD, PAIR = 0, 1
 
@@ -167,10 +169,10 @@ class Scorer:
         """log10 probability of each document; tables: of the model."""
         (x, valid, target, places), out = self.stream(coder, ids, bounds)
         out = out.astype(np.float64)
-        for i in range(0, len(x), 1024):
-            at = places[i : i + 1024]
+        for i in range(0, len(x), 512):
+            at = places[i : i + 512]
             real = at >= 0
-            out[at[real]] += self.model.logprob(x[i : i + 1024], valid[i : i + 1024], target[i : i + 1024], tables)[real]
+            out[at[real]] += self.model.logprob(x[i : i + 512], valid[i : i + 512], target[i : i + 512], tables)[real]
         return np.add.reduceat(out, bounds[:-1]) / np.log(10)
 
 
@@ -207,16 +209,16 @@ def _coded(pairs: DataFrame, size: int) -> tuple[Model, np.ndarray, np.ndarray,
     return Model(np.log(group), np.log(p / np.repeat(group, CLASSES // GROUPS, 1))), code, place, share
 
 
-def _batches(scorer: Scorer, coder: Coder, texts: Iterator[pa.Array], seed: int):
-    """Shuffled training batches, chunk by chunk."""
+def _batches(scorer: Scorer, coder: Coder, texts: Iterator[pa.Array], seed: int, size: int):
+    """Shuffled training batches of size windows, chunk by chunk."""
     random = np.random.default_rng(seed)
     for column in texts:
         for _, _, data, offs in text_chunks(column):
             w = Words(data, offs, SPACE)
             x, valid, target, places = scorer.stream(coder, *coder.tokens(w, *_uniques(w)))[0]
             order = random.permutation(len(x))
-            for i in range(0, len(order), _BATCH):
-                j = order[i : i + _BATCH]
+            for i in range(0, len(order), size):
+                j = order[i : i + size]
                 yield x[j], valid[j], target[j], places[j] >= 0
 
 
@@ -232,44 +234,54 @@ def _unflat(model: Model, flat: np.ndarray) -> None:
         at += n
 
 
+_FITTED = "part int, sums binary, steps long"
+
+
+def _fitted(part: int, total: np.ndarray, steps: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary()), pa.array([steps], pa.int64())], names=["part", "sums", "steps"])
+
+
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, steps = None, 0
+    total, steps, part = None, 0, None
     for batch in batches:
-        for data, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for p, data, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             x = np.frombuffer(data, np.float64)
-            total, steps = (x.copy() if total is None else total + x), steps + n
+            total, steps, part = (x.copy() if total is None else total + x), steps + n, p if part is None else part
     if steps:
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary()), pa.array([steps], pa.int64())], names=["part", "sums", "steps"])
+        yield _fitted(part, total, steps)
 
 
 def train(docs: DataFrame, pairs: DataFrame, table: dict[bytes, int], shared) -> Scorer:
     """docs: the training documents (doc_id, text); pairs: their pair counts (key, n)."""
     spark = docs.sparkSession
     scorer = Scorer(*_coded(pairs, max(table.values()) + 2))
-    coder = Coder(table)
-    few = docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
-    rows = docs.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("doc_id", "text").where("text IS NOT NULL").toLocalIterator()
-    texts = [t for _, t in sorted(map(tuple, rows))]
-    model = scorer.model
-    if texts:
-        column = pa.array(texts, pa.large_string())
-        model.fit(_batches(scorer, coder, iter([column] * EPOCHS), 1))
-    begun = spark.sparkContext.broadcast(scorer)
+    model, tokens = scorer.model, pairs.agg(F.sum("n")).first()[0] or 0
+    parts = int(np.clip(-(-tokens // PART_TOKENS), 1, MOST_PARTS))
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("part"), F.xxhash64("text", "doc_id").alias("place"), "text")
 
-    def tune(batches):
+    def fit(batches, begun, epochs: int, size: int, rate: float):
         own, mine = begun.value, Coder(shared.value)
         copy = Model(own.model.first, own.model.then)
         _unflat(copy, _flat(own.model))
-        steps = len(copy.fit(_batches(own, mine, (b.column(0) for b in batches), 2), rate=0.001))
-        if steps:
-            part = TaskContext.get().partitionId() % 64
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([(steps * _flat(copy)).tobytes()], pa.binary()), pa.array([steps], pa.int64())], names=["part", "sums", "steps"])
-
-    schema = "part int, sums binary, steps long"
-    parts = docs.select("text").mapInArrow(tune, schema).repartition(64, "part").mapInArrow(_sum, schema).collect()  # 64 rows at most
-    if parts:
-        steps = sum(r["steps"] for r in parts)
-        _unflat(model, sum(np.frombuffer(bytes(r["sums"]), np.float64) for r in parts) / steps)
+        texts = (b.column(0) for b in batches)
+        if epochs > 1:
+            held = list(texts)  # of one part
+            texts = (c for _ in range(epochs) for c in held)
+        if steps := len(copy.fit(_batches(own, mine, texts, 2, size), rate=rate)):
+            yield _fitted(TaskContext.get().partitionId(), steps * _flat(copy), steps)
+
+    def take(rows) -> None:
+        if steps := sum(r["steps"] for r in rows):
+            _unflat(model, sum(np.frombuffer(bytes(r["sums"]), np.float64) for r in rows) / steps)
+
+    in_order = ("place", F.length("text"))
+    begun = spark.sparkContext.broadcast(scorer)
+    first = dealt.where("part = 0").repartition(1).sortWithinPartitions(*in_order).select("text")
+    take(first.mapInArrow(lambda b: fit(b, begun, EPOCHS, _START_BATCH, 0.005), _FITTED).collect())  # one row
+    ready = spark.sparkContext.broadcast(scorer)
+    each = dealt.repartitionById(parts, "part").sortWithinPartitions(*in_order).select("text").mapInArrow(lambda b: fit(b, ready, 1, _BATCH, 0.001), _FITTED)
+    sums = each.repartitionById(64, F.pmod("part", F.lit(64))).sortWithinPartitions("part").mapInArrow(_sum, _FITTED)
+    take(sorted(sums.collect(), key=lambda r: r["part"]))  # 64 rows at most
     return scorer
 
 

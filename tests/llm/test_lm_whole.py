@@ -9,8 +9,8 @@ TEXT = "the quick brown fox jumps over the lazy dog while seven small birds sing
 
 @pytest.mark.parametrize("ids", [[None], list(range(1, 9))])
 def test_tasks_train_on_every_document(spark, ids, monkeypatch):
-    """Without the driver's start, each document, one without an id too, moves the parameters."""
-    monkeypatch.setattr(lm, "SAMPLE_DOCS", 0)
+    """Each document, one without an id too, moves the parameters, also where parts are many."""
+    monkeypatch.setattr(lm, "PART_TOKENS", 500)
     table = lm.ranks()
     shared = spark.sparkContext.broadcast(table)
     rows = [(i, f"{TEXT} {i} " * (n + 1)) for n, i in enumerate(ids)]
@@ -21,3 +21,15 @@ def test_tasks_train_on_every_document(spark, ids, monkeypatch):
     whole = learnt(rows)
     for n in {0, len(rows) - 1}:
         assert not np.allclose(whole, learnt(rows[:n] + rows[n + 1 :]), atol=1e-5)
+
+
+def test_layout_does_not_matter(spark, monkeypatch):
+    """The same rows in one file or in many, in any order, give the same scores."""
+    monkeypatch.setattr(lm, "PART_TOKENS", 2000)
+    rows = [(i, f"{TEXT} {i} {'more ' * (i % 7)}" * (1 + i % 3)) for i in range(60)]
+    runs = []
+    for some, parts in ((rows, 1), (rows[::-1], 1), (rows, 16)):
+        df = spark.createDataFrame(some, "doc_id long, text string")
+        runs.append({r["doc_id"]: r["score"] for r in lm.score(df.repartition(parts) if parts > 1 else df.coalesce(1)).collect()})
+    for other in runs[1:]:
+        assert max(abs(other[i] - s) / abs(s) for i, s in runs[0].items()) < 1e-6
