@@ -157,13 +157,11 @@ def _verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The written pairs (u, v) whose sets (rep, hashes) are similar."""
     cells = pairs.groupBy("v").agg(F.ceil(F.count("*") / CELL).alias("cells"))
-    dealt = written(pairs.join(cells, "v").select("u", "v", F.pmod(F.xxhash64("u"), "cells").cast("int").alias("cell")), "pair-cells")
+    dealt = pairs.join(cells, "v").select("u", "v", F.pmod(F.xxhash64("u"), "cells").cast("int").alias("cell"))
     leading = dealt.select("v", "cell").distinct().join(sets, F.col("v") == F.col("rep")).select("v", "cell", F.lit(None).cast("long").alias("u"), "hashes")
     rows = leading.union(dealt.join(sets, F.col("u") == F.col("rep")).select("v", "cell", "u", "hashes"))
     rows = rows.repartition("v", "cell").sortWithinPartitions("v", "cell", F.col("u").asc_nulls_first()).select("v", "u", "hashes")
-    found = written(rows.mapInArrow(lambda b: _verify(b, num, den), "u long, v long").distinct(), "linked")
-    removed(dealt)
-    return found
+    return written(rows.mapInArrow(lambda b: _verify(b, num, den), "u long, v long").distinct(), "linked")
 
 
 def _near(a: str, b: str, num: int, den: int):

@@ -19,9 +19,9 @@ Scale.  Shuffled are slim hashes of lines; texts leave their partition only for
 near one, found by a bit filter of fixed size (2**28 bits at most) whose false positives the
 next join removes.
 
-The two joins that give every line its group's decision have written tables on both sides, of which the
-smaller is the groups that hold a copy or a near line; a line or variant that very many rows share is split over tasks (AQE).
-Both are merge joins: neither side's size in memory is known to be small.
+The joins that give every line and variant its group's decision have on their smaller side the groups that hold a copy or
+a near line, dealt anew, so that both sides are plain exchanges and a line or variant that very many rows share is
+split over tasks (AQE's skew join does not see through an aggregate).  They are merge joins: neither side is known to be small.
 
 Cases: null text is empty and stays as it is; rows of one doc_id with different texts are told apart by a hash
 of the text, equal ones share their positions, so all or none of them keep a line; null ids come first; a text whose
@@ -220,7 +220,7 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
     shared_half = halves.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     maybe = written(halves.join(shared_half, "key").select("h1", "h2").distinct().join(kinds.select("h1", "h2", "f"), ["h1", "h2"]), "lines-maybe")
     found = spark.createDataFrame([], "h1 long, h2 long, of struct<of_doc:long,of_line:int>")
-    tables = [rows]
+    tables, n_parts = [rows, kinds], int(spark.conf.get("spark.sql.shuffle.partitions"))
     if n := maybe.count():
         bits = spark.sparkContext.broadcast(bit_filter(maybe.select("h1"), n))
         texts = docs.select("text").mapInArrow(lambda b: _texts(b, near_words, bits), "h1 long, h2 long, words binary")
@@ -230,7 +230,7 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
         kind = (F.col("tag") == PLACED).alias("kind")
         me = F.struct(*at_columns, "h1", "h2")
         least = variants.groupBy(kind, "key").agg(F.count("*").alias("m"), *[F.min(F.when(F.col("tag") == t, me)).alias(f"m{t}") for t in (SELF, DELETED, PLACED)])
-        least = written(least.where("m > 1 AND (kind OR (m0 IS NOT NULL AND m1 IS NOT NULL))").drop("m"), "line-least")
+        least = least.where("m > 1 AND (kind OR (m0 IS NOT NULL AND m1 IS NOT NULL))").drop("m").repartition(n_parts, "key")
         other = F.when(F.col("tag") == SELF, F.col("m1")).when(F.col("tag") == DELETED, F.col("m0")).otherwise(F.col("m2"))
         pairs = variants.withColumn("kind", F.col("tag") == PLACED).join(least.hint("merge"), ["kind", "key"]).withColumn("o", other)
         pairs = pairs.where(F.struct("o.doc_id", "o.line", "o.mark") < at).select("h1", "h2", "o").distinct()
@@ -239,11 +239,11 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
         pairs = pairs.join(mine, ["h1", "h2"]).join(theirs, ["_1", "_2"]).select("h1", "h2", "of_doc", "of_line", "words", "other_words")
         checked = pairs.mapInArrow(_checked, "h1 long, h2 long, of_doc long, of_line int")
         found = written(checked.groupBy("h1", "h2").agg(F.min(F.struct("of_doc", "of_line")).alias("of")), "lines-near")
-        removed(texts, variants, least)
+        tables.append(found)
+        removed(texts, variants)
     # groups that decide something: with copies, or near an earlier line
-    moved = written(kinds.select("h1", "h2", "f", "m").join(found, ["h1", "h2"], "left").where("m > 1 OR of IS NOT NULL").drop("m"), "lines-moved")
-    tables.append(moved)
-    removed(maybe, kinds)
+    moved = kinds.select("h1", "h2", "f", "m").join(found, ["h1", "h2"], "left").where("m > 1 OR of IS NOT NULL").drop("m").repartition(n_parts, "h1")
+    removed(maybe)
     out = rows.select(*at_columns, "n", "h1", "h2").join(moved.hint("merge"), ["h1", "h2"], "left")
     first = F.col("f").isNull() | at.eqNullSafe(F.col("f"))
     of = F.when(~first, F.struct(F.col("f.doc_id").alias("of_doc"), F.col("f.line").alias("of_line"))).otherwise(F.col("of"))
