@@ -230,7 +230,7 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
         kind = (F.col("tag") == PLACED).alias("kind")
         me = F.struct(*at_columns, "h1", "h2")
         least = variants.groupBy(kind, "key").agg(F.count("*").alias("m"), *[F.min(F.when(F.col("tag") == t, me)).alias(f"m{t}") for t in (SELF, DELETED, PLACED)])
-        least = least.where("m > 1 AND (kind OR (m0 IS NOT NULL AND m1 IS NOT NULL))").drop("m").repartition(n_parts, "key")
+        least = least.where("m > 1 AND (kind OR (m0 IS NOT NULL AND m1 IS NOT NULL))").drop("m").repartition(n_parts)
         other = F.when(F.col("tag") == SELF, F.col("m1")).when(F.col("tag") == DELETED, F.col("m0")).otherwise(F.col("m2"))
         pairs = variants.withColumn("kind", F.col("tag") == PLACED).join(least.hint("merge"), ["kind", "key"]).withColumn("o", other)
         pairs = pairs.where(F.struct("o.doc_id", "o.line", "o.mark") < at).select("h1", "h2", "o").distinct()
@@ -242,7 +242,7 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
         tables.append(found)
         removed(texts, variants)
     # groups that decide something: with copies, or near an earlier line
-    moved = kinds.select("h1", "h2", "f", "m").join(found, ["h1", "h2"], "left").where("m > 1 OR of IS NOT NULL").drop("m").repartition(n_parts, "h1")
+    moved = kinds.select("h1", "h2", "f", "m").join(found, ["h1", "h2"], "left").where("m > 1 OR of IS NOT NULL").drop("m").repartition(n_parts)
     removed(maybe)
     out = rows.select(*at_columns, "n", "h1", "h2").join(moved.hint("merge"), ["h1", "h2"], "left")
     first = F.col("f").isNull() | at.eqNullSafe(F.col("f"))
