@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
+from . import bags
 
 MAX_TOKENS, MAX_CHARS = 2048, 9000
 BLEND, ALPHA, BETA, W_COHESION, W_NOVELTY = 0.7, 0.7, 0.3, 0.6, 0.4
@@ -103,11 +104,15 @@ def intra_cohesion(pack: DataFrame) -> DataFrame:
 
 
 def vectors(found: DataFrame, keys: list[str], text: str = "text", size: int = 4096) -> DataFrame:
-    """keys, bucket, w: unit vectors of hashed bags of words, a row per non-zero place."""
-    toks = found.select(*keys, F.explode(T.words(F.col(text))).alias("t")).withColumn("bucket", T.bucket(F.col("t"), size))
-    counts = toks.groupBy(*keys, "bucket").agg(F.count("*").cast("double").alias("n"))
-    length = counts.groupBy(*keys).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
-    return counts.join(length, keys).select(*keys, "bucket", (F.col("n") / F.col("norm")).alias("w"))
+    """keys, bucket, w: unit vectors of hashed bags of words, one of every row, a row per non-zero place."""
+    from pyspark.sql import types as S
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    bags.small_batches(found.sparkSession)
+    rows = found.select(*keys, T.words(F.col(text)).alias("_words"))
+    schema = S.StructType([*rows.schema.fields[:-1], S.StructField("bucket", S.IntegerType()), S.StructField("w", S.DoubleType())])
+    arrow = to_arrow_schema(schema)
+    return rows.mapInArrow(lambda b: bags.vectors(b, len(keys), size, arrow), schema)
 
 
 def dense(sparse: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -116,48 +121,41 @@ def dense(sparse: DataFrame, keys: list[str], size: int) -> DataFrame:
     return m.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("embedding"))
 
 
+def likeness(found: DataFrame, size: int = 4096) -> DataFrame:
+    """doc_id, chunk_seq, char_len, mean_len, doc_length (of the sum of the document's vectors), cohesion_vs_doc (cosine of a chunk's vector to the mean of its document's),
+    redundancy_cos_max and redundancy_jaccard_max (the largest to another chunk of the document; 1 for two chunks without
+    tokens, 0 for a single chunk), from one shuffle by document."""
+    from pyspark.sql import types as S
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    bags.small_batches(found.sparkSession)
+    rows = found.select("doc_id", "chunk_seq", "char_len", T.words(F.col("text")).alias("words"), "tokens")
+    made = ("mean_len", "doc_length", "cohesion_vs_doc", "redundancy_cos_max", "redundancy_jaccard_max")
+    schema = S.StructType([*rows.schema.fields[:3], *(S.StructField(c, S.DoubleType()) for c in made)])
+    arrow = to_arrow_schema(schema)
+    rows = rows.repartition("doc_id").sortWithinPartitions("doc_id", "chunk_seq")
+    return rows.mapInArrow(lambda b: bags.likeness(b, size, arrow), schema)
+
+
 def cosine_redundancy(found: DataFrame) -> DataFrame:
-    """doc_id, chunk_seq, redundancy_cos_max: largest cosine to another chunk of the document, from
-    the places two chunks share."""
-    v = vectors(found, ["doc_id", "chunk_seq"])
-    other = v.select("doc_id", F.col("chunk_seq").alias("other"), "bucket", F.col("w").alias("w2"))
-    pairs = v.join(other, ["doc_id", "bucket"]).where("chunk_seq <> other").groupBy("doc_id", "chunk_seq", "other").agg(F.sum(F.col("w") * F.col("w2")).alias("cos"))
-    best = pairs.groupBy("doc_id", "chunk_seq").agg(F.max("cos").alias("cos"))
-    return found.select("doc_id", "chunk_seq").join(best, ["doc_id", "chunk_seq"], "left").select("doc_id", "chunk_seq", F.coalesce("cos", F.lit(0.0)).alias("redundancy_cos_max"))
+    return likeness(found).select("doc_id", "chunk_seq", "redundancy_cos_max")
 
 
 def jaccard_redundancy(found: DataFrame) -> DataFrame:
-    """doc_id, chunk_seq, redundancy_jaccard_max, from the tokens two chunks share; 1 for two chunks without tokens."""
-    sets = found.select("doc_id", "chunk_seq", F.array_distinct("tokens").alias("t"))
-    toks = sets.select("doc_id", "chunk_seq", F.size("t").alias("n"), F.explode("t").alias("t"))
-    other = toks.select("doc_id", F.col("chunk_seq").alias("other"), F.col("n").alias("m"), "t")
-    pairs = toks.join(other, ["doc_id", "t"]).where("chunk_seq <> other").groupBy("doc_id", "chunk_seq", "other", "n", "m").agg(F.count("*").alias("both"))
-    best = pairs.groupBy("doc_id", "chunk_seq").agg(F.max(F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("j"))
-    empty = F.count(F.when(F.size("t") == 0, 1)).over(W.partitionBy("doc_id"))
-    sets = sets.select("doc_id", "chunk_seq", ((F.size("t") == 0) & (empty > 1)).alias("alike"))
-    out = sets.join(best, ["doc_id", "chunk_seq"], "left")
-    return out.select("doc_id", "chunk_seq", F.when(F.col("alike"), 1.0).otherwise(F.coalesce("j", F.lit(0.0))).alias("redundancy_jaccard_max"))
+    return likeness(found).select("doc_id", "chunk_seq", "redundancy_jaccard_max")
 
 
 def cohesion(found: DataFrame) -> DataFrame:
-    """doc_id, chunk_seq, cohesion_vs_doc: cosine of a chunk's vector to the mean of its document's."""
-    v = vectors(found, ["doc_id", "chunk_seq"])
-    mean = v.groupBy("doc_id", "bucket").agg(F.sum("w").alias("m"))
-    length = mean.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("norm"))
-    near = v.join(mean, ["doc_id", "bucket"]).groupBy("doc_id", "chunk_seq").agg(F.sum(F.col("w") * F.col("m")).alias("dot")).join(length, "doc_id")
-    near = near.select("doc_id", "chunk_seq", (F.col("dot") / F.col("norm")).alias("c"))
-    return found.select("doc_id", "chunk_seq").join(near, ["doc_id", "chunk_seq"], "left").select("doc_id", "chunk_seq", F.coalesce("c", F.lit(0.0)).alias("cohesion_vs_doc"))
+    return likeness(found).select("doc_id", "chunk_seq", "cohesion_vs_doc")
 
 
-def scores(found: DataFrame) -> DataFrame:
-    """The seven semantic scores of every chunk, rounded to six places."""
-    keys = ["doc_id", "chunk_seq"]
-    s = found.select(*keys, "char_len").join(cohesion(found), keys).join(cosine_redundancy(found), keys).join(jaccard_redundancy(found), keys)
+def scores(found: DataFrame, *extra: str) -> DataFrame:
+    """The seven semantic scores of every chunk, rounded to six places; extra: more columns of likeness()."""
     mix = ALPHA * F.col("redundancy_cos_max") + BETA * F.col("redundancy_jaccard_max")
-    scale = T.clamp(F.col("char_len") / F.greatest(F.lit(1.0), F.avg("char_len").over(W.partitionBy("doc_id"))), 0.5, 2.0)
+    scale = T.clamp(F.col("char_len") / F.greatest(F.lit(1.0), F.col("mean_len")), 0.5, 2.0)
     health = W_COHESION * F.col("cohesion_vs_doc") + W_NOVELTY * (1 - mix)
     named = {"cohesion_vs_doc": F.col("cohesion_vs_doc"), "redundancy_cos_max": F.col("redundancy_cos_max"), "redundancy_jaccard_max": F.col("redundancy_jaccard_max"), "redundancy_mix": mix, "redundancy_norm": mix * scale, "novelty": 1 - mix, "chunk_health": health}
-    return s.select(*keys, *[F.round(c, 6).alias(k) for k, c in named.items()])
+    return likeness(found).select("doc_id", "chunk_seq", *[F.round(c, 6).alias(k) for k, c in named.items()], *extra)
 
 
 def length_stats(found: DataFrame) -> DataFrame:

@@ -17,7 +17,9 @@ def tfidf_top(texts: DataFrame, keys: list[str], order: str, k: int = 10, min_le
     partial aggregation; N joins as one row per group."""
     toks = texts.select(*keys, order, F.posexplode(T.space_tokens(F.col("text"), min_len)).alias("at", "term"))
     per_text = toks.groupBy(*keys, order, "term").agg(F.count("*").alias("tf"), F.min("at").alias("at"))
-    terms = per_text.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"), F.min(F.struct(order, "at")).alias("first"))
+    # the first place as one number where order is one: structs would need a sorted aggregation
+    place = F.col(order).cast("long") * (1 << 32) + F.col("at") if dict(texts.dtypes)[order] in ("int", "smallint", "tinyint") else F.struct(order, "at")
+    terms = per_text.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"), F.min(place).alias("first"))
     total = texts.where(T.strip(F.col("text")) != "").groupBy(*keys).agg(F.count("*").alias("n"))
     scored = terms.join(total, keys).withColumn("score", F.col("tf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1))
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("score"), "first"))

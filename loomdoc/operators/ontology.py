@@ -158,13 +158,13 @@ def overlaps(spark: SparkSession, registry: Registry) -> DataFrame:
 
 
 def cosine_vectors(spark: SparkSession, registry: Registry) -> DataFrame:
-    """domain, bucket, w: mean of the aliases' hashed vectors, of length 1."""
+    """domain, bucket, v: mean of the aliases' hashed vectors, of length 1."""
     from .chunks import vectors
 
     v = vectors(registry.alias_table(spark), ["domain", "alias"], text="alias")
     mean = v.groupBy("domain", "bucket").agg(F.sum("w").alias("m"))
     length = F.sqrt(F.sum(F.col("m") * F.col("m")).over(W.partitionBy("domain")))
-    return mean.select("domain", "bucket", (F.col("m") / length).alias("w"))
+    return mean.select("domain", "bucket", (F.col("m") / length).alias("v"))
 
 
 def normalized_aliases(raw: DataFrame) -> DataFrame:

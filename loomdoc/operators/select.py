@@ -109,13 +109,14 @@ def topic_affinity(spark: SparkSession, registry: O.Registry, chunk_words: DataF
     return both.select("doc_id", "domain", ((F.coalesce("a", F.lit(0.0)) + F.coalesce("b", F.lit(0.0))) / parts).alias("t"))
 
 
-def embedding_scores(spark: SparkSession, registry: O.Registry, texts: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, domain, e: cosine of a text's (of several rows, their mean's) hashed vector and the domain's."""
-    v = vectors(texts, [*keys, "_part"]) if "_part" in texts.columns else vectors(texts, keys)
-    mean = v.groupBy(*keys, "bucket").agg(F.sum("w").alias("m"))
-    length = mean.groupBy(*keys).agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("norm"))
-    near = mean.join(F.broadcast(O.cosine_vectors(spark, registry)), "bucket").groupBy(*keys, "domain").agg(F.sum(F.col("m") * F.col("w")).alias("dot"))
-    return near.join(length, keys).select(*keys, "domain", T.clamp(F.col("dot") / F.col("norm")).alias("e"))
+def embedding_scores(spark: SparkSession, registry: O.Registry, texts: DataFrame, keys: list[str], lengths: DataFrame | None = None) -> DataFrame:
+    """keys, domain, e: cosine of a text's hashed vector and the domain's.  With lengths (keys, doc_length: of the sum of the vectors of
+    several texts, as C.likeness() has it) that of the sum of all texts of a key.  Only places that a domain has leave the first join."""
+    near = vectors(texts, keys).join(F.broadcast(O.cosine_vectors(spark, registry)), "bucket")
+    near = near.groupBy(*keys, "domain").agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    if lengths is None:
+        return near.select(*keys, "domain", T.clamp(F.col("dot")).alias("e"))
+    return near.join(lengths, keys).select(*keys, "domain", T.clamp(F.col("dot") / F.col("doc_length")).alias("e"))
 
 
 def fused(signals: DataFrame, config: Config) -> DataFrame:

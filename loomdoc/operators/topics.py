@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -45,13 +46,40 @@ def coherence(vectors: DataFrame, group: str, vector: str = "embedding") -> Data
     return sums.groupBy(group).agg(((F.sum(F.col("s") * F.col("s")) - F.sum("own")) / (F.max("n") * (F.max("n") - 1))).alias("coherence"), F.max("n").alias("n")).where("n > 1").drop("n")
 
 
-def redundancy_penalty(vectors: DataFrame, group: str, key: str, threshold: float = 0.85, vector: str = "embedding") -> DataFrame:
-    """Share of a group's pairs with a cosine above threshold; 0 for fewer than two."""
-    u = vectors.select(group, key, T.unit(F.col(vector)).alias("u"))
-    o = u.select(group, F.col(key).alias("o"), F.col("u").alias("w"))
-    pairs = u.join(o, group).where(F.col(key) < F.col("o"))
-    share = pairs.groupBy(group).agg(F.avg((T.dot(F.col("u"), F.col("w")) > threshold).cast("int")).alias("p"))
-    return u.select(group).distinct().join(share, group, "left").select(group, F.coalesce("p", F.lit(0.0)).alias("redundancy_penalty"))
+def similar_pairs(vectors: DataFrame, group: str, thresholds: list[float], vector: str = "embedding", block: int = 1024) -> DataFrame:
+    """group, n, p0, p1, ...: number of vectors, and of pairs with a cosine above each threshold.  A group's vectors are dealt in
+    blocks; every pair of blocks is one row of the join and one matrix product, so a large group is spread over
+    tasks and no pair of vectors becomes a row."""
+    u = vectors.select(F.col(group).alias("_g"), T.unit(F.col(vector)).alias("u"))
+    sizes = u.groupBy(F.col("_g").alias("_s")).agg(F.count("*").alias("n"))
+    numbered = u.join(sizes, F.col("_g").eqNullSafe(F.col("_s"))).select("_g", "n", "u")
+    dealt = numbered.withColumn("b", F.pmod(F.xxhash64("u"), F.ceil(F.col("n") / block)).cast("int"))
+    blocks = dealt.groupBy("_g", "n", "b").agg(F.flatten(F.collect_list("u")).alias("x"), F.count("*").alias("m"))
+    other = blocks.select(F.col("_g").alias("_h"), F.col("b").alias("c"), F.col("x").alias("y"), F.col("m").alias("k"))
+    pairs = blocks.join(other, F.col("_g").eqNullSafe(F.col("_h")) & (F.col("b") <= F.col("c"))).select("_g", "n", "b", "c", "m", "k", "x", "y")
+    kind = vectors.schema[group].dataType.simpleString()
+    names = [f"p{i}" for i in range(len(thresholds))]
+
+    def count(batches):
+        for batch in batches:
+            found = []
+            for b, c, m, k, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), batch.column(6), batch.column(7), strict=True):
+                s = x.values.to_numpy().reshape(m, -1) @ y.values.to_numpy().reshape(k, -1).T
+                found.append([int(((s > t).sum() - (np.diagonal(s) > t).sum()) // 2 if b == c else (s > t).sum()) for t in thresholds])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([f[i] for f in found], pa.int64()) for i in range(len(thresholds)))], names=["_g", "n", *names])
+
+    counted = pairs.mapInArrow(count, f"_g {kind}, n long, " + ", ".join(f"{x} long" for x in names))
+    return counted.groupBy("_g", "n").agg(*[F.sum(x).alias(x) for x in names]).withColumnRenamed("_g", group)
+
+
+def redundancy_penalty(vectors: DataFrame, group: str, thresholds: list[float] | float = 0.85, vector: str = "embedding") -> DataFrame:
+    """group and for each threshold (column redundancy_penalty, or redundancy_penalty_0, ... of a list) the share of the group's
+    pairs with a cosine above it; 0 for fewer than two."""
+    listed = thresholds if isinstance(thresholds, list) else [thresholds]
+    named = [f"redundancy_penalty_{i}" for i in range(len(listed))] if isinstance(thresholds, list) else ["redundancy_penalty"]
+    all_ = F.col("n") * (F.col("n") - 1) / 2
+    shares = [F.when(F.col("n") > 1, F.col(f"p{i}") / all_).otherwise(0.0).alias(x) for i, x in enumerate(named)]
+    return similar_pairs(vectors, group, listed, vector).select(group, *shares)
 
 
 def _dbscan(x: np.ndarray, eps: float, min_samples: int) -> np.ndarray:

@@ -56,7 +56,8 @@ def select(chunks: DataFrame, keywords: DataFrame, topics: DataFrame, registry:
     spark = chunks.sparkSession
     k = O.keyword_f1(keywords.select("doc_id", T.unique_sorted(F.coalesce("keywords_global", F.array().cast("array<string>"))).alias("keywords")), spark, registry, ["doc_id"])
     t = X.topic_affinity(spark, registry, chunks.select("doc_id", "chunk_seq", "keywords", "chunk_health"), topics.select("doc_id", "keywords", F.lit(0.0).alias("prob")))
-    e = X.embedding_scores(spark, registry, chunks.select("doc_id", F.col("chunk_seq").alias("_part"), "text"), ["doc_id"])
+    lengths = C.likeness(chunks).groupBy("doc_id").agg(F.first("doc_length").alias("doc_length"))
+    e = X.embedding_scores(spark, registry, chunks.select("doc_id", "text"), ["doc_id"], lengths)
     c = X.document_metrics(chunks).select("doc_id", X.context_score().alias("c"))
     s = k.join(t, ["doc_id", "domain"], "left").join(c, "doc_id").join(e, ["doc_id", "domain"], "left")
     s = s.join(F.broadcast(priors), "domain", "left") if priors is not None else s.withColumn("p", F.lit(0.0))

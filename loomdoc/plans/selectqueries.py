@@ -68,7 +68,8 @@ class _State:
         self.spark = spark
         self.blocks = _blocks(spark, sf_dir)
         self.chunks = staged(_chunks(spark, sf_dir), "chunks")
-        self.scores = staged(C.scores(self.chunks), "scores")
+        self.scores = staged(C.scores(self.chunks, "doc_length"), "scores")
+        self.lengths = self.scores.groupBy("doc_id").agg(F.first("doc_length").alias("doc_length"))
         self.topics = staged(P.block_topics(self.blocks), "topics")
         self.words = _chunk_words(self.chunks, self.topics)
         self.lexical = self.chunks.select("doc_id", "chunk_seq", "lexical_density", "type_token_ratio")
@@ -116,7 +117,7 @@ def q33_entity_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _doc_ranked(st: _State, keywords: DataFrame) -> DataFrame:
     k = O.keyword_f1(keywords, st.spark, _SAMPLE, ["doc_id"])
-    e = X.embedding_scores(st.spark, _SAMPLE, st.chunks.select("doc_id", F.col("chunk_seq").alias("_part"), "text"), ["doc_id"])
+    e = X.embedding_scores(st.spark, _SAMPLE, st.chunks.select("doc_id", "text"), ["doc_id"], st.lengths)
     s = k.join(st.affinity(), ["doc_id", "domain"], "left").join(st.context(), "doc_id").join(e, ["doc_id", "domain"], "left")
     s = s.withColumns({"t": F.coalesce("t", F.lit(0.0)), "e": F.coalesce("e", F.lit(0.0)), "p": F.lit(0.0)})
     s = s.join(F.broadcast(_SAMPLE.domain_table(st.spark).select("domain", "template")), "domain")

@@ -26,9 +26,8 @@ def q19_emb_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_U} SELECT label, coalesce(avg(CASE WHEN list_dot_product(a.u, b.u) > 0.85 THEN 1.0 ELSE 0.0 END), 0) AS penalty_85, round(avg(CASE WHEN list_dot_product(a.u, b.u) > 0.35 THEN 1.0 ELSE 0.0 END), 6) AS penalty_35 FROM u a JOIN u b USING (label) WHERE a.vec_id < b.vec_id GROUP BY label")
 def q20_emb_redundancy_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _embeddings(spark, sf_dir)
-    at = lambda t, name: P.redundancy_penalty(e, "label", "vec_id", t).select("label", F.round("redundancy_penalty", 6).alias(name))
-    return at(0.85, "penalty_85").join(at(0.35, "penalty_35"), "label")
+    out = P.redundancy_penalty(_embeddings(spark, sf_dir), "label", [0.85, 0.35])
+    return out.select("label", F.round("redundancy_penalty_0", 6).alias("penalty_85"), F.round("redundancy_penalty_1", 6).alias("penalty_35"))
 
 
 @query(f"WITH {_U}, s AS (SELECT a.label, a.vec_id, avg(list_dot_product(a.u, b.u)) AS m FROM u a JOIN u b USING (label) GROUP BY ALL) SELECT label, vec_id, round(m, 6) AS mean_similarity FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY m DESC, vec_id) AS r FROM s) WHERE r = 1")

@@ -256,4 +256,64 @@ def test_entry_works_without_the_optional_part(spark, monkeypatch):
         raise ModuleNotFoundError(f"No module named '{name}'", name=name)
 
     monkeypatch.setattr(e.importlib, "import_module", missing)
-    assert set(e.queries()) == set(e.oracle_sql()) and len(e.queries()) == 40
+    assert set(e.queries()) == set(e.oracle_sql()) and len(e.queries()) == 69
+
+
+def test_a_long_documents_chunks_in_blocks(spark, monkeypatch):
+    """Likeness by blocks equals all pairs by hand, over documents that share batches and a chunk without words."""
+    from loomdoc.operators import bags
+
+    r = np.random.default_rng(4)
+    rows = [(d, i, " ".join(f"w{x}" for x in r.integers(0, 12, int(r.integers(0, 9))))) for d, n in ((1, 9), (2, 1), (3, 2), (4, 14)) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, chunk_seq int, text string").withColumns({"char_len": F.length("text"), "tokens": T.words(F.col("text"))})
+    monkeypatch.setattr(bags, "BLOCK", 4)  # reaches this process only; the workers' own block holds all
+    got = {(x["doc_id"], x["chunk_seq"]): x for x in C.likeness(df).collect()}
+    (batch,) = df.orderBy("doc_id", "chunk_seq").select("doc_id", "chunk_seq", "char_len", T.words(F.col("text")).alias("words"), "tokens").toArrow().combine_chunks().to_batches()
+    import pyarrow as pa
+
+    schema = pa.schema([*list(batch.schema)[:3], *(pa.field(x, pa.float64()) for x in ("mean_len", "doc_length", "cohesion_vs_doc", "redundancy_cos_max", "redundancy_jaccard_max"))])
+    blocked = {(x["doc_id"], x["chunk_seq"]): x for b in bags.likeness(iter([batch.slice(0, 5), batch.slice(5)]), 4096, schema) for x in b.to_pylist()}
+    assert blocked.keys() == got.keys() == {x[:2] for x in rows}
+    for d, i, text in rows:
+        bag = lambda t: {w: t.split().count(w) for w in t.split()}
+        unit = lambda t: {w: n / np.sqrt(sum(m * m for m in bag(t).values())) for w, n in bag(t).items()}
+        dot = lambda a, b: sum(v * b.get(k, 0) for k, v in a.items())
+        mine = [t for e, _, t in rows if e == d]
+        others = [t for e, j, t in rows if e == d and j != i]
+        cos = max((dot(unit(text), unit(t)) for t in others), default=0)
+        jac = max((1.0 if not (a | b) else len(a & b) / len(a | b) for t in others for a, b in [(set(text.split()), set(t.split()))]), default=0)
+        total = {}
+        for t in mine:
+            for w, x in unit(t).items():
+                total[w] = total.get(w, 0) + x
+        length = np.sqrt(dot(total, total))
+        want = {"redundancy_cos_max": cos, "redundancy_jaccard_max": jac, "cohesion_vs_doc": dot(unit(text), total) / length if length else 0, "doc_length": length, "mean_len": sum(map(len, mine)) / len(mine)}
+        for k, v in want.items():
+            assert abs(got[d, i][k] - v) < 1e-9 and abs(blocked[d, i][k] - v) < 1e-9, (d, i, k)
+
+
+def test_similar_pairs_in_blocks(spark):
+    r = np.random.default_rng(8)
+    x = r.standard_normal((70, 5))
+    rows = [("a" if i < 40 else None, v.tolist()) for i, v in enumerate(x)] + [("one", [1.0] * 5)]
+    df = spark.createDataFrame(rows, "g string, embedding array<double>")
+    got = {y["g"]: (y["n"], y["p0"], y["p1"]) for y in P.similar_pairs(df, "g", [0.3, 0.8], block=7).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for g, part in (("a", u[:40]), (None, u[40:])):
+        s = (part @ part.T)[np.triu_indices(len(part), 1)]
+        assert got[g] == (len(part), (s > 0.3).sum(), (s > 0.8).sum())
+    assert got["one"] == (1, 0, 0)
+
+
+def test_topic_items_with_exemplars_and_diversity(spark):
+    texts = [(1, i, f"alpha beta gamma common{i} words{i % 2}") for i in range(6)] + [(2, 0, "first of all"), (2, 1, "second text")]
+    labels = [(1, i, (0, 0, 0, 1, 1, -1)[i]) for i in range(6)] + [(2, 0, -1), (2, 1, -1)]
+    vec = [(1, i, [1.0, float(i) / 10, 0.0]) for i in range(6)] + [(2, 0, [1.0, 0.0, 0.0]), (2, 1, [0.0, 1.0, 0.0])]
+    t = spark.createDataFrame(texts, "doc_id long, block_idx int, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, block_idx int, label int")
+    v = spark.createDataFrame(vec, "doc_id long, block_idx int, embedding array<double>")
+    second = spark.createDataFrame([(1, 0, ["Key phrase", "alpha", "another phrase"]), (2, 0, ["x1", "x2", "x3", "x4"])], "doc_id long, topic_id int, keywords array<string>")
+    got = {(x["doc_id"], x["topic_id"]): x for x in P.topic_items(t, lab, 4, vectors=v, second=second).collect()}
+    assert {k: (x["count"], x["exemplar"]) for k, x in got.items()} == {(1, 0): (3, texts[1][2]), (1, 1): (2, texts[3][2]), (2, 0): (2, "first of all")}
+    assert all(len(x["keywords"]) == 4 for x in got.values())
+    assert set(got[1, 0]["keywords"]) <= {"alpha", "beta", "gamma", "key phrase", "another phrase"} | {f"common{i}" for i in range(6)} | {"words0", "words1"}
