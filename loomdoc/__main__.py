@@ -5,10 +5,19 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
+from .operators import select as X
 from .plans import engine
 from .sources import files
+from .sources.stage import staged
+
+#: Weights of the five signals and thresholds.
+_CONFIG = ("k", "e", "c", "t", "p", "ambiguity", "fallback", "temperature", "min_tokens", "topk", "max_domains")
+
+
+def config(a) -> X.Config:
+    """The selector's settings from the command line."""
+    return X.Config(**{k: getattr(a, k) for k in _CONFIG})
 
 
 def stages(spark: SparkSession) -> dict:
@@ -16,11 +25,10 @@ def stages(spark: SparkSession) -> dict:
 
     def parse(a):
         paths = files.expand_inputs(spark, a.inputs)
-        blocks = files.parse(files.binary_files(spark, paths)).withColumn("lang", F.lit("und"))
-        blocks.write.mode("overwrite").parquet(a.out)
+        files.structured(staged(files.parse(files.binary_files(spark, paths)), "parsed")).write.mode("overwrite").parquet(a.out)
 
     def contextize(a):
-        topics, context = engine.contextize(read(a.inputs[0]).where("text IS NOT NULL"), a.top_k, a.eps, not a.light)
+        topics, context = engine.contextize(read(a.inputs[0]).where("text IS NOT NULL"), a.top_k, a.eps, not a.light, a.min_samples)
         topics.write.mode("overwrite").parquet(f"{a.out}/topics")
         context.write.mode("overwrite").parquet(f"{a.out}/context")
 
@@ -28,10 +36,10 @@ def stages(spark: SparkSession) -> dict:
         engine.chunk(read(a.inputs[0]).where("text IS NOT NULL"), a.max_tokens, a.max_chars).write.mode("overwrite").parquet(a.out)
 
     def contextize_chunks(a):
-        engine.contextize_chunks(read(a.inputs[0]), read(f"{a.inputs[1]}/topics")).write.mode("overwrite").parquet(a.out)
+        engine.contextize_chunks(read(a.inputs[0]), read(f"{a.inputs[1]}/topics"), read(f"{a.inputs[1]}/context")).write.mode("overwrite").parquet(a.out)
 
     def select(a):
-        engine.select(read(a.inputs[0]), read(f"{a.inputs[1]}/context"), read(f"{a.inputs[1]}/topics")).write.mode("overwrite").parquet(a.out)
+        engine.select(read(a.inputs[0]), read(f"{a.inputs[1]}/context"), read(f"{a.inputs[1]}/topics"), config=config(a)).write.mode("overwrite").parquet(a.out)
 
     return {"parse": parse, "contextize-doc": contextize, "chunk": chunk, "contextize-chunks": contextize_chunks, "schema-select": select}
 
@@ -48,6 +56,9 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--light", action="store_true")
         s.add_argument("--max-tokens", type=int, default=2048)
         s.add_argument("--max-chars", type=int, default=9000)
+        s.add_argument("--min-samples", type=int, default=2)
+        for k in _CONFIG:
+            s.add_argument(f"--{k.replace('_', '-')}", type=type(getattr(X.Config(), k)), default=getattr(X.Config(), k), help="of schema-select")
     s = sub.add_parser("pipeline-yaml", help="stages in the order of a YAML file: stages: [{name, args}]")
     s.add_argument("file")
     return p

@@ -50,6 +50,16 @@ def vectors(batches: Iterator[pa.RecordBatch], keys: int, size: int, schema: pa.
         yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(keys)), pa.array(place.astype(np.int32)), pa.array(w)], schema=schema)
 
 
+def encoded(batches: Iterator[pa.RecordBatch], load, size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The last column, texts, by a model's encode(), size at a time."""
+    model = None
+    for batch in batches:
+        model = load() if model is None else model
+        texts = batch.column(batch.num_columns - 1).to_pylist()
+        made = [np.asarray(v, dtype=np.float64).tolist() for i in range(0, len(texts), size) for v in model.encode(texts[i : i + size])]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, schema.field("embedding").type)], schema=schema)
+
+
 def _blocks(row: np.ndarray, column: np.ndarray, value: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """(first row, dense rows) of a sparse matrix of n rows, sorted by row, BLOCK at a time."""
     width = int(column.max()) + 1 if len(column) else 1

@@ -115,6 +115,19 @@ def vectors(found: DataFrame, keys: list[str], text: str = "text", size: int = 4
     return rows.mapInArrow(lambda b: bags.vectors(b, len(keys), size, arrow), schema)
 
 
+def encoded(found: DataFrame, keys: list[str], load, text: str = "text", batch: int = 64) -> DataFrame:
+    """keys, embedding: vectors of a model, any object with encode(list of texts).  load() makes it, once a task, where the
+    task runs; without a model use vectors()."""
+    from pyspark.sql import types as S
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    bags.small_batches(found.sparkSession)
+    rows = found.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    schema = S.StructType([*rows.schema.fields[:-1], S.StructField("embedding", S.ArrayType(S.DoubleType()))])
+    arrow = to_arrow_schema(schema)
+    return rows.mapInArrow(lambda b: bags.encoded(b, load, batch, arrow), schema)
+
+
 def dense(sparse: DataFrame, keys: list[str], size: int) -> DataFrame:
     """keys, embedding: vectors() as arrays of size numbers."""
     m = sparse.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "w"))).alias("m"))

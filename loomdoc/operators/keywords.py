@@ -40,3 +40,15 @@ def fused(first: Column, second: Column, k: int = 10) -> Column:
 def inherited(keywords: Column, k: int = 10) -> Column:
     """The first global keywords, which every chunk of a document inherits."""
     return F.slice(F.coalesce(keywords, F.array().cast("array<string>")), 1, k)
+
+
+def nearest_terms(texts: DataFrame, keys: list[str], encode, k: int = 10, min_len: int = 3) -> DataFrame:
+    """keys, keywords: the k terms of a group whose vectors are nearest to that of the group's texts (the second extractor of fused()).
+    encode(rows, keys) gives keys, embedding of rows (keys, text)."""
+    terms = texts.select(*keys, F.explode(T.space_tokens(F.col("text"), min_len)).alias("text")).distinct()
+    whole = texts.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias("text"))
+    own = encode(terms.select("text").distinct().withColumn("term", F.col("text")), ["term"]).withColumnRenamed("embedding", "_t")
+    near = terms.withColumnRenamed("text", "term").join(own, "term").join(encode(whole, keys), keys)
+    near = near.withColumn("s", F.round(T.cosine(F.col("_t"), F.col("embedding")), 9))
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("s"), "term"))
+    return listed(near.withColumn("rank", rank).where(F.col("rank") <= k), keys)

@@ -20,7 +20,7 @@ def parse(documents: DataFrame) -> DataFrame:
     return B.typed(merged.join(documents.select("doc_id", "lang"), "doc_id"))
 
 
-def contextize(blocks: DataFrame, k: int = 10, eps: float = 0.25, hybrid: bool = True) -> tuple[DataFrame, DataFrame]:
+def contextize(blocks: DataFrame, k: int = 10, eps: float = 0.25, hybrid: bool = True, min_samples: int = 2) -> tuple[DataFrame, DataFrame]:
     """(topics, context): topics of every document, by density of its blocks' hashed vectors, and
     its global keywords.  Without hybrid (the light mode) there are no topics."""
     words = K.listed(K.tfidf_top(blocks, ["doc_id"], "block_idx", k), ["doc_id"])
@@ -30,7 +30,7 @@ def contextize(blocks: DataFrame, k: int = 10, eps: float = 0.25, hybrid: bool =
         return none, context.withColumn("n_topics", F.lit(0).cast("long"))
     vectors = C.vectors(blocks, ["doc_id", "block_idx"], size=256)
     dense = C.dense(vectors, ["doc_id", "block_idx"], 256)
-    labels = P.clusters(dense, "doc_id", "block_idx", eps=eps)
+    labels = P.clusters(dense, "doc_id", "block_idx", eps=eps, min_samples=min_samples)
     topics = P.topic_items(blocks, labels, k, vectors=dense)
     n = topics.groupBy("doc_id").agg(F.count("*").alias("n_topics"))
     return topics, context.join(n, "doc_id", "left").na.fill(0, ["n_topics"])
@@ -43,12 +43,27 @@ def chunk(blocks: DataFrame, max_tokens: int = C.MAX_TOKENS, max_chars: int = C.
     return found.join(C.source_spans(pack), keys).join(C.intra_cohesion(pack), keys).join(C.scores(found), keys)
 
 
-def contextize_chunks(chunks: DataFrame, topics: DataFrame) -> DataFrame:
-    """chunks with the ids of the nearest topics and the keywords of the topic their number falls to."""
+def contextize_chunks(chunks: DataFrame, topics: DataFrame, context: DataFrame | None = None) -> DataFrame:
+    """chunks with the ids of the nearest topics, the keywords of the topic their number falls to, and with context the first
+    ten global keywords of their document."""
     near = P.hints(chunks, topics).groupBy("doc_id", "chunk_seq").agg(F.array_sort(F.collect_list(F.struct("rank", "topic_id", "affinity"))).alias("x"))
     near = near.select("doc_id", "chunk_seq", F.col("x.topic_id").alias("inherited_topic_ids"), F.col("x.affinity").alias("topic_affinity"))
     words = P.topic_of(chunks.select("doc_id", "chunk_seq", F.col("chunk_seq").alias("label")), topics).select("doc_id", "chunk_seq", "keywords")
-    return chunks.join(near, ["doc_id", "chunk_seq"], "left").join(words, ["doc_id", "chunk_seq"], "left")
+    out = chunks.join(near, ["doc_id", "chunk_seq"], "left").join(words, ["doc_id", "chunk_seq"], "left")
+    if context is None:
+        return out
+    return out.join(context.select("doc_id", K.inherited(F.col("keywords_global")).alias("inherited_keywords")), "doc_id", "left")
+
+
+def report(topics: DataFrame) -> DataFrame:
+    """The extended metrics of every document's topics (doc_id, topic_id, count, keywords)."""
+    return P.metrics(topics, "doc_id")
+
+
+def entities(chunks: DataFrame, keywords: DataFrame, registry: O.Registry = O.DEFAULT) -> DataFrame:
+    """doc_id, domain, type_name, score, rank by a document's keywords and all tokens of its chunks."""
+    own = keywords.select("doc_id", T.unique_sorted(F.coalesce("keywords_global", F.array().cast("array<string>"))).alias("keywords"))
+    return O.entity_scores(X.text_and_keywords(own, chunks), chunks.sparkSession, registry, ["doc_id"])
 
 
 def select(chunks: DataFrame, keywords: DataFrame, topics: DataFrame, registry: O.Registry = O.DEFAULT, config: X.Config = X.Config(), priors: DataFrame | None = None) -> DataFrame:

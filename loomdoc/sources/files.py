@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import logging
 import re
 import zipfile
 from collections.abc import Iterator
@@ -12,8 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from ..functions import text as X
+from ..operators import blocks as B
 
 _BLOCK = "STRUCT<type STRING, text STRING, level INT, caption STRING, cells ARRAY<STRUCT<row INT, col INT, text STRING>>>"
 IR = f"doc_id STRING, source_path STRING, mime STRING, lang STRING, pages ARRAY<STRUCT<page_number INT, width DOUBLE, height DOUBLE, lang STRING, blocks ARRAY<{_BLOCK}>>>"
@@ -122,6 +125,31 @@ def parse(files: DataFrame) -> DataFrame:
     return files.mapInPandas(run, _PARSED)
 
 
+def structured(parsed: DataFrame) -> DataFrame:
+    """Blocks of parse() with raw lines (type unknown) merged to paragraphs and typed, what else a page has after
+    them in its order, and with lang (of the document), page_lang and page_count.  Rows with an error stay as they are."""
+    found = parsed.where("error IS NULL")
+    raw = found.where("type = 'unknown'")
+    merged = B.typed(B.paragraphs(raw.select("doc_id", "page_number", "block_idx", "text")).withColumnRenamed("paragraph", "block_idx"))
+    none = {"cells": F.lit(None).cast(parsed.schema["cells"].dataType)}
+    own = merged.withColumns(none).select("doc_id", "page_number", F.lit(0).alias("_after"), "block_idx", "type", "text", "level", "cells")
+    rest = found.where("type <> 'unknown'").select("doc_id", "page_number", F.lit(1).alias("_after"), "block_idx", "type", "text", "level", "cells")
+    number = F.row_number().over(W.partitionBy("doc_id", "page_number").orderBy("_after", "block_idx")) - 1
+    blocks = own.union(rest).withColumn("block_idx", number).drop("_after")
+    told = B.languages(blocks.where("text IS NOT NULL")).withColumnRenamed("n_pages", "_n")
+    pages = found.groupBy("doc_id").agg(F.countDistinct("page_number").alias("page_count"))
+    files = parsed.select("doc_id", "path", "mime", "sha256", "error").distinct()
+    out = files.join(blocks, "doc_id", "left").join(told.select("doc_id", "page_number", "page_lang"), ["doc_id", "page_number"], "left")
+    out = out.join(told.select("doc_id", "lang").distinct(), "doc_id", "left").join(pages, "doc_id", "left")
+    return out.withColumns({c: F.coalesce(c, F.lit("und")) for c in ("lang", "page_lang")})
+
+
+def needing_ocr(parsed: DataFrame, page_counts: DataFrame) -> DataFrame:
+    """doc_id, page_number of pages (doc_id, page_count) that no text or table came from."""
+    pages = page_counts.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("page_count").cast("int"))).alias("page_number"))
+    return B.without_blocks(pages, parsed.where("error IS NULL AND (type = 'table' OR trim(text) <> '')"))
+
+
 def nested(blocks: DataFrame) -> DataFrame:
     """Documents of nested pages (schema IR) from flat blocks."""
     b = blocks.where("error IS NULL") if "error" in blocks.columns else blocks
@@ -133,8 +161,13 @@ def nested(blocks: DataFrame) -> DataFrame:
 
 
 def read_ir(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Nested documents from JSON files, of one object each or one a line."""
-    return spark.read.schema(IR).option("multiLine", True).json(paths)
+    """Nested documents from JSON files, of one object each or one a line; missing files are told in the log and passed over."""
+    there = [p for pattern in paths for p in expand_inputs(spark, [pattern])]
+    if missing := len(paths) - len(there) if len(there) < len(paths) else 0:
+        logging.getLogger(__name__).warning("%d of %d inputs do not exist", missing, len(paths))
+    if not there:
+        return spark.createDataFrame([], IR)
+    return spark.read.schema(IR).option("multiLine", True).json(there)
 
 
 def write_json(df: DataFrame, path: str, key: str | None = None) -> None:
@@ -148,5 +181,22 @@ def write_ir(df: DataFrame, path: str) -> None:
     write_json(df.select(*[f.name for f in T._parse_datatype_string(IR)]), path)
 
 
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """Replaces path with JSON lines of chunks, a folder per document (doc_id=...)."""
+    write_json(chunks, path, "doc_id")
+
+
 def export_registry(spark: SparkSession, registry, path: str) -> None:
-    write_json(registry.domain_table(spark), path)
+    """Replaces path with a registry as JSON: a row per domain with its aliases, entity types and relations."""
+    rows = [(d.name, d.schema_name, float(d.weight), list(d.aliases), list(d.negative), list(d.stopwords), [(n, sorted({x.strip().lower() for x in a})) for n, a in d.entities], list(d.relations)) for d in registry.domains]
+    schema = "domain string, schema_name string, weight double, aliases array<string>, negative_aliases array<string>, stopwords array<string>, entity_types array<struct<name:string,aliases:array<string>>>, relation_types array<struct<name:string,head:string,tail:string>>"
+    write_json(spark.createDataFrame(rows, schema), path)
+
+
+def registry_vectors(spark: SparkSession, registry, path: str) -> DataFrame:
+    """The registry's vectors (domain, bucket, v) as a table at path, made where there is none."""
+    from ..operators import ontology as O
+
+    if not expand_inputs(spark, [f"{path}/_SUCCESS"]):
+        O.cosine_vectors(spark, registry).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
