@@ -13,6 +13,7 @@ from ..functions import text as T
 from ..sources.stage import staged
 from . import chunks as C
 from . import keywords as K
+from .links import components
 
 
 def centroids(vectors: DataFrame, group: str, vector: str = "embedding", normalize: bool = True) -> DataFrame:
@@ -117,6 +118,82 @@ def clusters(points: DataFrame, doc: str, key: str, vector: str = "embedding", e
     return points.select(doc, key, vector).groupBy(doc).applyInPandas(run, f"{doc} {kind(doc)}, {key} {kind(key)}, label int")
 
 
+def _forest(near: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what near (rows i, columns j) joins: every row and column with the first row of its component, found by
+    passing the least row number on until nothing changes."""
+    far = len(i)
+    row = np.where(near.any(axis=1), np.arange(far), far)
+    while True:
+        column = np.where(near, row[:, None], far).min(axis=0)
+        least = np.minimum(row, np.where(near, column[None, :], far).min(axis=1))
+        if np.array_equal(least, row):
+            break
+        row = least
+    r, c = np.flatnonzero(row < far), np.flatnonzero(column < far)
+    return np.concatenate([i[r], j[c]]), np.concatenate([i[row[r]], i[column[c]]])
+
+
+def _block_pairs(points: DataFrame, block: int) -> DataFrame:
+    """Every two blocks of a document's points (_d, _id, _side, _rank, u): d, a, b, x, y, and ids and ranks i, j, s, t of points of
+    side 0 and side 1 (both sides: side null)."""
+    n = F.count("*").over(W.partitionBy("_d"))
+    dealt = points.withColumn("b", F.pmod(F.xxhash64("_id"), F.ceil(n / block)).cast("int"))
+    rows = F.array_sort(F.collect_list(F.struct("_id", "_rank", "u")))
+
+    def side(k: int, names: str) -> DataFrame:
+        g = dealt.where(f"_side IS NULL OR _side = {k}").groupBy("_d", "b").agg(rows.alias("r"))
+        d, b, i, s, x = names
+        return g.select(F.col("_d").alias(d), F.col("b").alias(b), F.col("r._id").alias(i), F.col("r._rank").alias(s), F.flatten("r.u").alias(x))
+
+    left, right = side(0, "daisx"), side(1, "ebjty")
+    return left.join(right, F.col("d").eqNullSafe(F.col("e"))).select("i", "j", "s", "t", "x", "y")
+
+
+def _over_blocks(pairs: DataFrame, eps: float, emit, schema: str) -> DataFrame:
+    """emit(near, i, j, s, t) of every pair of blocks, near being who is within eps of whom: lists of columns."""
+
+    def run(batches):
+        for batch in batches:
+            out: list[list] = []
+            for i, j, s, t, x, y in zip(*batch.columns, strict=True):
+                i, j, s, t = (z.values.to_numpy(zero_copy_only=False) for z in (i, j, s, t))
+                near = 1 - x.values.to_numpy().reshape(len(i), -1) @ y.values.to_numpy().reshape(len(j), -1).T <= eps
+                out.append(emit(near, i, j, s, t))
+            names = [z.split()[0] for z in schema.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out]) if out else [], pa.int64()) for k in range(len(names))], names=names)
+
+    return pairs.mapInArrow(run, schema)
+
+
+def clusters_in_blocks(points: DataFrame, doc: str, key: str, vector: str = "embedding", eps: float = 0.25, min_samples: int = 2, block: int = 512) -> DataFrame:
+    """clusters(), for documents of many points: every pair of blocks of a document is one matrix product in a task of its own, which gives
+    numbers of neighbours, then links that join its core points (a forest, not all pairs), then the first cluster near
+    every other point; the links' components are the clusters."""
+    u = points.select(F.col(doc).alias("_d"), F.col(key).alias("_k"), T.unit(F.col(vector)).alias("u"), F.lit(None).cast("int").alias("_side"), F.lit(0).cast("long").alias("_rank"))
+    u = staged(u.withColumn("_id", F.monotonically_increasing_id()), "points")
+    degree = _over_blocks(_block_pairs(u, block), eps, lambda near, i, j, s, t: (i, near.sum(axis=1)), "_id long, n long")
+    core = staged(degree.groupBy("_id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_samples).select("_id"), "cores")
+    cores = u.join(core, "_id")
+
+    found = components(_over_blocks(_block_pairs(cores, block), eps, lambda near, i, j, s, t: _forest(near, i, j), "u long, v long"))
+    named = cores.join(found, F.col("_id") == F.col("node"), "left").select("_d", "_id", "_k", "u", F.coalesce("component", "_id").alias("c"))
+    first = named.groupBy("_d", "c").agg(F.min("_k").alias("k"))
+    first = first.select(F.col("_d").alias("_e"), F.col("c").alias("_c"), (F.row_number().over(W.partitionBy("_d").orderBy("k")) - 1).cast("long").alias("_rank"))
+    named = staged(named.join(first, F.col("_d").eqNullSafe(F.col("_e")) & (F.col("c") == F.col("_c"))).select("_d", "_id", "_k", "u", "_rank"), "named")
+    rest = u.join(core, "_id", "left_anti").select("_d", "_id", "_k", "u", F.lit(-1).cast("long").alias("_rank"))
+    both = rest.withColumn("_side", F.lit(0)).unionByName(named.withColumn("_side", F.lit(1)))
+
+    def border(near, i, j, s, t):
+        least = np.where(near, t[None, :], np.iinfo(np.int64).max).min(axis=1)
+        own = least < np.iinfo(np.int64).max
+        return i[own], least[own]
+
+    near = _over_blocks(_block_pairs(both, block), eps, border, "_id long, r long").groupBy("_id").agg(F.min("r").alias("r"))
+    rest = rest.join(near, "_id", "left").select("_d", "_k", F.coalesce("r", F.lit(-1)).alias("_rank"))
+    out = named.select("_d", "_k", "_rank").union(rest)
+    return out.select(F.col("_d").alias(doc), F.col("_k").alias(key), F.col("_rank").cast("int").alias("label"))
+
+
 def mmr(candidates: DataFrame, group: str, key: str, vector: str = "embedding", k: int = 10, weight: float = 0.7) -> DataFrame:
     """group, key, rank: k members chosen greedily by weight * cosine to the mean less (1 - weight) * largest cosine to
     those chosen (smallest key of equals); all in their order where k are there or fewer.

@@ -45,16 +45,28 @@ def q23_coherence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.coherence(_embeddings(spark, sf_dir), "label").withColumn("coherence", F.round("coherence", 6))
 
 
-_EPS = 0.60
-
-
-@query(f"""WITH RECURSIVE {_U}, ed AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND 1 - list_dot_product(a.u, b.u) <= {_EPS}),
+def _dbscan_sql(eps: float) -> str:
+    return f"""WITH RECURSIVE {_U}, ed AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND 1 - list_dot_product(a.u, b.u) <= {eps}),
 r(i, j) AS (SELECT vec_id, vec_id FROM u UNION SELECT r.i, ed.b FROM r JOIN ed ON r.j = ed.a),
 c AS (SELECT i, min(j) AS c, count(*) AS n FROM r GROUP BY i), k AS (SELECT c, dense_rank() OVER (ORDER BY c) - 1 AS label FROM (SELECT DISTINCT c FROM c WHERE n > 1))
-SELECT c.i AS vec_id, CAST(coalesce(k.label, -1) AS INT) AS label FROM c LEFT JOIN k ON c.c = k.c AND c.n > 1""")
-def q24_dbscan(spark: SparkSession, sf_dir: str) -> DataFrame:
+SELECT c.i AS vec_id, CAST(coalesce(k.label, -1) AS INT) AS label FROM c LEFT JOIN k ON c.c = k.c AND c.n > 1"""
+
+
+def _clustered(spark, sf_dir, eps: float) -> DataFrame:
     points = _embeddings(spark, sf_dir).select(F.lit(0).alias("doc"), "vec_id", "embedding")
-    return P.clusters(points, "doc", "vec_id", eps=_EPS).select("vec_id", "label")
+    return P.clusters_in_blocks(points, "doc", "vec_id", eps=eps).select("vec_id", "label")
+
+
+@query(_dbscan_sql(0.60))
+def q24_dbscan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as the points of one document."""
+    return _clustered(spark, sf_dir, 0.60)
+
+
+@query(_dbscan_sql(0.25))
+def q70_dbscan_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q24 with the default distance."""
+    return _clustered(spark, sf_dir, 0.25)
 
 
 @query(f"""WITH RECURSIVE {_U}, c AS (SELECT label, vec_id, u FROM u),

@@ -23,4 +23,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = at
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables made by staged() that no later step reads."""
+    for df in tables:
+        df._staged_at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(df._staged_at, True)

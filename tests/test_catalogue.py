@@ -46,4 +46,4 @@ def test_query_equals_sql(spark, data, duck, name):
 
 
 def test_all_have_sql():
-    assert set(catalogue.QUERIES) == set(catalogue.ORACLE_SQL) and len(catalogue.QUERIES) == 69
+    assert set(catalogue.QUERIES) == set(catalogue.ORACLE_SQL) and len(catalogue.QUERIES) == 70

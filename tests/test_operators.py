@@ -256,7 +256,7 @@ def test_entry_works_without_the_optional_part(spark, monkeypatch):
         raise ModuleNotFoundError(f"No module named '{name}'", name=name)
 
     monkeypatch.setattr(e.importlib, "import_module", missing)
-    assert set(e.queries()) == set(e.oracle_sql()) and len(e.queries()) == 69
+    assert set(e.queries()) == set(e.oracle_sql()) and len(e.queries()) == 70
 
 
 def test_a_long_documents_chunks_in_blocks(spark, monkeypatch):
@@ -317,3 +317,15 @@ def test_topic_items_with_exemplars_and_diversity(spark):
     assert {k: (x["count"], x["exemplar"]) for k, x in got.items()} == {(1, 0): (3, texts[1][2]), (1, 1): (2, texts[3][2]), (2, 0): (2, "first of all")}
     assert all(len(x["keywords"]) == 4 for x in got.values())
     assert set(got[1, 0]["keywords"]) <= {"alpha", "beta", "gamma", "key phrase", "another phrase"} | {f"common{i}" for i in range(6)} | {"words0", "words1"}
+
+
+def test_clusters_in_blocks_equal_clusters(spark):
+    r = np.random.default_rng(6)
+    centres = r.standard_normal((6, 8))
+    x = np.concatenate([centres[r.integers(0, 6, 90)] + 0.25 * r.standard_normal((90, 8)), r.standard_normal((30, 8)), np.zeros((2, 8))])
+    rows = [("a" if i % 3 else None, 1000 - i, v.tolist()) for i, v in enumerate(x)] + [("one", 5, [1.0] * 8)]
+    df = spark.createDataFrame(rows, "doc string, i int, embedding array<double>").repartition(3)
+    for eps, least in ((0.1, 2), (0.1, 4), (0.3, 6), (0.02, 3)):
+        want = {(y["doc"], y["i"]): y["label"] for y in P.clusters(df, "doc", "i", eps=eps, min_samples=least).collect()}
+        got = {(y["doc"], y["i"]): y["label"] for y in P.clusters_in_blocks(df, "doc", "i", eps=eps, min_samples=least, block=10).collect()}
+        assert got == want and len(set(want.values())) > 2
