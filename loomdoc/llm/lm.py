@@ -52,6 +52,17 @@ def is_held_out(column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % 7 == 2
 
 
+_CODERS: dict[str, Coder] = {}
+
+
+def coder_of(name: str, shared) -> Coder:
+    """The coder of the vocabulary name, whose ranks are broadcast; one a worker, which runs many tasks."""
+    if name not in _CODERS:
+        _CODERS.clear()
+        _CODERS[name] = Coder(shared.value)
+    return _CODERS[name]
+
+
 class Coder:
     """Subword ids of words; remembers words while they are fewer than a bound."""
 
@@ -69,19 +80,17 @@ class Coder:
     def tokens(self, w: Words, unique: np.ndarray, where: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids of all documents of a chunk, an end after each, and bounds.
         unique, where, inverse: np.unique of the word hashes."""
-        if len(self.slots) > 1 << 19:
+        if len(self.slots) > 1 << 18:
             self._clear()
-        slots = np.empty(len(unique), np.int64)
-        flat, lens = [], []
-        for i, h in enumerate(unique.tolist()):
-            slot = self.slots.get(h)
-            if slot is None:
-                j = where[i]
-                ids = self.own.encode_ordinary(" " + w.body[w.cut[j] : w.cut[j + 1]].tobytes().decode("utf-8", "replace"))
-                slot = self.slots[h] = len(self.slots)
-                flat += ids
-                lens.append(len(ids))
-            slots[i] = slot
+        known, flat, lens = self.slots, [], []
+        slots = [known.get(h, -1) for h in unique.tolist()]
+        for i in (i for i, slot in enumerate(slots) if slot < 0):
+            j = where[i]
+            ids = self.own.encode_ordinary(" " + w.body[w.cut[j] : w.cut[j + 1]].tobytes().decode("utf-8", "replace"))
+            slots[i] = known[int(unique[i])] = len(known)
+            flat += ids
+            lens.append(len(ids))
+        slots = np.array(slots, np.int64)
         if lens:
             self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
@@ -127,8 +136,8 @@ class _Sums:
 _COUNT = "kind int, key long, n long"
 
 
-def _count(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    coder, sums = Coder(shared.value), (_Sums(), _Sums())
+def _count(batches: Iterator[pa.RecordBatch], shared, name: str = VOCABULARY) -> Iterator[pa.RecordBatch]:
+    coder, sums = coder_of(name, shared), (_Sums(), _Sums())
 
     def rows():
         for kind, s in enumerate(sums):
@@ -251,7 +260,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _fitted(part, total, steps)
 
 
-def train(docs: DataFrame, pairs: DataFrame, table: dict[bytes, int], shared) -> Scorer:
+def train(docs: DataFrame, pairs: DataFrame, table: dict[bytes, int], shared, name: str = VOCABULARY) -> Scorer:
     """docs: the training documents (doc_id, text); pairs: their pair counts (key, n)."""
     spark = docs.sparkSession
     scorer = Scorer(*_coded(pairs, max(table.values()) + 2))
@@ -260,7 +269,7 @@ def train(docs: DataFrame, pairs: DataFrame, table: dict[bytes, int], shared) ->
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("part"), F.xxhash64("text", "doc_id").alias("place"), "text")
 
     def fit(batches, begun, epochs: int, size: int, rate: float):
-        own, mine = begun.value, Coder(shared.value)
+        own, mine = begun.value, coder_of(name, shared)
         copy = Model(own.model.first, own.model.then)
         _unflat(copy, _flat(own.model))
         texts = (b.column(0) for b in batches)
@@ -280,16 +289,16 @@ def train(docs: DataFrame, pairs: DataFrame, table: dict[bytes, int], shared) ->
     take(first.mapInArrow(lambda b: fit(b, begun, EPOCHS, _START_BATCH, 0.005), _FITTED).collect())  # one row
     ready = spark.sparkContext.broadcast(scorer)
     each = dealt.repartitionById(parts, "part").sortWithinPartitions(*in_order).select("text").mapInArrow(lambda b: fit(b, ready, 1, _BATCH, 0.001), _FITTED)
-    sums = each.repartitionById(64, F.pmod("part", F.lit(64))).sortWithinPartitions("part").mapInArrow(_sum, _FITTED)
-    take(sorted(sums.collect(), key=lambda r: r["part"]))  # 64 rows at most
+    sums = each.repartitionById(16, F.pmod("part", F.lit(16))).sortWithinPartitions("part").mapInArrow(_sum, _FITTED)
+    take(sorted(sums.collect(), key=lambda r: r["part"]))  # 16 rows at most
     return scorer
 
 
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, rare array<long>, row long"
 
 
-def _score(batches: Iterator[pa.RecordBatch], shared, model, common) -> Iterator[pa.RecordBatch]:
-    coder, scorer = Coder(shared.value), model.value
+def _score(batches: Iterator[pa.RecordBatch], shared, model, common, name: str = VOCABULARY) -> Iterator[pa.RecordBatch]:
+    coder, scorer = coder_of(name, shared), model.value
     hashes, logs = common.value
     tables = scorer.model.tables()
     number = TaskContext.get().partitionId() << 33
@@ -330,10 +339,10 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     table = ranks(vocabulary)
     shared = spark.sparkContext.broadcast(table)
     learn = docs.where(~is_held_out())
-    counts = learn.select("text").mapInArrow(lambda b: _count(b, shared), _COUNT).groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counts = learn.select("text").mapInArrow(lambda b: _count(b, shared, vocabulary), _COUNT).groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = written(counts, "lm-counts")
     words = counts.where(F.col("kind") == WORD).select("key", "n")
-    scorer = train(learn, counts.where(F.col("kind") == PAIR).select("key", "n"), table, shared)
+    scorer = train(learn, counts.where(F.col("kind") == PAIR).select("key", "n"), table, shared, vocabulary)
     # the commonest words: whole steps of a quarter power of two, FREQUENT words at most
     step = F.floor(4 * F.log2(F.col("n").cast("double")))
     by_step = sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("w"), F.sum("n").alias("n")).collect(), reverse=True)
@@ -353,7 +362,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     end = words.where(F.col("key") == END_WORD).first()
     end = end["n"] if end else 0
     model = spark.sparkContext.broadcast(scorer)
-    scored = docs.select("doc_id", is_held_out().alias("held_out"), "text").mapInArrow(lambda b: _score(b, shared, model, common), _SCORED)
+    scored = docs.select("doc_id", is_held_out().alias("held_out"), "text").mapInArrow(lambda b: _score(b, shared, model, common, vocabulary), _SCORED)
     scored = written(scored, "lm-scored")
     rare = scored.where(F.size("rare") > 0).select("row", F.explode("rare").alias("key")).join(words, "key").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("more_logs"))
     n = F.col("n_tokens")
