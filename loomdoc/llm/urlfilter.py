@@ -59,8 +59,9 @@ def _grams(urls: DataFrame, order: int) -> DataFrame:
     """A row per character of s and its end, with the characters before it: gram of order + 1."""
     plain = F.regexp_replace("s", "[^\\x20-\\x7E]", _OTHER)
     padded = F.concat(F.lit(_EDGE * order), plain, F.lit(_EDGE))
-    place = F.explode(F.sequence(F.lit(1), F.length("s") + 1))
-    return urls.withColumn("_p", padded).withColumn("_i", place).withColumn("gram", F.substr("_p", F.col("_i"), F.lit(order + 1))).drop("_p", "_i")
+    # one pass of a pattern that looks ahead and moves on by one character: linear in the URL, as substr at every place is not
+    every = F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.{{{order + 1}}}))"), F.lit(1))
+    return urls.withColumn("gram", F.explode(every))
 
 
 def ratios(urls: DataFrame, order: int = ORDER) -> DataFrame:

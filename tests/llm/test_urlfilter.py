@@ -81,3 +81,14 @@ def test_edge_cases(spark):
     assert U.judge(base.limit(0)).count() == 0
     unruled = U.judge(base.where("page_id IN (1, 6, 9)")).collect()
     assert {r["verdict"] for r in unruled} == {"allow"}
+
+
+def test_very_long_urls(spark):
+    """Urls of 40,000 characters are judged whole: a rule's, and one that differs from it at its end only."""
+    long = "a/bc?" * 8000
+    rows = [(1, f"http://x.org/es/{'abc/' * 10_000}"), (2, f"http://x.info/{'abc/' * 10_000}en"), (3, f"http://example.com/en/7{long}")]
+    rows += [(10 + i, f"http://good{i}.net/de/{i}") for i in range(20)]
+    got = {r["page_id"]: r for r in U.judge(spark.createDataFrame(rows, PAGE)).collect()}
+    assert (got[1]["rule"], got[1]["verdict"]) == ("org/es/", "block") and len(got[1]["path"]) == 40_004
+    assert got[2]["rule"] is None and len(got[2]["path"]) == 40_003 and math.isfinite(got[2]["score"])
+    assert (got[3]["rule"], got[3]["path"]) == ("example.com/en/7", "/en/7a/bc")
