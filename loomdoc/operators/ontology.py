@@ -77,56 +77,48 @@ class Registry:
         return "(VALUES " + ", ".join(f"({text(d.name)}, {i}, {text(n)}, {text(a)})" for d in self.domains for i, (n, aliases) in enumerate(d.entities) for a in sorted(set(aliases))) + ") AS t(domain, pos, type_name, alias)"
 
 
-def _words(text: str) -> tuple[str, ...]:
-    return tuple(x.strip() for x in text.split(","))
-
-
-def _types(**named: str) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    return tuple((k, _words(v)) for k, v in named.items())
-
-
 # The default registry and the schema template of each domain.
 DEFAULT = Registry(
     (
         Domain("medical", "medical_note_v1", 0.95,
-            _words("diagnóstico, síntoma, tratamiento, terapia, hospital, médico, doctor, paciente, prescripción, cirugía, fármaco, medicina, receta, clínico, enfermedad, historial médico, análisis clínico, diagnosis, symptom, therapy, treatment, patient, prescription, surgery, drug, medication, clinical trial, medical record"),
-            _words("financial, contract, invoice, policy, software, product, order, payment, investment, bank, insurance, agreement, article, press, review, customer, user"),
-            _words("caso, registro, documento, data, study, report, analysis, record, case, note"),
-            _types(Disease="enfermedad, patología, disease, condition", Symptom="síntoma, signo, symptom", Drug="fármaco, medicamento, drug", Patient="paciente, patient"),
+            ("diagnóstico", "síntoma", "tratamiento", "terapia", "hospital", "médico", "doctor", "paciente", "prescripción", "cirugía", "fármaco", "medicina", "receta", "clínico", "enfermedad", "historial médico", "análisis clínico", "diagnosis", "symptom", "therapy", "treatment", "patient", "prescription", "surgery", "drug", "medication", "clinical trial", "medical record"),
+            ("financial", "contract", "invoice", "policy", "software", "product", "order", "payment", "investment", "bank", "insurance", "agreement", "article", "press", "review", "customer", "user"),
+            ("caso", "registro", "documento", "data", "study", "report", "analysis", "record", "case", "note"),
+            (("Disease", ("enfermedad", "patología", "disease", "condition")), ("Symptom", ("síntoma", "signo", "symptom")), ("Drug", ("fármaco", "medicamento", "drug")), ("Patient", ("paciente", "patient"))),
             (("has_symptom", "Disease", "Symptom"), ("treated_with", "Disease", "Drug"), ("attended_by", "Patient", "Doctor"))),
         Domain("legal", "legal_contract_v1", 1.0,
-            _words("contrato, cláusula, firma, notario, juicio, sentencia, demanda, acuerdo, penalización, contract, agreement, clause, signature, trial, lawsuit, court, penalty, liability, claim, jurisdicción, legal, law, compliance"),
-            _words("hospital, doctor, disease, stocks, finance, invoice"), _words("documento, registro, caso"),
-            _types(Party="parte, firmante, persona, empresa, party", Contract="contrato, acuerdo, contract", Obligation="obligación, responsabilidad, duty", Penalty="multa, sanción, penalty, fine"),
+            ("contrato", "cláusula", "firma", "notario", "juicio", "sentencia", "demanda", "acuerdo", "penalización", "contract", "agreement", "clause", "signature", "trial", "lawsuit", "court", "penalty", "liability", "claim", "jurisdicción", "legal", "law", "compliance"),
+            ("hospital", "doctor", "disease", "stocks", "finance", "invoice"), ("documento", "registro", "caso"),
+            (("Party", ("parte", "firmante", "persona", "empresa", "party")), ("Contract", ("contrato", "acuerdo", "contract")), ("Obligation", ("obligación", "responsabilidad", "duty")), ("Penalty", ("multa", "sanción", "penalty", "fine"))),
             (("binds", "Contract", "Party"), ("imposes", "Contract", "Obligation"), ("penalizes", "Obligation", "Penalty"))),
         Domain("financial", "financial_tx_v2", 1.0,
-            _words("finanzas, factura, transacción, pago, banco, seguro, mercado, divisa, acción, presupuesto, bolsa, cotización, exchange, finance, investment, stock, currency, insurance, loan, interest, policy, equity, earnings, revenue, ingresos, P&L, Margin, ROI, financials, trading, comercio, earnings per share, profit margin, EPS, Dividend, foreign exchange, FX, mutual fund, hedge fund"),
-            _words("hospital, doctor, contract, disease"), _words("monto, total, fecha"),
-            _types(Invoice="factura, invoice", Transaction="pago, transferencia, transaction", Account="cuenta, account, bank"),
+            ("finanzas", "factura", "transacción", "pago", "banco", "seguro", "mercado", "divisa", "acción", "presupuesto", "bolsa", "cotización", "exchange", "finance", "investment", "stock", "currency", "insurance", "loan", "interest", "policy", "equity", "earnings", "revenue", "ingresos", "P&L", "Margin", "ROI", "financials", "trading", "comercio", "earnings per share", "profit margin", "EPS", "Dividend", "foreign exchange", "FX", "mutual fund", "hedge fund"),
+            ("hospital", "doctor", "contract", "disease"), ("monto", "total", "fecha"),
+            (("Invoice", ("factura", "invoice")), ("Transaction", ("pago", "transferencia", "transaction")), ("Account", ("cuenta", "account", "bank"))),
             (("paid_by", "Transaction", "Account"), ("covered_by", "Invoice", "Policy"))),
         Domain("tech_review", "tech_review_v1", 0.9,
-            _words("benchmark, reseña, modelo, gpu, cpu, latencia, precisión, tecnología, hardware, software, review, performance, specs, accuracy, ai, model, technology, data, inference, training, news"),
-            _words("contract, disease, invoice"), _words("comparativa, prueba, resultado"),
-            _types(Product="producto, modelo, device, software, hardware", Metric="latencia, tiempo, fps, precisión, metric, accuracy"), (("has_metric", "Product", "Metric"),)),
+            ("benchmark", "reseña", "modelo", "gpu", "cpu", "latencia", "precisión", "tecnología", "hardware", "software", "review", "performance", "specs", "accuracy", "ai", "model", "technology", "data", "inference", "training", "news"),
+            ("contract", "disease", "invoice"), ("comparativa", "prueba", "resultado"),
+            (("Product", ("producto", "modelo", "device", "software", "hardware")), ("Metric", ("latencia", "tiempo", "fps", "precisión", "metric", "accuracy"))), (("has_metric", "Product", "Metric"),)),
         Domain("ecommerce", "ecommerce_order_v1", 1.0,
-            _words("carrito, pedido, compra, precio, producto, cliente, order, purchase, product, customer, store, review, seller"),
-            _words("hospital, contract, disease"), _words("artículo, comentario, item"),
-            _types(Order="pedido, orden, order", Product="producto, item, product", Review="reseña, comentario, review"), (("contains", "Order", "Product"), ("reviewed_by", "Product", "Review"))),
+            ("carrito", "pedido", "compra", "precio", "producto", "cliente", "order", "purchase", "product", "customer", "store", "review", "seller"),
+            ("hospital", "contract", "disease"), ("artículo", "comentario", "item"),
+            (("Order", ("pedido", "orden", "order")), ("Product", ("producto", "item", "product")), ("Review", ("reseña", "comentario", "review"))), (("contains", "Order", "Product"), ("reviewed_by", "Product", "Review"))),
         Domain("veterinary", "veterinary_case_v1", 0.9,
-            _words("animal, mascota, veterinario, síntoma, tratamiento, ganado, pet, vet, cattle, disease, vacuna, zoonosis"),
-            _words("contrato, invoice, court"), _words("caso, registro, historia"),
-            _types(Animal="mascota, animal, pet, dog, cat", Disease="enfermedad, zoonosis, disease", Treatment="tratamiento, vacuna, treatment, vaccine"), (("treated_with", "Animal", "Treatment"), ("has_disease", "Animal", "Disease"))),
+            ("animal", "mascota", "veterinario", "síntoma", "tratamiento", "ganado", "pet", "vet", "cattle", "disease", "vacuna", "zoonosis"),
+            ("contrato", "invoice", "court"), ("caso", "registro", "historia"),
+            (("Animal", ("mascota", "animal", "pet", "dog", "cat")), ("Disease", ("enfermedad", "zoonosis", "disease")), ("Treatment", ("tratamiento", "vacuna", "treatment", "vaccine"))), (("treated_with", "Animal", "Treatment"), ("has_disease", "Animal", "Disease"))),
         Domain("geopolitical", "geopolitical_event_v1", 0.8,
-            _words("país, ciudad, estado, frontera, conflicto, tratado, country, city, state, border, conflict, treaty, agreement, nación, territorio, guerra, alianza, summit"),
-            _words("contract, hospital, invoice"), _words("caso, zona, región"),
-            _types(Country="país, nación, country", City="ciudad, municipio, city", Event="conflicto, tratado, acuerdo, event, summit, war"), (("located_in", "City", "Country"), ("involves", "Event", "Country"))),
+            ("país", "ciudad", "estado", "frontera", "conflicto", "tratado", "country", "city", "state", "border", "conflict", "treaty", "agreement", "nación", "territorio", "guerra", "alianza", "summit"),
+            ("contract", "hospital", "invoice"), ("caso", "zona", "región"),
+            (("Country", ("país", "nación", "country")), ("City", ("ciudad", "municipio", "city")), ("Event", ("conflicto", "tratado", "acuerdo", "event", "summit", "war"))), (("located_in", "City", "Country"), ("involves", "Event", "Country"))),
         Domain("reviews_and_news", "review_text_v1", 0.8,
-            _words("review, reseña, comentario, opinión, feedback, news, noticia, artículo, prensa, report, headline, calificación, score, rating"),
-            _words("contract, disease, invoice"), _words("texto, contenido, nota"),
-            _types(Review="reseña, review, comentario", NewsArticle="noticia, artículo, news"), (("published_by", "NewsArticle", "Organization"), ("authored_by", "Review", "Person"))),
+            ("review", "reseña", "comentario", "opinión", "feedback", "news", "noticia", "artículo", "prensa", "report", "headline", "calificación", "score", "rating"),
+            ("contract", "disease", "invoice"), ("texto", "contenido", "nota"),
+            (("Review", ("reseña", "review", "comentario")), ("NewsArticle", ("noticia", "artículo", "news"))), (("published_by", "NewsArticle", "Organization"), ("authored_by", "Review", "Person"))),
         Domain("generic", "generic_text_v1", 0.5,
-            _words("general, documento, texto, registro, file, document, record, text"), (), _words("contenido, archivo, formato"),
-            _types(Person="persona, nombre, user", Organization="empresa, institución, organization", Date="fecha, día, año, date", Location="ubicación, ciudad, país, address", Amount="monto, precio, valor, amount"), ()),
+            ("general", "documento", "texto", "registro", "file", "document", "record", "text"), (), ("contenido", "archivo", "formato"),
+            (("Person", ("persona", "nombre", "user")), ("Organization", ("empresa", "institución", "organization")), ("Date", ("fecha", "día", "año", "date")), ("Location", ("ubicación", "ciudad", "país", "address")), ("Amount", ("monto", "precio", "valor", "amount"))), ()),
     ),
     {"legal": "legal_contract_v1", "medical": "medical_note_v1", "financial": "financial_tx_v2", "ecommerce": "ecommerce_order_v1", "identity": "identity_record_v1", "tech_review": "tech_review_v1", "veterinary": "veterinary_case_v1", "geopolitical": "geopolitical_event_v1", "reviews": "review_text_v1", "generic": "generic_text_v1"},
 )
@@ -134,11 +126,11 @@ DEFAULT = Registry(
 #: Languages as domains, so that the synthetic prose matches something.
 SAMPLE = Registry(
     (
-        Domain("en", "en_v1", 1.0, _words("the, and, that, for, was, with, this, are"), entities=_types(Article="the, this", Link="and, with, for", Verb="was, are")),
-        Domain("fr", "fr_v1", 1.0, _words("des, les, une, que, pour, est, qui, par, dans"), entities=_types(Article="des, les, une", Link="que, qui, pour, par")),
-        Domain("de", "de_v1", 1.0, _words("der, die, und, den, von, das, sich, mit, für, des"), entities=_types(Article="der, die, das", Link="und, mit, von")),
-        Domain("es", "es_v1", 1.0, _words("que, los, del, las, por, con, una, para"), entities=_types(Article="los, las, una", Link="que, por, con")),
-        Domain("generic", "generic_text_v1", 0.5, _words("general, documento, texto, document, record, text"), entities=_types(Person="persona, nombre, user")),
+        Domain("en", "en_v1", 1.0, ("the", "and", "that", "for", "was", "with", "this", "are"), entities=(("Article", ("the", "this")), ("Link", ("and", "with", "for")), ("Verb", ("was", "are")))),
+        Domain("fr", "fr_v1", 1.0, ("des", "les", "une", "que", "pour", "est", "qui", "par", "dans"), entities=(("Article", ("des", "les", "une")), ("Link", ("que", "qui", "pour", "par")))),
+        Domain("de", "de_v1", 1.0, ("der", "die", "und", "den", "von", "das", "sich", "mit", "für", "des"), entities=(("Article", ("der", "die", "das")), ("Link", ("und", "mit", "von")))),
+        Domain("es", "es_v1", 1.0, ("que", "los", "del", "las", "por", "con", "una", "para"), entities=(("Article", ("los", "las", "una")), ("Link", ("que", "por", "con")))),
+        Domain("generic", "generic_text_v1", 0.5, ("general", "documento", "texto", "document", "record", "text"), entities=(("Person", ("persona", "nombre", "user")),)),
     ),
     {"en": "en_v1", "fr": "fr_v1", "de": "de_v1", "es": "es_v1", "generic": "generic_text_v1"},
 )
