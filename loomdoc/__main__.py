@@ -39,7 +39,10 @@ def stages(spark: SparkSession) -> dict:
         engine.contextize_chunks(read(a.inputs[0]), read(f"{a.inputs[1]}/topics"), read(f"{a.inputs[1]}/context")).write.mode("overwrite").parquet(a.out)
 
     def select(a):
-        engine.select(read(a.inputs[0]), read(f"{a.inputs[1]}/context"), read(f"{a.inputs[1]}/topics"), config=config(a)).write.mode("overwrite").parquet(a.out)
+        chunks = read(a.inputs[0])
+        found = staged(engine.select(chunks, read(f"{a.inputs[1]}/context"), read(f"{a.inputs[1]}/topics"), config=config(a)), "selected")
+        found.write.mode("overwrite").parquet(f"{a.out}/documents")
+        engine.select_chunks(chunks, found, config=config(a)).write.mode("overwrite").parquet(f"{a.out}/chunks")
 
     return {"parse": parse, "contextize-doc": contextize, "chunk": chunk, "contextize-chunks": contextize_chunks, "schema-select": select}
 

@@ -60,6 +60,18 @@ def document_metrics(chunk_scores: DataFrame, extended: DataFrame | None = None)
     return out.join(extended.select("doc_id", *named), "doc_id", "left")
 
 
+def chunk_signals(spark: SparkSession, registry: O.Registry, texts: DataFrame, words: DataFrame, metrics: DataFrame, selected: DataFrame) -> DataFrame:
+    """Signals of every chunk and each domain that its document's selection (documents()) leaves to it.  By doc_id and chunk_seq:
+    texts (text), words (keywords) and metrics (METRICS)."""
+    keys = ["doc_id", "chunk_seq"]
+    domains = F.broadcast(registry.domain_table(spark).select("domain", "template", "aliases"))
+    k = O.keyword_f1(words, spark, registry, keys).join(allowed(selected, registry.domain_table(spark).select("domain")), ["doc_id", "domain"], "left_semi")
+    e = embedding_scores(spark, registry, texts.select(*keys, "text"), keys)
+    s = k.join(domains, "domain").join(words.select(*keys, T.unique_sorted(F.col("keywords")).alias("kw")), keys)
+    s = s.join(metrics.select(*keys, context_score().alias("c")), keys).join(e, [*keys, "domain"], "left")
+    return s.withColumns({"t": T.jaccard(F.col("kw"), F.col("aliases"), 0.0), "e": F.coalesce("e", F.lit(0.0)), "p": F.lit(0.0)})
+
+
 def all_keywords(keywords: DataFrame, chunk_words: DataFrame) -> DataFrame:
     """doc_id, keywords: those of the document and of its chunks (doc_id, keywords), normalized, sorted, each once."""
     none = F.array().cast("array<string>")

@@ -79,3 +79,12 @@ def select(chunks: DataFrame, keywords: DataFrame, topics: DataFrame, registry:
     s = s.withColumns({x: F.coalesce(x, F.lit(0.0)) for x in "tep"}).join(F.broadcast(registry.domain_table(spark).select("domain", "template")), "domain")
     n = chunks.groupBy("doc_id").agg(F.sum(F.size(T.selector_tokens(F.col("text")))).alias("n_tokens"))
     return X.documents(X.ranked(X.fused(s, config), ["doc_id"]), n, config)
+
+
+def select_chunks(chunks: DataFrame, selected: DataFrame, registry: O.Registry = O.DEFAULT, config: X.Config = X.Config()) -> DataFrame:
+    """Selections of chunks (contextize_chunks) among the domains that select() left to their documents, with the
+    domains that each was scored for."""
+    keys = ["doc_id", "chunk_seq"]
+    words = chunks.select(*keys, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
+    signals = X.chunk_signals(chunks.sparkSession, registry, chunks, words, chunks, selected)
+    return X.decided(X.ranked(X.fused(signals, config), keys), keys, config).withColumnRenamed("domains", "evaluated_domains")

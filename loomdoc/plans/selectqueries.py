@@ -131,16 +131,7 @@ def _doc_selection(spark, sf_dir, st: _State | None = None) -> DataFrame:
 
 
 def _chunk_signals(st: _State, selected: DataFrame) -> DataFrame:
-    """Signals of every chunk and each domain that its document's selection leaves to it."""
-    spark, keys = st.spark, ["doc_id", "chunk_seq"]
-    k = O.keyword_f1(st.words, spark, _SAMPLE, keys)
-    e = X.embedding_scores(spark, _SAMPLE, st.chunks.select(*keys, "text"), keys)
-    c = st.metrics.select(*keys, X.context_score().alias("c"))
-    aliases = _SAMPLE.domain_table(spark).select("domain", "template", "aliases")
-    words = st.words.select(*keys, T.unique_sorted(F.col("keywords")).alias("kw"))
-    s = k.join(X.allowed(selected, _SAMPLE.domain_table(spark).select("domain")), ["doc_id", "domain"], "left_semi")
-    s = s.join(F.broadcast(aliases), "domain").join(words, keys).join(c, keys).join(e, [*keys, "domain"], "left")
-    return s.withColumns({"t": T.jaccard(F.col("kw"), F.col("aliases"), 0.0), "e": F.coalesce("e", F.lit(0.0)), "p": F.lit(0.0)})
+    return X.chunk_signals(st.spark, _SAMPLE, st.chunks, st.words, st.metrics, selected)
 
 
 def _chunk_selection(spark, sf_dir) -> DataFrame:

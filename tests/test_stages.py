@@ -116,5 +116,8 @@ def test_command_line(spark, tmp_path):
     assert rich.count() == spark.read.parquet(at("chunks")).count() > 2 and all(0 < len(r["inherited_keywords"]) <= 5 for r in rich.collect())
     for name, extra in (("out", []), ("strict", ["--fallback", "0.99", "--k", "0.5"])):
         cli.main(["schema-select", at("rich"), at("context"), "--out", at(name), *extra])
-    out, strict = (spark.read.parquet(at(x)) for x in ("out", "strict"))
+    out, strict = (spark.read.parquet(at(f"{x}/documents")) for x in ("out", "strict"))
+    chosen = spark.read.parquet(at("out/chunks")).collect()
+    tops = {r["doc_id"]: set(r["all_top"]) for r in out.collect()}
+    assert len(chosen) == rich.count() and all(r["top_domain"] in r["evaluated_domains"] and set(r["evaluated_domains"]) <= tops[r["doc_id"]] for r in chosen)
     assert out.count() == strict.count() == 2 and {r["selected_schema"] for r in strict.collect()} == {"generic_text_v1"}
