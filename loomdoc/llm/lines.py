@@ -10,7 +10,7 @@ whether or not it stays itself, so of a chain of lines each one edit off the one
 2. One edit leaves the first or the last (n-1)/2 words as they are, so only lines that share such a
    half with another line can have a near one; the others emit nothing.
 3. A remaining line emits hashed keys: itself, each variant with one word deleted, and each variant with
-   the place of the deletion.  Equal (variant, place) keys are replacements of one word; a line equal to
+   the place of the deletion; where it shares one half only, just those with the deletion outside that half.  Equal (variant, place) keys are replacements of one word; a line equal to
    a variant is an insertion.  Within such a key all lines are near, so every key is aggregated to
    its earliest line: a key of k lines costs k rows and no pairs.
 4. Every line and its earliest candidate are compared word for word.
@@ -171,9 +171,12 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = mix((own[w.bounds[1:]] - own[w.bounds[:-1]]) + n.astype(np.uint64))
             deleted = mix(without + count - np.uint64(1))
             placed = mix(without * _B + place * _A + count)
-            row = np.concatenate([np.arange(a, b), w.doc_of() + a, w.doc_of() + a])
-            tag = np.concatenate([np.full(b - a, SELF), np.full(len(w), DELETED), np.full(len(w), PLACED)]).astype(np.int32)
-            key = np.concatenate([whole, deleted, placed]).view(np.int64)
+            half, at = np.repeat((n - 1) // 2, n), i - first
+            front, back = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False)[a:b], n) for c in (6, 7))
+            where = np.flatnonzero((front & (at >= half)) | (back & (at < np.repeat(n, n) - half)))
+            row = np.concatenate([np.arange(a, b), w.doc_of()[where] + a, w.doc_of()[where] + a])
+            tag = np.concatenate([np.full(b - a, SELF), np.full(len(where), DELETED), np.full(len(where), PLACED)]).astype(np.int32)
+            key = np.concatenate([whole, deleted[where], placed[where]]).view(np.int64)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in range(1, 6)), pa.array(tag), pa.array(key)], names=[x.split()[0] for x in _VARIANT.split(", ")])
 
@@ -216,16 +219,19 @@ def _decide(docs: DataFrame, min_words: int) -> tuple[DataFrame, list[DataFrame]
     at = F.struct(*at_columns)
     kinds = rows.groupBy("h1", "h2").agg(F.min(at).alias("f"), F.count("*").alias("m"), *[F.first(c).alias(c) for c in "nabcd"])
     kinds = written(kinds, "line-kinds")
-    halves = kinds.where(F.col("n") >= near_words).select("h1", "h2", F.explode(F.array_distinct(F.array("a", "b", "c", "d"))).alias("key"))
+    half = lambda c, front: F.struct(F.col(c).alias("key"), F.lit(front).alias("front"))
+    halves = kinds.where(F.col("n") >= near_words).select("h1", "h2", F.explode(F.array_distinct(F.array(half("a", True), half("b", False), half("c", True), half("d", False)))).alias("k"))
+    halves = halves.select("h1", "h2", "k.key", "k.front")
     shared_half = halves.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    maybe = written(halves.join(shared_half, "key").select("h1", "h2").distinct().join(kinds.select("h1", "h2", "f"), ["h1", "h2"]), "lines-maybe")
+    sides = halves.join(shared_half, "key").groupBy("h1", "h2").agg(F.max("front").alias("front"), F.max(~F.col("front")).alias("back"))
+    maybe = written(sides.join(kinds.select("h1", "h2", "f"), ["h1", "h2"]), "lines-maybe")
     found = spark.createDataFrame([], "h1 long, h2 long, of struct<of_doc:long,of_line:int>")
     tables, n_parts = [rows, kinds], int(spark.conf.get("spark.sql.shuffle.partitions"))
     if n := maybe.count():
         bits = spark.sparkContext.broadcast(bit_filter(maybe.select("h1"), n))
         texts = docs.select("text").mapInArrow(lambda b: _texts(b, near_words, bits), "h1 long, h2 long, words binary")
-        texts = texts.join(maybe, ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("words").alias("words"), F.first("f").alias("f"))
-        texts = written(texts.select("words", "h1", "h2", "f.doc_id", "f.line", "f.mark"), "line-texts")
+        texts = texts.join(maybe, ["h1", "h2"]).groupBy("h1", "h2").agg(*[F.first(c).alias(c) for c in ("words", "f", "front", "back")])
+        texts = written(texts.select("words", "h1", "h2", "f.doc_id", "f.line", "f.mark", "front", "back"), "line-texts")
         variants = written(texts.mapInArrow(_variants, _VARIANT), "line-variants")
         kind = (F.col("tag") == PLACED).alias("kind")
         me = F.struct(*at_columns, "h1", "h2")
