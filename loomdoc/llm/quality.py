@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import removed, small_batches, written
 from .textkernel import SPACE, Words, text_chunks
 
-TRAIN_ROWS, TRAIN_BYTES, BUCKET_BITS, DIM, EPOCHS, RATE = 4000, 64 << 20, 18, 8, 6, 4.0
+TRAIN_ROWS, TRAIN_BYTES, BUCKET_BITS, DIM, EPOCHS, RATE = 4000, 32 << 20, 18, 8, 6, 4.0
 BUCKETS = 1 << BUCKET_BITS
 REPEATS = (1, 2, 3)
 
@@ -124,9 +124,10 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
             left -= size
             fit.append((id_, label))
     fit = F.broadcast(docs.sparkSession.createDataFrame(fit, found.select("_id", "label").schema))
-    rows = found.join(fit, ["_id", "label"]).select("text", "label").mapInArrow(_counted, "label int, buckets binary, counts binary").collect()
+    texts = found.join(fit, ["_id", "label"]).select("text", "label").toArrow()  # train_bytes of text at most; features are thrice that
     removed(found)
-    rows = sorted((int(x), bytes(b), bytes(c)) for x, b, c in rows)
+    rows = sorted(r for part in _counted(iter(texts.to_batches())) for r in zip(*(c.to_pylist() for c in part.columns), strict=True))
+    del texts
     return learned([(x, np.frombuffer(b, np.int32), np.frombuffer(c, np.float32)) for x, b, c in rows])
 
 
