@@ -5,7 +5,8 @@ A document is the mean of the learned vectors of its words and of its words' byt
 places (vectors of single words cannot show that); a softmax layer gives the two classes.  Vectors and layer
 are trained together by numpy stochastic gradient descent on the driver, on a bounded
 sample: TRAIN_ROWS labelled documents, those with the smallest hashes of their ids, as far as TRAIN_BYTES of text go (in
-that order; one that no longer fits is passed over).  As the
+that order; one that no longer fits is passed over).  Its features are made in tasks and reach the driver packed, to be
+widened a document at a time.  As the
 layer is linear, a trained bucket reduces to one number, so scoring gathers one float per feature.
 
 Scale.  The sample is found with a top-k over slim labels, and its ids (TRAIN_ROWS at most)
@@ -18,7 +19,8 @@ trained on; repeated rows are judged each by itself; of other columns none is re
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -68,19 +70,52 @@ def _features(data: np.ndarray, offs: np.ndarray) -> tuple[list[np.ndarray], lis
     return parts, bounds
 
 
+def _slim(values: np.ndarray) -> bytes:
+    """Whole numbers as the smallest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // n}") if n else np.empty(0, np.uint8)
+
+
+_COUNTED = "label int, n int, gaps binary, counts binary"
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document (text, label): the number of its buckets, the gaps between them in order, and their counts."""
     for batch in batches:
-        buckets, counts = [], []
+        sizes, gaps, counts = [], [], []
         for a, b, data, offs in text_chunks(batch.column(0)):
             parts, bounds = _features(data, offs)
             for i in range(b - a):
                 u, c = np.unique(np.concatenate([p[x[i] : x[i + 1]] for p, x in zip(parts, bounds, strict=True)]), return_counts=True)
-                buckets.append(u.astype(np.int32).tobytes())
-                counts.append(c.astype(np.float32).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())], names=["label", "buckets", "counts"])
+                sizes.append(len(u))
+                gaps.append(_slim(np.diff(u, prepend=0)))
+                counts.append(_slim(c))
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sizes, pa.int32()), pa.array(gaps, pa.binary()), pa.array(counts, pa.binary())], names=[x.split()[0] for x in _COUNTED.split(", ")])
+
+
+class Sample(Sequence):
+    """(label, buckets, counts) of the documents that _counted() gives, widened one at a time as they are read; in the order of the bytes of all three."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows = rows.combine_chunks()
+        self.order = range(len(rows))
+        head, whole = (lambda i: (self[i][0], self[i][1][:64].tobytes())), (lambda i: tuple(x.tobytes() for x in self[i][1:]))
+        heads = [head(i) for i in self.order]
+        alike = groupby(sorted(self.order, key=heads.__getitem__), heads.__getitem__)
+        self.order = [i for same in [list(g) for _, g in alike] for i in (sorted(same, key=whole) if len(same) > 1 else same)]
+
+    def __len__(self) -> int:
+        return self.rows.num_rows
+
+    def __getitem__(self, i: int) -> tuple[int, np.ndarray, np.ndarray]:
+        label, n, gaps, counts = (c[self.order[i]].as_py() for c in self.rows.columns)
+        return label, np.cumsum(_wide(gaps, n), dtype=np.int32), _wide(counts, n).astype(np.float32)
 
 
-def learned(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 7) -> tuple[np.ndarray, float]:
+def learned(rows: Sequence[tuple[int, np.ndarray, np.ndarray]], seed: int = 7) -> tuple[np.ndarray, float]:
     """(weight per bucket, bias) of the log odds of label 1, by stochastic gradient descent."""
     labels = np.array([r[0] for r in rows], dtype=np.int64)
     if len(set(labels.tolist())) < 2:
@@ -124,11 +159,12 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, trai
             left -= size
             fit.append((id_, label))
     fit = F.broadcast(docs.sparkSession.createDataFrame(fit, found.select("_id", "label").schema))
-    texts = found.join(fit, ["_id", "label"]).select("text", "label").toArrow()  # train_bytes of text at most; features are thrice that
+    rows = Sample(found.join(fit, ["_id", "label"]).select("text", "label").mapInArrow(_counted, _COUNTED).toArrow())  # less than twice the bytes of the texts
     removed(found)
-    rows = sorted(r for part in _counted(iter(texts.to_batches())) for r in zip(*(c.to_pylist() for c in part.columns), strict=True))
-    del texts
-    return learned([(x, np.frombuffer(b, np.int32), np.frombuffer(c, np.float32)) for x, b, c in rows])
+    model = learned(rows)
+    del rows
+    pa.default_memory_pool().release_unused()  # else the driver keeps that memory through all that follows
+    return model
 
 
 def held_out(column: str):
