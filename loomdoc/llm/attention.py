@@ -162,15 +162,13 @@ class Model:
 
 
 def _summed(units: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows by unit (n units): sorted by radix, then differences of running sums."""
+    """Sums of rows by unit (n units), sorted by radix."""
     units = units.ravel().astype(np.uint16)
     order = np.argsort(units, kind="stable")
     units = units[order]
-    ends = np.flatnonzero(np.concatenate([units[1:] != units[:-1], [True]]))
-    upto = np.cumsum(np.take(rows.reshape(-1, rows.shape[-1]), order, axis=0), axis=0)[ends]
-    upto[1:] -= upto[:-1].copy()
+    first = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1]]))
     out = np.zeros((n, rows.shape[-1]), rows.dtype)
-    out[units[ends]] = upto
+    out[units[first]] = np.add.reduceat(np.take(rows.reshape(-1, rows.shape[-1]), order, axis=0), first, axis=0)
     return out
 
 

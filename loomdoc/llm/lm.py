@@ -64,41 +64,34 @@ def coder_of(name: str, shared) -> Coder:
 
 
 class Coder:
-    """Subword ids of words; remembers words while they are fewer than a bound."""
+    """Subword ids of words."""
 
     def __init__(self, table: dict[bytes, int]):
         import tiktoken
 
         self.own = tiktoken.Encoding("own", pat_str=r" ?[^ ]+", mergeable_ranks=table, special_tokens={})
         self.end = max(table.values()) + 1
-        self._clear()
-
-    def _clear(self):
-        self.slots: dict[int, int] = {}
-        self.flat, self.start = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.leads = np.zeros(self.end, bool)  # subwords with the space before a word: the first of each word, and no other
+        self.leads[[i for subword, i in table.items() if subword.startswith(b" ")]] = True
+
+    def words(self, w: Words, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Subword ids of the words at the places where, coded in one call, and bounds."""
+        lens = w.cut[where + 1] - w.cut[where]
+        upto = np.concatenate([[0], np.cumsum(lens)])
+        line = np.full(int(upto[-1]) + len(where), 0x20, np.uint8)
+        at = np.arange(upto[-1])
+        line[at + np.repeat(np.arange(len(where)), lens) + 1] = w.body[at + np.repeat(w.cut[where] - upto[:-1], lens)]
+        ids = np.array(self.own.encode_ordinary(line.tobytes().decode("utf-8", "replace")), np.int32)
+        return ids, np.append(np.flatnonzero(self.leads[ids]), len(ids))
 
     def tokens(self, w: Words, unique: np.ndarray, where: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids of all documents of a chunk, an end after each, and bounds.
         unique, where, inverse: np.unique of the word hashes."""
-        if len(self.slots) > 1 << 18:
-            self._clear()
-        known, flat, lens = self.slots, [], []
-        slots = [known.get(h, -1) for h in unique.tolist()]
-        for i in (i for i, slot in enumerate(slots) if slot < 0):
-            j = where[i]
-            ids = self.own.encode_ordinary(" " + w.body[w.cut[j] : w.cut[j + 1]].tobytes().decode("utf-8", "replace"))
-            slots[i] = known[int(unique[i])] = len(known)
-            flat += ids
-            lens.append(len(ids))
-        slots = np.array(slots, np.int64)
-        if lens:
-            self.flat = np.concatenate([self.flat, np.array(flat, np.int32)])
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
-        slot = slots[inverse]
-        first = self.start[slot]
-        n = self.start[slot + 1] - first
+        flat, start = self.words(w, where)
+        first = start[inverse]
+        n = start[inverse + 1] - first
         upto = np.concatenate([[0], np.cumsum(n)])
-        ids = self.flat[np.repeat(first - upto[:-1], n) + np.arange(upto[-1])]
+        ids = flat[np.repeat(first - upto[:-1], n) + np.arange(upto[-1])]
         bounds = upto[w.bounds] + np.arange(len(w.bounds))
         out = np.full(int(bounds[-1]), self.end, np.int32)
         inside = np.ones(len(out), bool)
