@@ -13,6 +13,8 @@ import numpy as np
 OVERLAP, STEP, DIM = 8, 16, 16
 SPAN = OVERLAP + STEP
 F32 = np.float32
+_FAR = OVERLAP + np.arange(STEP)[None, :] - np.arange(SPAN)[:, None]  # of a query (column) from a key (row)
+_CAUSAL, _FAR = _FAR >= 0, np.maximum(_FAR, 0)
 
 
 class Model:
@@ -34,141 +36,176 @@ class Model:
         self.p["Wr"] *= F32(0.1)
         self.p["R"] = (-0.3 * np.arange(SPAN)).astype(F32)
 
-    @staticmethod
-    def distances() -> tuple[np.ndarray, np.ndarray]:
-        d = OVERLAP + np.arange(STEP)[:, None] - np.arange(SPAN)[None, :]
-        return np.maximum(d, 0), (d >= 0)
-
     def tables(self) -> tuple:
-        """Everything about a unit that does not depend on its context: query, key (with a place for its mask),
-        value, logits of groups and classes; the bias of distances; computed once for scoring."""
-        p, far, causal = self.p, *self.distances()
+        """Everything about a unit that does not depend on its context: query, key, value,
+        logits of groups and classes; the bias of distances; computed once for scoring."""
+        p = self.p
         q, k = p["E"] @ (p["Wq"] * F32(DIM**-0.5)), p["E"] @ p["Wk"]
         top = float((q @ k.T).max() + p["R"].max())
-        bias = np.where(causal, p["R"][far] - F32(max(0.0, top - 60)), F32(-1e9)).astype(F32)  # exp stays finite
+        bias = np.where(_CAUSAL, p["R"][_FAR] - F32(max(0.0, top - 60)), F32(-1e9)).astype(F32)  # exp stays finite
         own = p["E"] @ p["Wr"]
-        q, k = np.c_[q, np.ones(len(q), F32)], np.c_[k, np.zeros(len(k), F32)]
         return q, k, p["E"] @ (p["Wv"] @ p["Wo"]), own @ p["G"].T + self.first, (own @ p["U"].T + self.then).reshape(-1, self.size), bias
 
-    def _logits(self, h: np.ndarray, unit: np.ndarray, group: np.ndarray, then: np.ndarray):
-        """Logits of the classes in each row's group, the rows in order of groups; that order, its cuts, h in it."""
-        order = np.argsort(group.astype(np.uint8), kind="stable")  # by radix
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.groups))])
-        h, group = h[order], group[order]
-        z = np.take(then, unit[order] * self.groups + group, axis=0)
-        for i in np.flatnonzero(np.diff(cuts)):
-            rows = slice(cuts[i], cuts[i + 1])
-            z[rows] += h[rows] @ self.p["U"][i * self.size : (i + 1) * self.size].T
-        return z, order, cuts, h
+    def _by_group(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+        """The order of the targets' groups, groups and places in that order, and each group's rows in it."""
+        target = target.ravel().astype(np.int32)
+        group = target // np.int32(self.size)
+        place = target - group * np.int32(self.size)
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=self.groups))]).tolist()
+        order = np.argsort(group.astype(np.uint8 if self.groups <= 256 else np.uint16), kind="stable")  # by radix
+        rows = [(i, slice(cuts[i], cuts[i + 1])) for i in range(self.groups) if cuts[i] < cuts[i + 1]]
+        return order, np.take(group, order), np.take(place, order), rows
+
+    def _logits(self, h: np.ndarray, unit: np.ndarray, group: np.ndarray, rows: list, then: np.ndarray) -> np.ndarray:
+        """Logits of the classes in each row's group, the rows in order of groups."""
+        z, each = np.take(then, unit * self.groups + group, axis=0), self.p["U"].reshape(self.groups, self.size, -1)
+        each, more = np.ascontiguousarray(each.transpose(0, 2, 1)), np.empty_like(z)
+        for i, its in rows:
+            np.matmul(h[its], each[i], out=more[its])
+        z += more
+        return z
 
     def logprob(self, x: np.ndarray, valid: np.ndarray, target: np.ndarray, tables: tuple) -> np.ndarray:
         """Natural log probability of the target classes (batch, STEP); tables: of tables()."""
         q, k, v, first, then, bias = tables
-        key = np.take(k, x, axis=0)
-        key[..., -1] = np.where(valid, F32(0), F32(-1e9))
-        s = np.take(q, x[:, OVERLAP:], axis=0) @ np.ascontiguousarray(key.transpose(0, 2, 1))
+        s = np.take(k, x, axis=0) @ np.ascontiguousarray(np.take(q, x[:, OVERLAP:], axis=0).transpose(0, 2, 1))
         s += bias
+        if len(cut := np.unique(np.flatnonzero(~valid) // SPAN)):
+            s[cut] += np.where(valid[cut], F32(0), F32(-1e9))[:, :, None]
         np.exp(s, out=s)
-        h = s @ np.take(v, x, axis=0)
-        h /= s @ np.ones((SPAN, 1), F32)
-        h = h.reshape(-1, DIM)
-        unit, group = x[:, OVERLAP:].ravel(), target.ravel() // self.size
-        place, rows = target.ravel() - group * self.size, np.arange(len(h))
+        s *= 1 / (np.ones((1, SPAN), F32) @ s)
+        h = s.transpose(0, 2, 1) @ np.take(v, x, axis=0)
+        order, group, place, cuts = self._by_group(target)
+        h, unit, rows = np.take(h.reshape(-1, DIM), order, axis=0), np.take(x[:, OVERLAP:].ravel(), order), np.arange(len(order))
         z = h @ self.p["G"].T
         z += np.take(first, unit, axis=0)
-        out = z[rows, group]
-        out -= np.log(np.exp(z, out=z) @ np.ones(self.groups, F32))
-        z, order, _, _ = self._logits(h, unit, group, then)
-        told = z[rows, place[order]]
+        told = np.take(z, rows * self.groups + group)
+        told -= np.log(np.exp(z, out=z) @ np.ones(self.groups, F32))
+        z = self._logits(h, unit, group, cuts, then)
+        told += np.take(z, rows * self.size + place)
         told -= np.log(np.exp(z, out=z) @ np.ones(self.size, F32))
-        out[order] += told
+        out = np.empty_like(told)
+        out[order] = told
         return out.reshape(target.shape)
 
     def gradients(self, x: np.ndarray, valid: np.ndarray, target: np.ndarray, scored: np.ndarray) -> tuple[float, dict]:
         """Mean loss of the scored places and its gradients.  All that depends on one unit only is made once a unit; what
-        flows back to units is summed by unit before it meets the weights."""
+        flows back to embeddings is one row a place, summed by unit at the end.  Attention is kept as (window, key, query);
+        rows are in order of groups from the state to its gradient."""
         p, near = self.p, DIM**-0.5
-        far, causal = self.distances()
         e, own = p["E"], x[:, OVERLAP:]
-        left = np.concatenate([e @ (p["Wq"] * F32(near)), e @ p["Wr"]], axis=1)
-        mine, k, v = np.take(left, own, axis=0), np.take(e @ p["Wk"], x, axis=0), np.take(e @ p["Wv"], x, axis=0)
-        q = np.ascontiguousarray(mine[..., :DIM])
-        a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
-        a += np.where(causal, p["R"][far], F32(-1e9))
-        if not valid.all():
-            a += np.where(valid, F32(0), F32(-1e9))[:, None, :]
-        np.minimum(a, F32(60), out=a)  # exp stays finite
+        left, right = e @ (p["Wq"] * F32(near)), e @ np.concatenate([p["Wk"], p["Wv"]], axis=1)
+        q, both = np.take(left, own, axis=0), np.take(right, x, axis=0)
+        k, v = both[..., :DIM], both[..., DIM:]
+        a = k @ np.ascontiguousarray(q.transpose(0, 2, 1))
+        a += np.where(_CAUSAL, p["R"][_FAR], F32(-1e9))
+        if len(cut := np.unique(np.flatnonzero(~valid) // SPAN)):
+            a[cut] += np.where(valid[cut], F32(0), F32(-1e9))[:, :, None]
+        largest = [np.einsum("ij,ij->i", m, m).max() for m in (left, right[:, :DIM])]
+        if not largest[0] * largest[1] < max(0.0, 60 - p["R"].max()) ** 2:
+            np.minimum(a, F32(60), out=a)  # exp stays finite
         np.exp(a, out=a)
-        a /= a @ np.ones((SPAN, 1), a.dtype)
-        o = a @ v
-        h = (mine[..., DIM:] + o @ p["Wo"]).reshape(-1, DIM)
-        unit, hit, count = own.ravel(), scored.ravel(), max(1, int(scored.sum()))
-        group, place = np.divmod(target.ravel(), self.size)
-        at = np.arange(len(h))
-
-        def part(z, told_at, real):
-            told = z[at, told_at]
+        a *= 1 / (np.ones((1, SPAN), a.dtype) @ a)
+        o = (a.transpose(0, 2, 1) @ v).reshape(-1, DIM)
+        order, group, place, cuts = self._by_group(target)
+        unit, hit, count = np.take(own.ravel(), order), np.take(scored.ravel(), order), max(1, int(scored.sum()))
+        h = np.take(o @ p["Wo"], order, axis=0)
+        h += np.take(e @ p["Wr"], unit, axis=0)
+        at, unreal = np.arange(len(h)), np.flatnonzero(~hit)
+
+        def part(z, told_at):
+            told_at = at * z.shape[1] + told_at
+            told = np.take(z, told_at)
             np.exp(z, out=z)
             total = z @ np.ones(z.shape[1], z.dtype)
             z *= (1 / (count * total))[:, None]
-            z[at, told_at] -= z.dtype.type(1 / count)
-            if not real.all():
-                z[~real] = 0
-                told, total = np.where(real, told, 0), np.where(real, total, 1)
-            return float(told.sum() - np.log(total).sum()), z
+            told -= np.log(total)
+            z.reshape(-1)[told_at] = np.expm1(told) / z.dtype.type(count)
+            z[unreal], told[unreal] = 0, 0
+            return float(told.sum()), z
 
         z = h @ p["G"].T
         z += np.take(self.first, unit, axis=0)
-        log, dz = part(z, group, hit)
-        g = {"G": dz.T @ h, "U": np.zeros_like(p["U"])}
+        log, dz = part(z, group)
+        g = {"G": _tall(h, dz).T}
         dh = dz @ p["G"]
-        z, order, cuts, its = self._logits(h, unit, group, self.by_group)
-        more, dz = part(z, place[order], hit[order])
-        back = np.empty_like(its)
-        for i in np.flatnonzero(np.diff(cuts)):
-            rows, block = slice(cuts[i], cuts[i + 1]), slice(i * self.size, (i + 1) * self.size)
-            g["U"][block] = dz[rows].T @ its[rows]
-            np.matmul(dz[rows], p["U"][block], out=back[rows])
-        dh[order] += back
-        g["Wo"] = o.reshape(-1, DIM).T @ dh
-        dh = dh.reshape(o.shape)
-        do = dh @ p["Wo"].T
-        da = do @ np.ascontiguousarray(v.transpose(0, 2, 1))
-        back = np.empty((*k.shape[:2], 2 * DIM), k.dtype)
-        back[..., DIM:] = a.transpose(0, 2, 1) @ do
+        more, dz = part(self._logits(h, unit, group, cuts, self.by_group), place)
+        to, each, back = np.zeros((self.groups, DIM, self.size), h.dtype), p["U"].reshape(self.groups, self.size, -1), np.empty_like(dh)
+        for i, rows in cuts:
+            its = dz[rows]
+            np.matmul(h[rows].T, its, out=to[i])
+            np.matmul(its, each[i], out=back[rows])
+        dh += back
+        g["U"] = to.transpose(0, 2, 1).reshape(-1, DIM)
+        again = np.empty_like(order)
+        again[order] = at
+        dh = np.take(dh, again, axis=0)
+        g["Wo"] = _tall(o, dh)
+        do, over = (dh @ p["Wo"].T).reshape(q.shape), (p["Wo"] @ dh.T).reshape(DIM, -1, STEP).transpose(1, 0, 2)
+        da = v @ over
+        front, back = np.empty((*own.shape, 2 * DIM), a.dtype), np.empty(both.shape, a.dtype)
+        np.matmul(a, do, out=back[..., DIM:])
         da *= a
-        da -= a * (da @ np.ones((SPAN, 1), a.dtype))
-        back[..., :DIM] = da.transpose(0, 2, 1) @ q
-        front = np.concatenate([da @ k, dh], axis=-1)
-        g["R"] = np.bincount(far[causal], weights=da.sum(0)[causal], minlength=SPAN).astype(F32)
-        (dq, dr), (dk, dv) = (np.split(_summed(u, rows, len(e)), 2, axis=1) for u, rows in ((own, front), (x, back)))
-        g["Wq"], g["Wr"], g["Wk"], g["Wv"] = e.T @ dq * F32(near), e.T @ dr, e.T @ dk, e.T @ dv
-        g["E"] = dq @ p["Wq"].T * F32(near) + dr @ p["Wr"].T + dk @ p["Wk"].T + dv @ p["Wv"].T
+        a *= np.ones((1, SPAN), a.dtype) @ da
+        da -= a
+        np.matmul(da, q, out=back[..., :DIM])
+        np.matmul(da.transpose(0, 2, 1), k, out=front[..., :DIM])
+        front[..., DIM:] = dh.reshape(q.shape)
+        g["R"] = np.bincount(_FAR[_CAUSAL], weights=da.sum(0)[_CAUSAL], minlength=SPAN).astype(F32)
+        front, back, its = front.reshape(-1, 2 * DIM), back.reshape(-1, 2 * DIM), np.take(e, x, axis=0)
+        dq, g["Wr"] = np.split(_tall(its[:, OVERLAP:].reshape(-1, DIM), front), 2, axis=1)
+        g["Wq"], (g["Wk"], g["Wv"]) = dq * F32(near), np.split(_tall(its.reshape(-1, DIM), back), 2, axis=1)
+        de = (back @ np.concatenate([p["Wk"], p["Wv"]], axis=1).T).reshape(its.shape)
+        de[:, OVERLAP:] += (front @ np.concatenate([p["Wq"] * F32(near), p["Wr"]], axis=1).T).reshape(q.shape)
+        g["E"] = _summed(x, de, len(e))
         return -(log + more) / count, g
 
     def fit(self, batches, rate: float = 0.005, decay: float = 0.002) -> list[float]:
-        """One step of Adam per batch (x, valid, target, scored); the losses."""
-        first = {k: np.zeros_like(v) for k, v in self.p.items()}
-        second = {k: np.zeros_like(v) for k, v in self.p.items()}
+        """One step of Adam per batch (x, valid, target, scored); the losses.  The parameters lie end to end in one array."""
+        names, sizes = list(self.p), [v.size for v in self.p.values()]
+        flat, cuts = np.concatenate([v.ravel() for v in self.p.values()]), np.cumsum([0, *sizes])
+        self.p = {k: flat[a:b].reshape(self.p[k].shape) for k, a, b in zip(names, cuts[:-1], cuts[1:], strict=True)}
+        first, second = np.zeros_like(flat), np.zeros_like(flat)
         losses = []
         for t, batch in enumerate(batches, 1):
             loss, g = self.gradients(*batch)
             losses.append(loss)
-            for k, v in self.p.items():
-                first[k] = F32(0.9) * first[k] + F32(0.1) * g[k]
-                second[k] = F32(0.99) * second[k] + F32(0.01) * g[k] ** 2
-                v -= F32(rate / (1 + decay * t)) * (first[k] / F32(1 - 0.9**t)) / (np.sqrt(second[k] / F32(1 - 0.99**t)) + F32(1e-7))
+            g = np.concatenate([g[k].ravel() for k in names])
+            first *= F32(0.9)
+            first += F32(0.1) * g
+            second *= F32(0.99)
+            g *= g
+            g *= F32(0.01)
+            second += g
+            np.divide(second, F32(1 - 0.99**t), out=g)
+            np.sqrt(g, out=g)
+            g += F32(1e-7)
+            np.divide(first, g, out=g)
+            g *= F32(rate / (1 + decay * t) / (1 - 0.9**t))
+            flat -= g
         return losses
 
 
+def _tall(a: np.ndarray, b: np.ndarray, rows: int = 256) -> np.ndarray:
+    """a.T @ b of many rows and few columns, summed over blocks of rows: a third of the time of one product."""
+    n = len(a) // rows * rows
+    out = a[n:].T @ b[n:]
+    if n:
+        out += (a[:n].reshape(-1, rows, a.shape[1]).transpose(0, 2, 1) @ b[:n].reshape(-1, rows, b.shape[1])).sum(0)
+    return out
+
+
 def _summed(units: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows by unit (n units), sorted by radix."""
+    """Sums of rows by unit (n units), sorted by radix; two neighbouring columns are added as one complex number."""
     units = units.ravel().astype(np.uint16)
     order = np.argsort(units, kind="stable")
-    units = units[order]
+    units = np.take(units, order)
     first = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1]]))
     out = np.zeros((n, rows.shape[-1]), rows.dtype)
-    out[units[first]] = np.add.reduceat(np.take(rows.reshape(-1, rows.shape[-1]), order, axis=0), first, axis=0)
+    rows = np.take(rows.reshape(-1, rows.shape[-1]), order, axis=0)
+    if rows.shape[1] % 2 == 0:
+        rows = rows.view(np.result_type(rows.dtype, np.complex64))
+    out[units[first]] = np.add.reduceat(rows, first, axis=0).view(out.dtype)
     return out
 
 

@@ -55,7 +55,15 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     """(first row, end row, bytes, offsets) of row ranges of about CHUNK_BYTES; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    yield from _ranges(pc.fill_null(column.cast(pa.large_string()), ""))
+
+
+def binary_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """As text_chunks, of a column of bytes without nulls."""
+    yield from _ranges(column.cast(pa.large_binary()))
+
+
+def _ranges(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     if not len(column):
         return
     _, offs, data = column.buffers()
@@ -68,6 +76,22 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         a = b
 
 
+def run_hashes(values: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of values between the bounds cut, none of them empty."""
+    lens = np.diff(cut)
+    place = np.arange(cut[-1], dtype=np.int64) - np.repeat(cut[:-1], lens)
+    if int(lens.max()) <= _LOW:
+        weight = np.take(_POW, place)
+    else:  # very long runs without a separator
+        high = place >> 12
+        weight = _POW[place & (_LOW - 1)] * _POW_HIGH[high & 1023]
+        weight += (high >> 10).astype(np.uint64)
+    value = values.astype(np.uint64)
+    value += np.uint64(1)
+    value *= weight
+    return mix(np.add.reduceat(value, cut[:-1]) + lens.astype(np.uint64) * _M)
+
+
 class Words:
     """Words of a chunk: body (folded bytes of all words), cut (their bounds in body),
     counts and bounds per document, 64-bit hashes."""
@@ -100,15 +124,7 @@ class Words:
     def _hash(self) -> np.ndarray:
         if not len(self):
             return np.empty(0, np.uint64)
-        place = np.arange(self.cut[-1], dtype=np.int64) - np.repeat(self.cut[:-1], self.lens)
-        if int(self.lens.max()) <= _LOW:
-            weight = _POW[place]
-        else:  # very long runs without a separator
-            high = place >> 12
-            weight = _POW[place & (_LOW - 1)] * _POW_HIGH[high & 1023]
-            weight += (high >> 10).astype(np.uint64)
-        value = (self.body.astype(np.uint64) + np.uint64(1)) * weight
-        return mix(np.add.reduceat(value, self.cut[:-1]) + self.lens.astype(np.uint64) * _M)
+        return run_hashes(self.body, self.cut)
 
     def doc_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
