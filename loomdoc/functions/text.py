@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,9 +31,18 @@ ACCENTED, PLAIN = "áéíóúüñäëïöçàèìòùâêîôûãõåýÿ", "aei
 SELECTOR_LETTERS = "0-9a-záéíóúüñäëïöüçàèìòùâêîôû"
 
 
+#: What (?U)\s matches.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Without white space at the ends, Unicode's included."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(SPACES))
+
+
+def filled(c: Column) -> Column:
+    """Whether there is more than white space."""
+    return c.rlike(r"(?U)\S")
 
 
 def collapsed(c: Column) -> Column:
@@ -66,7 +77,8 @@ def is_section_heading(c: Column) -> Column:
     """At most 180 characters, and a known heading word or a bullet first."""
     line = strip(c)
     words = "|".join(f"(?:{x})" for x in HEADINGS)
-    return (F.length(line) <= 180) & (line.rlike(rf"(?iuU)^\s*(?:{words})\b.*$") & ~line.contains("\n") | line.rlike(r"(?U)^\s*[-•*]\s+\S+"))
+    may_be = c.rlike(rf"(?iuU)^\s*(?:(?:{words})\b|[-•*]\s)")  # few texts begin so; only they are looked at whole
+    return may_be & (F.length(line) <= 180) & (line.rlike(rf"(?iuU)^\s*(?:{words})\b.*$") & ~line.contains("\n") | line.rlike(r"(?U)^\s*[-•*]\s+\S+"))
 
 
 #: Frequent words of the languages told apart; of equal votes the first language has it.
@@ -100,10 +112,22 @@ def sentences(c: Column) -> Column:
 WORD_LETTERS = "0-9a-záéíóúüñ"
 
 
+def _each(letters: str) -> str:
+    """A class of letters with its ranges written out: single ones are one table look-up in Java, ranges a chain of calls."""
+    return re.sub("(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), letters)
+
+
+def _any_of(listed: list[str]) -> str:
+    """Alternatives by their first letter."""
+    starts = dict.fromkeys(w[0] for w in listed)
+    return "|".join(f"{x}(?:{'|'.join(w[1:] for w in listed if w[0] == x)})" for x in starts)
+
+
 def _runs(c: Column, letters: str, but: list[str] | None = None) -> Column:
     """Runs of letters in lower-cased text, without those in but; one regular expression, no lambda over tokens."""
-    skip = f"(?<![{letters}])(?!(?:{'|'.join(but)})(?![{letters}]))" if but else ""
-    return F.regexp_extract_all(F.lower(c), F.lit(f"{skip}[{letters}]+"), F.lit(0))
+    letters = _each(letters)
+    skip = f"(?<![{letters}])(?!(?:{_any_of(but)})(?![{letters}]))" if but else ""
+    return F.regexp_extract_all(F.lower(c), F.lit(f"{skip}[{letters}]++"), F.lit(0))
 
 
 def words(c: Column) -> Column:
@@ -121,7 +145,7 @@ def selector_tokens(c: Column) -> Column:
 
 
 def rough_tokens(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(c), F.lit("([A-Za-zÁÉÍÓÚÜÑáéíóúüñ0-9]{2,})"), F.lit(1))
+    return F.regexp_extract_all(F.lower(c), F.lit(f"[{_each('A-Za-zÁÉÍÓÚÜÑáéíóúüñ0-9')}]{{2,}}"), F.lit(0))
 
 
 def space_tokens(c: Column, min_len: int = 3) -> Column:

@@ -7,23 +7,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
+from . import terms
+from .bags import small_batches
+
+
+def tfidf_lists(texts: DataFrame, keys: list[str], order: str, k: int = 10, min_len: int = 3) -> DataFrame:
+    """keys, keywords, scores: the k terms of a group with the largest tf * (ln((N+1)/(df+1)) + 1), N and df in texts of the
+    group, in order; of equal scores the term that stands first (by order, then place).  Groups without terms have no row.
+
+    The texts are shuffled once, by group, and counted where their group's come together: tokens never are rows."""
+    from pyspark.sql import types as S
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    small_batches(texts.sparkSession)
+    rows = texts.select(*keys, F.col(order).alias("_order"), F.col("text").alias("_text")).repartition(*keys).sortWithinPartitions(*keys, "_order")
+    rows = rows.select(*keys, "_order", F.coalesce(T.filled(F.col("_text")), F.lit(False)).alias("_n"), T.space_tokens(F.col("_text"), min_len).alias("_t"))
+    schema = S.StructType([*rows.schema.fields[: len(keys)], S.StructField("keywords", S.ArrayType(S.StringType())), S.StructField("scores", S.ArrayType(S.DoubleType()))])
+    arrow = to_arrow_schema(schema)
+    return rows.mapInArrow(lambda b: terms.top(b, len(keys), k, arrow), schema)
 
 
 def tfidf_top(texts: DataFrame, keys: list[str], order: str, k: int = 10, min_len: int = 3) -> DataFrame:
-    """keys, term, score, rank: the k terms of a group with the largest tf * (ln((N+1)/(df+1)) + 1), N and df in
-    texts of the group; of equal scores the term that stands first (by order, then place).
-
-    Tokens are counted per text before they are counted per group, so a group's size is met by
-    partial aggregation; N joins as one row per group."""
-    toks = texts.select(*keys, order, F.posexplode(T.space_tokens(F.col("text"), min_len)).alias("at", "term"))
-    per_text = toks.groupBy(*keys, order, "term").agg(F.count("*").alias("tf"), F.min("at").alias("at"))
-    # the first place as one number where order is one: structs would need a sorted aggregation
-    place = F.col(order).cast("long") * (1 << 32) + F.col("at") if dict(texts.dtypes)[order] in ("int", "smallint", "tinyint") else F.struct(order, "at")
-    terms = per_text.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"), F.min(place).alias("first"))
-    total = texts.where(T.strip(F.col("text")) != "").groupBy(*keys).agg(F.count("*").alias("n"))
-    scored = terms.join(total, keys).withColumn("score", F.col("tf") * (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1))
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("score"), "first"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select(*keys, "term", "score", "rank")
+    """keys, term, score, rank: tfidf_lists() with a row per term."""
+    found = tfidf_lists(texts, keys, order, k, min_len)
+    flat = found.select(*keys, F.posexplode(F.arrays_zip("keywords", "scores")).alias("at", "z"))
+    return flat.select(*keys, F.col("z.keywords").alias("term"), F.col("z.scores").alias("score"), (F.col("at") + 1).alias("rank"))
 
 
 def listed(top: DataFrame, keys: list[str]) -> DataFrame:
