@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from .terms import changes, coded, one, whole_groups
+
 BLOCK = 256
 
 
@@ -23,22 +25,27 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
         spark.conf.set(key, rows)
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(numbers of words, bounds of the rows, words by number) of a column of word lists."""
-    column = column.fill_null([]) if column.null_count else column
-    told = column.flatten().dictionary_encode()
-    bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return told.indices.to_numpy(zero_copy_only=False).astype(np.int64), bounds, told.dictionary.to_pylist()
+#: Places of words met by this worker.
+_PLACES: dict[str, int] = {}
+
+
+def _place(words: pa.Array, size: int) -> np.ndarray:
+    """Hashed place of each word."""
+    if len(_PLACES) > 500_000:
+        _PLACES.clear()
+    listed = words.to_pylist()
+    for w in listed:
+        if w not in _PLACES:
+            _PLACES[w] = int(hashlib.md5(w.encode()).hexdigest()[:8], 16)
+    return np.array([_PLACES[w] for w in listed], dtype=np.int64) % size
 
 
 def _bags(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, place, weight) of the unit vectors of a column of word lists, in order of row and place."""
-    number, bounds, told = _flat(column)
-    place = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % size for w in told], dtype=np.int64)
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    key, n = np.unique(row * size + place[number], return_counts=True) if len(number) else (number, number)
+    row, number, told = coded(column)
+    key, n = np.unique(row * size + _place(told, size)[number], return_counts=True) if len(number) else (number, number)
     row, place = key // size, key % size
-    length = np.sqrt(np.bincount(row, weights=n.astype(np.float64) ** 2, minlength=len(bounds) - 1))
+    length = np.sqrt(np.bincount(row, weights=n.astype(np.float64) ** 2, minlength=len(column)))
     return row, place, n / length[row]
 
 
@@ -74,7 +81,7 @@ def _largest(row: np.ndarray, column: np.ndarray, value: np.ndarray, n: int, nea
     """Largest near(products, rows, other rows) of every row with another one; 0 for a single row."""
     out = np.zeros(n)
     for a, x in _blocks(row, column, value, n):
-        for b, y in _blocks(row, column, value, n):
+        for b, y in [(a, x)] if n <= BLOCK else _blocks(row, column, value, n):
             s = near(x @ y.T, np.arange(a, a + len(x)), np.arange(b, b + len(y)))
             if a == b:
                 np.fill_diagonal(s, 0.0)
@@ -82,53 +89,90 @@ def _largest(row: np.ndarray, column: np.ndarray, value: np.ndarray, n: int, nea
     return out
 
 
-def _compact(column: np.ndarray) -> np.ndarray:
-    return np.unique(column, return_inverse=True)[1] if len(column) else column
+class _Parts:
+    """Cells (row, place) of a sparse matrix, sorted by row, whose rows fall into documents: places numbered within each document."""
+
+    def __init__(self, row: np.ndarray, place: np.ndarray, width: int, first: np.ndarray):
+        self.row, self.first = row, first
+        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        key, self.at = np.unique(doc[row] * width + place, return_inverse=True)
+        self.doc, self.begin = key // width, np.searchsorted(key, np.arange(len(first)) * width)
+        self.cell = np.searchsorted(row, first)
+
+    def largest(self, d: int, value: np.ndarray, near) -> np.ndarray:
+        a, (lo, hi) = self.first[d], self.cell[d : d + 2]
+        return _largest(self.row[lo:hi] - a, self.at[lo:hi] - self.begin[d], value[lo:hi], self.first[d + 1] - a, near)
 
 
-def _likeness(words: pa.Array, tokens: pa.Array, size: int) -> tuple[np.ndarray, ...]:
-    """Length of the sum of one document's vectors, cohesion with it, largest cosine and largest Jaccard similarity to another chunk."""
-    n = len(words)
+def _likeness(words: pa.Array, tokens: pa.Array, size: int, first: np.ndarray, registry: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """For chunks whose documents begin at the rows first (and end at its last): length of the sum of the document's vectors, cohesion
+    with it, largest cosine and largest Jaccard similarity to another chunk of the document, products with the registry's vectors."""
+    n, docs = len(words), len(first) - 1
+    doc = np.repeat(np.arange(docs), np.diff(first))
     row, place, w = _bags(words, size)
-    place = _compact(place)
-    mean = np.bincount(place, weights=w) if len(place) else np.zeros(1)
-    length = np.sqrt(mean @ mean)
-    cohesion = np.bincount(row, weights=w * mean[place], minlength=n) / length if length > 0 else np.zeros(n)
-    number, bounds, told = _flat(tokens)
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    key = np.unique(owner * max(1, len(told)) + number)
-    owner, number = (key // max(1, len(told)), key % max(1, len(told))) if len(key) else (key, key)
-    sizes = np.bincount(owner, minlength=n).astype(np.float64)
-
-    def jaccard(both, i, j):
-        union = sizes[i][:, None] + sizes[j][None, :] - both
-        return np.where(union > 0, both / np.maximum(union, 1), 1.0)
-
-    return np.full(n, length), cohesion, _largest(row, place, w, n, lambda s, i, j: s), _largest(owner, _compact(number), np.ones(len(owner)), n, jaccard)
-
-
-def likeness(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """doc_id, chunk_seq, char_len, mean_len and doc_length (of the document), cohesion_vs_doc, redundancy_cos_max, redundancy_jaccard_max of chunks
-    (doc_id, chunk_seq, char_len, words, tokens) that come document by document."""
-
-    def result(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
-        column = lambda i: t.column(i).combine_chunks() if t.num_rows else None
-        length = column(2)
-        found = _likeness(column(3), column(4), size)
-        mean = np.full(t.num_rows, length.to_numpy(zero_copy_only=False).sum() / t.num_rows)
-        return pa.RecordBatch.from_arrays([column(0), column(1), length, pa.array(mean), *map(pa.array, found)], schema=schema)
-
-    held: list[pa.RecordBatch] = []
+    cells = _Parts(row, place, size, first)
+    mean = np.bincount(cells.at, weights=w) if len(w) else w
+    length = np.sqrt(np.bincount(cells.doc, weights=mean * mean, minlength=docs))[doc]
+    cohesion = np.bincount(row, weights=w * mean[cells.at], minlength=n)
+    cohesion = np.divide(cohesion, length, out=np.zeros(n), where=length > 0)
+    owner, number, told = coded(tokens)
+    width = max(1, len(told))
+    key = np.unique(owner * width + number)
+    owner, number = key // width, key % width
+    sizes, ones = np.bincount(owner, minlength=n).astype(np.float64), np.ones(len(owner))
+    sets = _Parts(owner, number, width, first)
+    cos, jac = np.zeros(n), np.zeros(n)
+    for d in np.flatnonzero(np.diff(first) > 1):
+        a, b = first[d], first[d + 1]
+        own = sizes[a:b]
+
+        def jaccard(both, i, j, own=own):
+            union = own[i][:, None] + own[j][None, :] - both
+            return np.where(union > 0, both / np.maximum(union, 1), 1.0)
+
+        cos[a:b] = cells.largest(d, w, lambda s, i, j: s)
+        jac[a:b] = sets.largest(d, ones, jaccard)
+    dots = [np.bincount(row, weights=w * v[place], minlength=n) for v in registry] if registry is not None else []
+    return length, cohesion, cos, jac, np.stack(dots, axis=1) if len(dots) else np.zeros((n, 0))
+
+
+def likeness(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema, registry: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """doc_id, chunk_seq, char_len and more, mean_len and doc_length (of the document), cohesion_vs_doc, redundancy_cos_max, redundancy_jaccard_max
+    (and dots) of chunks (doc_id, chunk_seq, char_len, more, words, tokens) that come document by document."""
+    for t in whole_groups(batches, 1):
+        k = t.num_columns - 2
+        first = np.append(np.flatnonzero(changes(one(t, 0))), t.num_rows)
+        chars, n = one(t, 2).to_numpy(zero_copy_only=False).astype(np.float64), np.diff(first)
+        *found, dots = _likeness(one(t, k), one(t, k + 1), size, first, registry)
+        made = [pa.array(np.repeat(np.add.reduceat(chars, first[:-1]) / n, n)), *map(pa.array, found)]
+        if registry is not None:
+            made.append(pa.ListArray.from_arrays(pa.array(np.arange(t.num_rows + 1, dtype=np.int32) * dots.shape[1]), pa.array(dots.ravel())))
+        yield pa.RecordBatch.from_arrays([*(one(t, i) for i in range(k)), *made], schema=schema)
+
+
+def near_topics(batches: Iterator[pa.RecordBatch], blend: float, size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """doc_id, chunk_seq, topic_ids, near: of rows (doc_id, chunk_seq, topic_ids, words, tokens, and by topic the words of each keyword and the
+    keywords) blend * cosine to the mean of a topic's keywords' vectors and (1 - blend) * Jaccard of tokens and keywords."""
     for batch in batches:
-        ids = batch.column(0)
-        same = np.array(ids.to_pylist(), dtype=object)
-        cuts = [0, *(np.flatnonzero(same[1:] != same[:-1]) + 1).tolist(), len(batch)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if b > a:
-                if held and held[-1].column(0)[0].as_py() != same[a]:
-                    yield result(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(a, b - a))
-    if held:
-        yield result(pa.Table.from_batches(held))
+        n, said, listed = batch.num_rows, batch.column(5), batch.column(6)
+        if not n:
+            continue
+        owner = np.repeat(np.arange(n), said.value_lengths().to_numpy(zero_copy_only=False))  # of topics
+        of = np.repeat(np.arange(len(owner)), said.flatten().value_lengths().to_numpy(zero_copy_only=False))  # topics of keywords
+        kw, place, w = _bags(said.flatten().flatten(), size)
+        key, at = np.unique(of[kw] * size + place, return_inverse=True)
+        mean, topic, place = np.bincount(at, weights=w) if len(w) else w, key // size, key % size
+        length = np.sqrt(np.bincount(topic, weights=mean * mean, minlength=len(owner)))
+        row, own, v = _bags(batch.column(3), size)
+        cells, want = row * size + own, owner[topic] * size + place
+        found = np.minimum(np.searchsorted(cells, want), max(0, len(cells) - 1))
+        both = np.where(cells[found] == want, v[found], 0.0) if len(cells) else np.zeros(len(want))
+        cos = np.divide(np.bincount(topic, weights=both * mean, minlength=len(owner)), length, out=np.zeros(len(owner)), where=length > 0)
+        tokens = [set(x or ()) for x in batch.column(4).to_pylist()]
+        near = np.empty(len(owner))
+        for i, (r, words) in enumerate(zip(owner, listed.flatten().to_pylist(), strict=True)):
+            same = sum(x in tokens[r] for x in words)
+            union = len(tokens[r]) + len(words) - same
+            near[i] = same / union if union else 1.0
+        bounds = np.concatenate([[0], np.cumsum(said.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(pa.array(bounds), pa.array(blend * cos + (1 - blend) * near))], schema=schema)

@@ -16,14 +16,14 @@ def lines(documents: DataFrame) -> DataFrame:
 
 def blocks(documents: DataFrame) -> DataFrame:
     """Lines with text."""
-    return lines(documents).where(T.strip(F.col("text")) != "")
+    return lines(documents).where(T.filled(F.col("text")))
 
 
 def ir_blocks(ir: DataFrame) -> DataFrame:
     """Text blocks of nested documents (pages of blocks); tables and figures have no text and drop out."""
     pages = ir.select("doc_id", "lang", F.explode("pages").alias("p"))
     found = pages.select("doc_id", "lang", F.coalesce("p.page_number", F.lit(1)).alias("page_number"), F.posexplode("p.blocks").alias("block_idx", "b"))
-    return found.select("doc_id", "lang", "page_number", "block_idx", "b.type", "b.text").where(T.strip(F.col("text")) != "")
+    return found.select("doc_id", "lang", "page_number", "block_idx", "b.type", "b.text").where(T.filled(F.col("text")))
 
 
 def typed(found: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def shapes(tables: DataFrame, found: DataFrame) -> DataFrame:
 def ocr_confidence(words: DataFrame) -> DataFrame:
     """Mean confidence (0 to 1) per page of words (doc_id, page_number, text, conf)."""
     conf = F.expr("try_cast(conf AS DOUBLE)")
-    return words.where(T.strip(F.col("text")) != "").groupBy("doc_id", "page_number").agg((F.avg(conf) / 100).alias("confidence"))
+    return words.where(T.filled(F.col("text"))).groupBy("doc_id", "page_number").agg((F.avg(conf) / 100).alias("confidence"))
 
 
 def parse_metrics(kinds: DataFrame, golden: DataFrame | None = None) -> DataFrame:
@@ -123,7 +123,7 @@ def layout_lines(words: DataFrame, tolerance: float = 2.5) -> DataFrame:
     """doc_id, page_number, line, y, text: words (seq, text, top, bottom) grouped while their centre stays
     within tolerance of the line's first.  A fold over a page's centres, so pages run side by side."""
     centre = (F.col("top") + F.col("bottom")) / 2
-    page = words.where(T.strip(F.col("text")) != "").groupBy("doc_id", "page_number").agg(F.array_sort(F.collect_list(F.struct("seq", centre.alias("y"), T.strip(F.col("text")).alias("t")))).alias("w"))
+    page = words.where(T.filled(F.col("text"))).groupBy("doc_id", "page_number").agg(F.array_sort(F.collect_list(F.struct("seq", centre.alias("y"), T.strip(F.col("text")).alias("t")))).alias("w"))
     start = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(None).cast("double").alias("y"), F.lit(-1).alias("n"))
 
     def step(s, w):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -51,22 +52,38 @@ def _starts(lengths: Column, max_tokens: int, max_chars: int) -> Column:
     return F.aggregate(lengths, zero, step, lambda s: s["starts"])
 
 
+def groups(sents: DataFrame, max_tokens: int = MAX_TOKENS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """One row per chunk: doc_id, section_no, order_in_section, chunk_seq (both from 0), x, its sentences in order (k first).  The
+    fold sees only sentence lengths.  Rows stay where their document's are, so that later steps by document need no shuffle."""
+    keys = ("doc_id", "section_no")
+    rest = [c for c in sents.columns if c not in (*keys, "k")]
+    plan = sents.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("k", *rest))).alias("x"))
+    plan = plan.withColumn("starts", _starts(F.transform("x", lambda s: F.length(s["sentence"])), max_tokens, max_chars))
+    before = F.sum(F.size("starts")).over(W.partitionBy("doc_id").orderBy("section_no").rowsBetween(W.unboundedPreceding, -1))
+    plan = plan.withColumn("_before", F.coalesce(before, F.lit(0)).cast("int"))
+    cut = F.transform("starts", lambda s, i: F.slice("x", s, F.coalesce(F.get("starts", i + 1), F.size("x") + 1) - s))
+    plan = plan.select(*keys, "_before", F.posexplode(cut).alias("order_in_section", "x"))
+    return plan.select(*keys, "order_in_section", (F.col("_before") + F.col("order_in_section")).alias("chunk_seq"), "x")
+
+
 def packed(sents: DataFrame, max_tokens: int = MAX_TOKENS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """sents with order_in_section and chunk_seq (both from 0).  The fold sees only sentence lengths."""
-    plan = sents.groupBy("doc_id", "section_no").agg(F.array_sort(F.collect_list(F.struct("k", F.length("sentence").alias("n")))).alias("x"))
-    starts = plan.select("doc_id", "section_no", F.explode(_starts(F.col("x.n"), max_tokens, max_chars)).alias("k"), F.lit(1).alias("first"))
-    s = sents.join(starts, ["doc_id", "section_no", "k"], "left").withColumn("first", F.coalesce("first", F.lit(0)))
-    in_section = W.partitionBy("doc_id", "section_no").orderBy("k").rowsBetween(W.unboundedPreceding, 0)
-    in_doc = W.partitionBy("doc_id").orderBy("section_no", "k").rowsBetween(W.unboundedPreceding, 0)
-    s = s.withColumn("order_in_section", (F.sum("first").over(in_section) - 1).cast("int"))
-    return s.withColumn("chunk_seq", (F.sum("first").over(in_doc) - 1).cast("int")).drop("first")
+    """sents with order_in_section and chunk_seq (both from 0)."""
+    s = groups(sents, max_tokens, max_chars).withColumn("x", F.explode("x"))
+    return s.select(*[c if c in ("doc_id", "section_no") else F.col(f"x.{c}").alias(c) for c in sents.columns], "order_in_section", "chunk_seq")
 
 
 def chunks(pack: DataFrame) -> DataFrame:
-    """One row per chunk: text, lengths, ids and lexical scores."""
+    """One row per chunk of packed sentences: text, lengths, ids and lexical scores."""
+    keys = ["doc_id", "section_no", "order_in_section", "chunk_seq"]
+    return described(pack.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("k", "sentence", "lang"))).alias("x")))
+
+
+def described(grouped: DataFrame, *extra: str) -> DataFrame:
+    """chunks() of groups(), with extra columns as they are."""
     keys = ["doc_id", "section_no", "order_in_section", "chunk_seq"]
-    c = pack.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("k", "sentence"))).alias("x"), F.first("lang").alias("lang"), F.count("*").alias("n_sentences"), F.avg(F.length("sentence")).alias("_len"))
-    c = c.withColumn("text", F.array_join("x.sentence", " ")).withColumn("_t", T.tokens(F.col("text"), F.col("lang")))
+    length = F.aggregate(F.transform("x", lambda s: F.length(s["sentence"])), F.lit(0).cast("long"), lambda a, n: a + n)
+    c = grouped.select(*keys, *extra, F.get("x.lang", F.lit(0)).alias("lang"), F.size("x").cast("long").alias("n_sentences"), (length / F.size("x")).alias("_len"), F.array_join("x.sentence", " ").alias("text"))
+    c = c.withColumn("_t", T.tokens(F.col("text"), F.col("lang")))
     return c.select(
         *keys,
         "lang",
@@ -79,6 +96,7 @@ def chunks(pack: DataFrame) -> DataFrame:
         F.round(F.when(F.size("_t") > 0, 1.0).otherwise(0.0), 6).alias("lexical_density"),
         F.round(T.type_token_ratio(F.col("_t")), 6).alias("type_token_ratio"),
         F.round("_len", 2).alias("avg_sentence_len_chars"),
+        *extra,
     )
 
 
@@ -134,20 +152,23 @@ def dense(sparse: DataFrame, keys: list[str], size: int) -> DataFrame:
     return m.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("embedding"))
 
 
-def likeness(found: DataFrame, size: int = 4096) -> DataFrame:
+def likeness(found: DataFrame, *extra: str, size: int = 4096, registry: np.ndarray | None = None) -> DataFrame:
     """doc_id, chunk_seq, char_len, mean_len, doc_length (of the sum of the document's vectors), cohesion_vs_doc (cosine of a chunk's vector to the mean of its document's),
     redundancy_cos_max and redundancy_jaccard_max (the largest to another chunk of the document; 1 for two chunks without
-    tokens, 0 for a single chunk), from one shuffle by document."""
+    tokens, 0 for a single chunk), where a document's chunks come together: one shuffle by document, or none where groups()
+    left them so.  extra columns go along; with registry (a vector of size places a row) also dots, a chunk's products with each."""
     from pyspark.sql import types as S
     from pyspark.sql.pandas.types import to_arrow_schema
 
     bags.small_batches(found.sparkSession)
-    rows = found.select("doc_id", "chunk_seq", "char_len", T.words(F.col("text")).alias("words"), "tokens")
-    made = ("mean_len", "doc_length", "cohesion_vs_doc", "redundancy_cos_max", "redundancy_jaccard_max")
-    schema = S.StructType([*rows.schema.fields[:3], *(S.StructField(c, S.DoubleType()) for c in made)])
+    together = W.partitionBy("doc_id").orderBy("chunk_seq").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rows = found.select("doc_id", "chunk_seq", "char_len", *extra, "text", "tokens").withColumn("_n", F.count("*").over(together))
+    rows = rows.select("doc_id", "chunk_seq", "char_len", *extra, "_n", T.words(F.col("text")).alias("words"), "tokens")
+    made = [S.StructField(c, S.DoubleType()) for c in ("mean_len", "doc_length", "cohesion_vs_doc", "redundancy_cos_max", "redundancy_jaccard_max")]
+    dots = [S.StructField("dots", S.ArrayType(S.DoubleType()))] if registry is not None else []
+    schema = S.StructType([*rows.schema.fields[:-2], *made, *dots])
     arrow = to_arrow_schema(schema)
-    rows = rows.repartition("doc_id").sortWithinPartitions("doc_id", "chunk_seq")
-    return rows.mapInArrow(lambda b: bags.likeness(b, size, arrow), schema)
+    return rows.mapInArrow(lambda b: bags.likeness(b, size, arrow, registry), schema).drop("_n")
 
 
 def cosine_redundancy(found: DataFrame) -> DataFrame:
@@ -162,13 +183,14 @@ def cohesion(found: DataFrame) -> DataFrame:
     return likeness(found).select("doc_id", "chunk_seq", "cohesion_vs_doc")
 
 
-def scores(found: DataFrame, *extra: str) -> DataFrame:
-    """The seven semantic scores of every chunk, rounded to six places; extra: more columns of likeness()."""
+def scores(found: DataFrame, *extra: str, registry: np.ndarray | None = None) -> DataFrame:
+    """The seven semantic scores of every chunk, rounded to six places; extra: more columns of likeness() or of found."""
+    carried = [c for c in extra if c in found.columns and c != "char_len"]
     mix = ALPHA * F.col("redundancy_cos_max") + BETA * F.col("redundancy_jaccard_max")
     scale = T.clamp(F.col("char_len") / F.greatest(F.lit(1.0), F.col("mean_len")), 0.5, 2.0)
     health = W_COHESION * F.col("cohesion_vs_doc") + W_NOVELTY * (1 - mix)
     named = {"cohesion_vs_doc": F.col("cohesion_vs_doc"), "redundancy_cos_max": F.col("redundancy_cos_max"), "redundancy_jaccard_max": F.col("redundancy_jaccard_max"), "redundancy_mix": mix, "redundancy_norm": mix * scale, "novelty": 1 - mix, "chunk_health": health}
-    return likeness(found).select("doc_id", "chunk_seq", *[F.round(c, 6).alias(k) for k, c in named.items()], *extra)
+    return likeness(found, *carried, registry=registry).select("doc_id", "chunk_seq", *[F.round(c, 6).alias(k) for k, c in named.items()], *extra)
 
 
 def length_stats(found: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import text as T
 from ..sources.stage import staged
+from . import bags
 from . import chunks as C
 from . import keywords as K
 from .links import components
@@ -256,84 +257,93 @@ def topic_items(texts: DataFrame, labels: DataFrame, k: int = 10, vectors: DataF
     none = F.max("label").over(W.partitionBy("doc_id")) < 0
     t = t.withColumn("topic_id", F.when(none, 0).otherwise(F.col("label"))).where("topic_id >= 0")
     count = t.groupBy("doc_id", "topic_id").agg(F.count("*").alias("count"))
-    words = K.listed(K.tfidf_top(t, ["doc_id", "topic_id"], "block_idx", k), ["doc_id", "topic_id"])
+    words = K.tfidf_lists(t, ["doc_id", "topic_id"], "block_idx", k).drop("scores")
     return count.join(words, ["doc_id", "topic_id"], "left")
 
 
 def topic_of(labels: DataFrame, topics: DataFrame) -> DataFrame:
     """labels with the keywords of topic number label mod n of their document (noise, -1, gets the last one's)."""
-    n = F.count("*").over(W.partitionBy("doc_id"))
-    place = F.row_number().over(W.partitionBy("doc_id").orderBy("topic_id")) - 1
-    t = topics.select("doc_id", place.alias("place"), n.alias("n"), "keywords")
-    sizes = t.select("doc_id", "n").distinct()
-    found = labels.join(sizes, "doc_id", "left").withColumn("place", F.pmod("label", "n").cast("int"))
-    return found.join(t.drop("n"), ["doc_id", "place"], "left").drop("place", "n")
+    t = topics.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("topic_id", "keywords"))).alias("_ts"))
+    found = labels.join(t, "doc_id", "left")
+    return found.withColumn("keywords", F.get("_ts", F.pmod("label", F.size("_ts")).cast("int"))["keywords"]).drop("_ts")
 
 
 def metrics(topics: DataFrame, group: str) -> DataFrame:
     """Coverage, sizes, diversity, entropy, balance and redundancy of topics (topic_id, count, keywords) per group."""
-    real = F.col("topic_id") != -1
-    has = F.size("keywords") > 0
+    real, has = F.col("topic_id") != -1, F.size("keywords") > 0
     t = topics.withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))
-    t = t.withColumn("p", F.col("count") / F.sum(F.when(real, F.col("count"))).over(W.partitionBy(group)))
-    sizes = F.array_sort(F.collect_list(F.when(real, F.col("count"))))
-    a = t.groupBy(group).agg(
-        F.count("*").alias("n_topics"),
-        F.avg(real.cast("int")).alias("coverage"),
-        F.avg((~real).cast("int")).alias("outlier_rate"),
-        F.min(F.when(real, F.col("count"))).cast("double").alias("size_min"),
-        F.expr("percentile(CASE WHEN topic_id <> -1 THEN count END, 0.5)").alias("size_median"),
-        sizes.alias("sizes"),
-        F.flatten(F.collect_list("keywords")).alias("all"),
-        F.count(F.when(real, 1)).alias("n_real"),
-        (-F.sum(F.when(real, F.col("p") * F.log(F.col("p") + 1e-12)))).alias("h"),
-        F.avg(F.when(has, 1 - F.size(F.array_distinct("keywords")) / F.size("keywords"))).alias("redundancy_score"),
-        F.avg("count").alias("mean"),
-        F.stddev_pop("count").alias("sd"),
-        F.avg(has.cast("int")).alias("informativeness_ratio"),
+    own = F.col(group).alias("_g")
+    # topics of one size are alike in all but their keywords: a group is known by how many there are of each size
+    sizes = t.groupBy(own, real.alias("real"), F.col("count").cast("long").alias("c")).agg(
+        F.count("*").alias("m"),
+        F.sum(has.cast("int")).alias("has"),
+        F.sum(F.when(has, 1 - F.size(F.array_distinct("keywords")) / F.size("keywords"))).alias("again"),
     )
-    diversity = F.when(F.size("all") > 0, F.size(F.array_distinct("all")) / F.size("all")).otherwise(0.0)
-    p95 = F.element_at("sizes", (F.floor(0.95 * (F.size("sizes") - 1)) + 1).cast("int")).cast("double")
+    m, c, exact = F.col("m"), F.col("c"), lambda x: F.sum(x.cast("decimal(38,0)"))
+    a = sizes.groupBy("_g").agg(
+        F.sum("m").alias("n_topics"),
+        F.coalesce(F.sum(F.when(F.col("real"), m)), F.lit(0)).alias("n_real"),
+        F.min(F.when(F.col("real"), c)).cast("double").alias("size_min"),
+        F.expr("percentile(CASE WHEN real THEN c END, 0.5, m)").alias("size_median"),
+        F.array_sort(F.collect_list(F.when(F.col("real"), F.struct(c.alias("c"), m.alias("m"))))).alias("sizes"),
+        (F.sum("again") / F.sum("has")).alias("redundancy_score"),
+        exact(m * c).alias("total"),
+        exact(m * c * c).alias("squares"),
+        F.sum("has").alias("has"),
+    )
+    words = t.select(own, F.explode("keywords").alias("w")).groupBy("_g", "w").agg(F.count("*").alias("m"))
+    words = words.groupBy(F.col("_g").alias("_h")).agg(F.count("*").alias("kinds"), F.sum("m").alias("all"))
+    a = a.join(words, F.col("_g").eqNullSafe(F.col("_h")), "left")
+    n, real_total = F.col("n_topics"), F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x["m"] * x["c"])
+    p = lambda x: x["c"] / F.col("real_total")
+    a = a.withColumn("real_total", real_total).withColumn("h", -F.aggregate("sizes", F.lit(0.0), lambda s, x: s + x["m"] * (p(x) * F.log(p(x) + 1e-12))))
+    at = F.floor(0.95 * (F.col("n_real") - 1))  # place of the size that is asked for, from 0
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("c"))
+    p95 = F.aggregate("sizes", none, lambda s, x: F.struct((s["n"] + x["m"]).alias("n"), F.when(s["c"].isNull() & (s["n"] + x["m"] > at), x["c"]).otherwise(s["c"]).alias("c")), lambda s: s["c"])
+    mean, whole = F.col("total").cast("double") / n, n.cast("decimal(20,0)") * F.col("squares") - F.col("total") * F.col("total")
+    diversity = F.when(F.col("all") > 0, F.col("kinds") / F.col("all")).otherwise(0.0)
     return a.select(
-        group,
+        F.col("_g").alias(group),
         "n_topics",
-        F.round("coverage", 6).alias("coverage"),
-        F.round("outlier_rate", 6).alias("outlier_rate"),
+        F.round(F.col("n_real") / n, 6).alias("coverage"),
+        F.round((n - F.col("n_real")) / n, 6).alias("outlier_rate"),
         F.coalesce("size_min", F.lit(0.0)).alias("size_min"),
         F.coalesce("size_median", F.lit(0.0)).alias("size_median"),
-        F.when(F.size("sizes") > 0, p95).otherwise(0.0).alias("size_p95"),
+        F.coalesce(p95.cast("double"), F.lit(0.0)).alias("size_p95"),
         F.round(diversity, 6).alias("keywords_diversity"),
         diversity.alias("keywords_diversity_ext"),
         F.when(F.col("n_real") > 1, F.col("h") / (F.log(F.col("n_real").cast("double")) + 1e-12)).otherwise(0.0).alias("entropy_topics"),
         F.coalesce("redundancy_score", F.lit(0.0)).alias("redundancy_score"),
-        F.when((F.col("n_topics") > 1) & (F.col("mean") > 0), 1 - F.col("sd") / (F.col("mean") + 1e-9)).otherwise(0.0).alias("topic_balance"),
-        F.when(F.size("all") > 0, 1 - diversity).otherwise(0.0).alias("keyword_redundancy_rate"),
-        "informativeness_ratio",
+        F.when((n > 1) & (mean > 0), 1 - F.sqrt(whole.cast("double")) / n / (mean + 1e-9)).otherwise(0.0).alias("topic_balance"),
+        F.when(F.col("all") > 0, 1 - diversity).otherwise(0.0).alias("keyword_redundancy_rate"),
+        (F.col("has") / n).alias("informativeness_ratio"),
     )
 
 
 def block_topics(blocks: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
     """doc_id, topic_id, keywords: every n-th block of a document as a topic (a stand-in where no clusters are)."""
     t = blocks.withColumn("topic_id", F.pmod("block_idx", F.lit(n)).cast("int"))
-    return K.listed(K.tfidf_top(t, ["doc_id", "topic_id"], "block_idx", k), ["doc_id", "topic_id"])
+    return K.tfidf_lists(t, ["doc_id", "topic_id"], "block_idx", k).drop("scores")
 
 
 def hints(found: DataFrame, topics: DataFrame, k: int = 3, blend: float = C.BLEND) -> DataFrame:
     """doc_id, chunk_seq, topic_id, affinity, rank: the k topics of its document nearest to a chunk, by
     blend * cosine to the keywords' mean vector and (1 - blend) * Jaccard of tokens and keywords."""
-    keys = ["doc_id", "topic_id"]
-    v = C.vectors(found, ["doc_id", "chunk_seq"])
-    words = topics.select(*keys, F.posexplode("keywords").alias("i", "text"))
-    mean = C.vectors(words, [*keys, "i"]).groupBy(*keys, "bucket").agg(F.sum("w").alias("m"))
-    length = mean.groupBy(*keys).agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("norm"))
-    cos = v.join(mean, ["doc_id", "bucket"]).groupBy(*keys, "chunk_seq").agg(F.sum(F.col("w") * F.col("m")).alias("dot")).join(length, keys)
-    cos = cos.select(*keys, "chunk_seq", (F.col("dot") / F.col("norm")).alias("cos"))
-    pairs = found.select("doc_id", "chunk_seq", F.array_distinct("tokens").alias("t")).join(topics, "doc_id").join(cos, [*keys, "chunk_seq"], "left")
-    near = T.jaccard(F.col("t"), F.array_distinct(F.transform("keywords", lambda x: F.lower(x))))
-    s = pairs.select("doc_id", "chunk_seq", "topic_id", (blend * F.coalesce("cos", F.lit(0.0)) + (1 - blend) * near).alias("affinity"))
-    s = s.withColumn("affinity", F.round("affinity", 6))
-    rank = F.row_number().over(W.partitionBy("doc_id", "chunk_seq").orderBy(F.desc("affinity"), "topic_id"))
-    return s.withColumn("rank", rank).where(F.col("rank") <= k)
+    from pyspark.sql import types as S
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    bags.small_batches(found.sparkSession)
+    listed = F.array_sort(F.collect_list(F.struct("topic_id", "keywords"))).alias("_ts")
+    rows = found.select("doc_id", "chunk_seq", T.words(F.col("text")).alias("words"), "tokens").join(topics.groupBy("doc_id").agg(listed), "doc_id")
+    lower = lambda t: F.array_distinct(F.transform(t["keywords"], lambda x: F.lower(x)))
+    rows = rows.select("doc_id", "chunk_seq", F.col("_ts.topic_id").alias("topic_ids"), "words", "tokens", F.transform("_ts", lambda t: F.transform(t["keywords"], T.words)).alias("said"), F.transform("_ts", lower).alias("keywords"))
+    schema = S.StructType([*rows.schema.fields[:3], S.StructField("near", S.ArrayType(S.DoubleType()))])
+    arrow = to_arrow_schema(schema)
+    near = rows.mapInArrow(lambda b: bags.near_topics(b, blend, 4096, arrow), schema)
+    place = F.arrays_zip("near", "topic_ids")
+    best = F.array_sort(F.transform(place, lambda z: F.struct((-F.round(z["near"], 6)).alias("a"), z["topic_ids"].alias("t"))))
+    out = near.select("doc_id", "chunk_seq", F.posexplode(F.slice(best, 1, k)).alias("at", "b"))
+    return out.select("doc_id", "chunk_seq", F.col("b.t").alias("topic_id"), (-F.col("b.a")).alias("affinity"), (F.col("at") + 1).alias("rank"))
 
 
 def context_alignment(found: DataFrame, group: str, chunk: str = "emb_chunk", hint: str = "emb_hint") -> DataFrame:

@@ -43,8 +43,12 @@ def _pack(spark, sf_dir):
     return C.packed(C.sentences(C.sections(_blocks(spark, sf_dir))), MAX_TOKENS, MAX_CHARS)
 
 
+def _groups(spark, sf_dir):
+    return C.groups(C.sentences(C.sections(_blocks(spark, sf_dir))), MAX_TOKENS, MAX_CHARS)
+
+
 def _chunks(spark, sf_dir):
-    return C.chunks(_pack(spark, sf_dir))
+    return C.described(_groups(spark, sf_dir))
 
 
 _LIST = rf"regexp_matches({S.strip('text')}, '^[{T.BULLETS}]')"
@@ -119,7 +123,7 @@ f AS (SELECT doc_id, w, min(i) AS i FROM u WHERE w <> '' GROUP BY ALL), n AS (SE
 SELECT d.doc_id, coalesce(string_agg(w, '|' ORDER BY i) FILTER (p <= 12), '') AS keywords FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""")
 def q08_keyword_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequency keywords fused with a second extractor's list, here the first six long terms of the text."""
-    first = K.listed(_top(spark, sf_dir), ["doc_id"])
+    first = K.tfidf_lists(_blocks(spark, sf_dir), ["doc_id"], "block_idx", 10)
     terms = F.filter(F.array_distinct(T.rough_tokens(F.col("text"))), lambda x: F.length(x) >= 9)
     docs = _documents(spark, sf_dir).select("doc_id", F.slice(F.array_sort(terms), 1, 6).alias("second"))
     return docs.join(first, "doc_id", "left").select("doc_id", F.array_join(K.fused(F.col("keywords"), F.col("second"), 12), "|").alias("keywords"))

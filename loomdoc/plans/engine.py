@@ -23,7 +23,7 @@ def parse(documents: DataFrame) -> DataFrame:
 def contextize(blocks: DataFrame, k: int = 10, eps: float = 0.25, hybrid: bool = True, min_samples: int = 2) -> tuple[DataFrame, DataFrame]:
     """(topics, context): topics of every document, by density of its blocks' hashed vectors, and
     its global keywords.  Without hybrid (the light mode) there are no topics."""
-    words = K.listed(K.tfidf_top(blocks, ["doc_id"], "block_idx", k), ["doc_id"])
+    words = K.tfidf_lists(blocks, ["doc_id"], "block_idx", k).drop("scores")
     context = blocks.groupBy("doc_id").agg(F.count("*").alias("n_samples")).join(words.withColumnRenamed("keywords", "keywords_global"), "doc_id", "left")
     if not hybrid:
         none = blocks.select("doc_id", F.lit(0).alias("topic_id"), F.lit(0).cast("long").alias("count"), F.array().cast("array<string>").alias("keywords"), F.lit("").alias("exemplar")).limit(0)

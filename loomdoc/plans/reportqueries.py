@@ -193,7 +193,7 @@ def q54_entities_of_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, string_agg(t, '|' ORDER BY t) AS keywords, count(*) AS n FROM n WHERE t <> '' GROUP BY ALL""")
 def q55_keyword_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keywords of a document and of its topics."""
-    words = K.listed(K.tfidf_top(_blocks(spark, sf_dir), ["doc_id"], "block_idx", 10), ["doc_id"])
+    words = K.tfidf_lists(_blocks(spark, sf_dir), ["doc_id"], "block_idx", 10).drop("scores")
     out = X.all_keywords(words, P.block_topics(_blocks(spark, sf_dir)))
     return out.select("doc_id", F.array_join("keywords", "|").alias("keywords"), F.size("keywords").cast("long").alias("n"))
 
@@ -206,7 +206,7 @@ def q56_evaluated_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {S.BLOCKS}, {S.tfidf('blocks', 'doc_id', 'block_idx', 15, 'tw')} SELECT doc_id, string_agg(term, '|' ORDER BY rank) AS inherited_keywords FROM tw WHERE rank <= 10 GROUP BY doc_id""")
 def q57_inherited_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten of a document's fifteen global keywords, which its chunks inherit."""
-    words = K.listed(K.tfidf_top(_blocks(spark, sf_dir), ["doc_id"], "block_idx", 15), ["doc_id"])
+    words = K.tfidf_lists(_blocks(spark, sf_dir), ["doc_id"], "block_idx", 15).drop("scores")
     return words.select("doc_id", F.array_join(K.inherited(F.col("keywords")), "|").alias("inherited_keywords"))
 
 

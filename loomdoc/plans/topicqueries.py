@@ -95,7 +95,7 @@ SELECT source, n AS n_topics, CAST(1 AS DOUBLE) AS coverage, CAST(0 AS DOUBLE) A
 def q26_topic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as the topics of their source: size in blocks, five keywords."""
     b = _blocks(spark, sf_dir)
-    words = K.listed(K.tfidf_top(b, ["doc_id"], "block_idx", 5), ["doc_id"])
+    words = K.tfidf_lists(b, ["doc_id"], "block_idx", 5).drop("scores")
     source = table(spark, sf_dir, "documents").select("doc_id", "source")
     topics = b.groupBy("doc_id").agg(F.count("*").alias("count")).join(source, "doc_id").join(words, "doc_id", "left").withColumnRenamed("doc_id", "topic_id")
     out = P.metrics(topics, "source")
