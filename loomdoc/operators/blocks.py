@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import text as T
+from .bags import small_batches
 
 
 def lines(documents: DataFrame) -> DataFrame:
@@ -121,21 +123,35 @@ def percent_ok(results: DataFrame) -> DataFrame:
 
 def layout_lines(words: DataFrame, tolerance: float = 2.5) -> DataFrame:
     """doc_id, page_number, line, y, text: words (seq, text, top, bottom) grouped while their centre stays
-    within tolerance of the line's first.  A fold over a page's centres, so pages run side by side."""
+    within tolerance of the line's first.  One fold over each page's centres on Arrow batches, so pages run side by side."""
+    from pyspark.sql import types as S
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    small_batches(words.sparkSession)
     centre = (F.col("top") + F.col("bottom")) / 2
-    page = words.where(T.filled(F.col("text"))).groupBy("doc_id", "page_number").agg(F.array_sort(F.collect_list(F.struct("seq", centre.alias("y"), T.strip(F.col("text")).alias("t")))).alias("w"))
-    start = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(None).cast("double").alias("y"), F.lit(-1).alias("n"))
-
-    def step(s, w):
-        new = s["y"].isNull() | (F.abs(w["y"] - s["y"]) >= tolerance)
-        n = F.when(new, s["n"] + 1).otherwise(s["n"])
-        return F.struct(F.array_append(s["ids"], n).alias("ids"), F.when(new, w["y"]).otherwise(s["y"]).alias("y"), n.alias("n"))
-
-    ids = F.aggregate("w", start, step, lambda s: s["ids"])
-    flat = page.select("doc_id", "page_number", F.explode(F.arrays_zip(F.col("w"), ids.alias("line"))).alias("z"))
-    flat = flat.select("doc_id", "page_number", F.col("z.line").alias("line"), F.col("z.w").alias("w"))
-    out = flat.groupBy("doc_id", "page_number", "line").agg(F.array_sort(F.collect_list("w")).alias("w"))
-    return out.select("doc_id", "page_number", "line", F.element_at("w.y", 1).alias("y"), F.array_join("w.t", " ").alias("text"))
+    seen = words.select("doc_id", "page_number", F.struct("seq", centre.alias("y"), T.strip(F.col("text")).alias("t")).alias("w")).where(F.col("w.t") != "")
+    page = seen.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list("w")).alias("w")).select("doc_id", "page_number", "w.y", "w.t")
+    schema = S.StructType([*page.schema.fields[:2], S.StructField("line", S.IntegerType()), S.StructField("y", S.DoubleType()), S.StructField("text", S.StringType())])
+    arrow = to_arrow_schema(schema)
+
+    def fold(batches):
+        for batch in batches:
+            row, line, at, text = [], [], [], []
+            for i, (ys, ts) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                ys, ts = ys.as_py(), ts.as_py()
+                first, starts = None, []
+                for j, y in enumerate(ys):
+                    if first is None or (y is not None and abs(y - first) >= tolerance):
+                        first = y
+                        starts.append(j)
+                row += [i] * len(starts)
+                line += range(len(starts))
+                at += [ys[j] for j in starts]
+                text += [" ".join(ts[a:b]) for a, b in zip(starts, [*starts[1:], len(ts)], strict=True)]
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(line, pa.int32()), pa.array(at, pa.float64()), pa.array(text, pa.string())], schema=arrow)
+
+    return page.mapInArrow(fold, schema)
 
 
 def layout_paragraphs(found: DataFrame, factor: float = 1.8) -> DataFrame:
