@@ -104,6 +104,22 @@ class _Parts:
         return _largest(self.row[lo:hi] - a, self.at[lo:hi] - self.begin[d], value[lo:hi], self.first[d + 1] - a, near)
 
 
+def _dots(row: np.ndarray, place: np.ndarray, w: np.ndarray, n: int, registry: np.ndarray | None) -> np.ndarray:
+    dots = [np.bincount(row, weights=w * v[place], minlength=n) for v in registry] if registry is not None else []
+    return np.stack(dots, axis=1) if len(dots) else np.zeros((n, 0))
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+
+def products(batches: Iterator[pa.RecordBatch], registry: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The columns but the last, words, and a row's products with the registry's vectors."""
+    for batch in batches:
+        row, place, w = _bags(batch.column(batch.num_columns - 1), registry.shape[1])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(_dots(row, place, w, batch.num_rows, registry))], schema=schema)
+
+
 def _likeness(words: pa.Array, tokens: pa.Array, size: int, first: np.ndarray, registry: np.ndarray | None) -> tuple[np.ndarray, ...]:
     """For chunks whose documents begin at the rows first (and end at its last): length of the sum of the document's vectors, cohesion
     with it, largest cosine and largest Jaccard similarity to another chunk of the document, products with the registry's vectors."""
@@ -132,8 +148,7 @@ def _likeness(words: pa.Array, tokens: pa.Array, size: int, first: np.ndarray, r
 
         cos[a:b] = cells.largest(d, w, lambda s, i, j: s)
         jac[a:b] = sets.largest(d, ones, jaccard)
-    dots = [np.bincount(row, weights=w * v[place], minlength=n) for v in registry] if registry is not None else []
-    return length, cohesion, cos, jac, np.stack(dots, axis=1) if len(dots) else np.zeros((n, 0))
+    return length, cohesion, cos, jac, _dots(row, place, w, n, registry)
 
 
 def likeness(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema, registry: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
@@ -145,8 +160,7 @@ def likeness(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema, re
         chars, n = one(t, 2).to_numpy(zero_copy_only=False).astype(np.float64), np.diff(first)
         *found, dots = _likeness(one(t, k), one(t, k + 1), size, first, registry)
         made = [pa.array(np.repeat(np.add.reduceat(chars, first[:-1]) / n, n)), *map(pa.array, found)]
-        if registry is not None:
-            made.append(pa.ListArray.from_arrays(pa.array(np.arange(t.num_rows + 1, dtype=np.int32) * dots.shape[1]), pa.array(dots.ravel())))
+        made += [_lists(dots)] * (registry is not None)
         yield pa.RecordBatch.from_arrays([*(one(t, i) for i in range(k)), *made], schema=schema)
 
 

@@ -111,14 +111,19 @@ def source_spans(pack: DataFrame) -> DataFrame:
     return spans.select("doc_id", "chunk_seq", F.transform("r", lambda r: F.struct(r["page_number"].alias("page_number"), r["block_indices"].alias("block_indices"))).alias("source_spans"))
 
 
+def cohesive(grouped: DataFrame) -> DataFrame:
+    """groups() with intra_cohesion_lex: mean Jaccard similarity of the token sets of neighbouring sentences; 1 for a single sentence."""
+    n = F.size("_sets") - 1
+    near = F.zip_with(F.slice("_sets", 1, n), F.slice("_sets", 2, n), lambda a, b: T.jaccard(a, b))
+    mean = F.when(n > 0, F.aggregate(near, F.lit(0.0), lambda a, x: a + x) / n).otherwise(1.0)
+    sets = F.transform("x", lambda s: F.array_distinct(T.tokens(s["sentence"], s["lang"])))
+    return grouped.withColumn("_sets", sets).withColumn("intra_cohesion_lex", F.round(mean, 6)).drop("_sets")
+
+
 def intra_cohesion(pack: DataFrame) -> DataFrame:
-    """Mean Jaccard similarity of the token sets of neighbouring sentences; 1 for a single sentence."""
-    in_chunk = W.partitionBy("doc_id", "chunk_seq").orderBy("section_no", "k")
-    p = pack.withColumn("t", F.array_distinct(T.tokens(F.col("sentence"), F.col("lang")))).withColumn("before", F.lag("t").over(in_chunk))
-    near = p.where("before IS NOT NULL").withColumn("j", T.jaccard(F.col("before"), F.col("t")))
-    mean = near.groupBy("doc_id", "chunk_seq").agg(F.avg("j").alias("j"))
-    all_ = pack.select("doc_id", "chunk_seq").distinct()
-    return all_.join(mean, ["doc_id", "chunk_seq"], "left").select("doc_id", "chunk_seq", F.round(F.coalesce("j", F.lit(1.0)), 6).alias("intra_cohesion_lex"))
+    """doc_id, chunk_seq, intra_cohesion_lex of packed sentences."""
+    x = F.sort_array(F.collect_list(F.struct("section_no", "k", "sentence", "lang"))).alias("x")
+    return cohesive(pack.groupBy("doc_id", "chunk_seq").agg(x)).select("doc_id", "chunk_seq", "intra_cohesion_lex")
 
 
 def vectors(found: DataFrame, keys: list[str], text: str = "text", size: int = 4096) -> DataFrame:
@@ -133,6 +138,18 @@ def vectors(found: DataFrame, keys: list[str], text: str = "text", size: int = 4
     return rows.mapInArrow(lambda b: bags.vectors(b, len(keys), size, arrow), schema)
 
 
+def products(found: DataFrame, registry: np.ndarray, text: str = "text") -> DataFrame:
+    """found with dots: products of a text's hashed vector and each of the registry's (a row of places each), made where the row is."""
+    from pyspark.sql import types as S
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    bags.small_batches(found.sparkSession)
+    rows = found.withColumn("_words", T.words(F.col(text)))
+    schema = S.StructType([*rows.schema.fields[:-1], S.StructField("dots", S.ArrayType(S.DoubleType()))])
+    arrow = to_arrow_schema(schema)
+    return rows.mapInArrow(lambda b: bags.products(b, registry, arrow), schema)
+
+
 def encoded(found: DataFrame, keys: list[str], load, text: str = "text", batch: int = 64) -> DataFrame:
     """keys, embedding: vectors of a model, any object with encode(list of texts).  load() makes it, once a task, where the
     task runs; without a model use vectors()."""
@@ -184,13 +201,14 @@ def cohesion(found: DataFrame) -> DataFrame:
 
 
 def scores(found: DataFrame, *extra: str, registry: np.ndarray | None = None) -> DataFrame:
-    """The seven semantic scores of every chunk, rounded to six places; extra: more columns of likeness() or of found."""
+    """The seven semantic scores of every chunk, rounded to six places; extra: more columns of likeness() or of found;
+    dots with a registry."""
     carried = [c for c in extra if c in found.columns and c != "char_len"]
     mix = ALPHA * F.col("redundancy_cos_max") + BETA * F.col("redundancy_jaccard_max")
     scale = T.clamp(F.col("char_len") / F.greatest(F.lit(1.0), F.col("mean_len")), 0.5, 2.0)
     health = W_COHESION * F.col("cohesion_vs_doc") + W_NOVELTY * (1 - mix)
     named = {"cohesion_vs_doc": F.col("cohesion_vs_doc"), "redundancy_cos_max": F.col("redundancy_cos_max"), "redundancy_jaccard_max": F.col("redundancy_jaccard_max"), "redundancy_mix": mix, "redundancy_norm": mix * scale, "novelty": 1 - mix, "chunk_health": health}
-    return likeness(found, *carried, registry=registry).select("doc_id", "chunk_seq", *[F.round(c, 6).alias(k) for k, c in named.items()], *extra)
+    return likeness(found, *carried, registry=registry).select("doc_id", "chunk_seq", *[F.round(c, 6).alias(k) for k, c in named.items()], *extra, *["dots"] * (registry is not None))
 
 
 def length_stats(found: DataFrame) -> DataFrame:

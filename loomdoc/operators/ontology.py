@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -159,6 +160,14 @@ def cosine_vectors(spark: SparkSession, registry: Registry) -> DataFrame:
     return mean.select("domain", "bucket", (F.col("m") / length).alias("v"))
 
 
+def registry_vectors(spark: SparkSession, registry: Registry, size: int = 4096) -> np.ndarray:
+    """cosine_vectors() as an array: a row per domain, in the registry's order."""
+    out, at = np.zeros((len(registry.domains), size)), {d.name: i for i, d in enumerate(registry.domains)}
+    for r in cosine_vectors(spark, registry).collect():  # as many rows as the registry has words
+        out[at[r["domain"]], r["bucket"]] = r["v"]
+    return out
+
+
 def normalized_aliases(raw: DataFrame) -> DataFrame:
     """domain, alias: lower-cased and stripped, each once, none empty, of raw aliases (domain, alias)."""
     return raw.select("domain", T.keyword(F.col("alias")).alias("alias")).where("alias <> ''").distinct()
@@ -201,6 +210,8 @@ def keyword_f1(keywords: DataFrame, spark: SparkSession, registry: Registry, key
 def entity_scores(toks: DataFrame, spark: SparkSession, registry: Registry, keys: list[str]) -> DataFrame:
     """keys, domain, type_name, score, rank: share of a type's aliases among the tokens (keys, tokens)."""
     e = registry.entity_table(spark)
+    known = sorted({a.strip().lower() for d in registry.domains for _, aliases in d.entities for a in aliases})
+    toks = toks.select(*keys, F.array_intersect("tokens", F.array(*map(F.lit, known)).cast("array<string>")).alias("tokens"))
     grid = toks.crossJoin(F.broadcast(e)).withColumn("score", F.size(F.array_intersect("aliases", "tokens")) / F.size("aliases"))
     rank = F.row_number().over(W.partitionBy(*keys, "domain").orderBy(F.desc("score"), "pos"))
     return grid.withColumn("rank", rank).select(*keys, "domain", "type_name", "score", "rank")

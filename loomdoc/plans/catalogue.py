@@ -157,7 +157,7 @@ def q11_source_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 lg AS (SELECT *, lag(t) OVER (PARTITION BY doc_id, chunk_seq ORDER BY section_no, k) AS b FROM tk)
 SELECT doc_id, chunk_seq, round(coalesce(avg(CASE WHEN b IS NOT NULL THEN {S.jaccard('b', 't')} END), 1), 6) AS intra_cohesion_lex FROM lg GROUP BY ALL""")
 def q12_intra_cohesion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.intra_cohesion(_pack(spark, sf_dir))
+    return C.cohesive(_groups(spark, sf_dir)).select("doc_id", "chunk_seq", "intra_cohesion_lex")
 
 
 @query(f"""WITH RECURSIVE {_CHUNKS} SELECT doc_id, chunk_seq, CAST(CASE WHEN len(tokens) > 0 THEN 1 ELSE 0 END AS DOUBLE) AS lexical_density,

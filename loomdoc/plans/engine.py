@@ -85,6 +85,7 @@ def select_chunks(chunks: DataFrame, selected: DataFrame, registry: O.Registry =
     """Selections of chunks (contextize_chunks) among the domains that select() left to their documents, with the
     domains that each was scored for."""
     keys = ["doc_id", "chunk_seq"]
-    words = chunks.select(*keys, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
-    signals = X.chunk_signals(chunks.sparkSession, registry, chunks, words, chunks, selected)
+    spark, none = chunks.sparkSession, F.array().cast("array<string>")
+    rows = C.products(chunks.select(*keys, F.coalesce("keywords", none).alias("keywords"), *X.METRICS, "text"), O.registry_vectors(spark, registry))
+    signals = X.chunk_signals(spark, registry, rows, selected)
     return X.decided(X.ranked(X.fused(signals, config), keys), keys, config).withColumnRenamed("domains", "evaluated_domains")

@@ -18,7 +18,7 @@ from ..operators import topics as P
 from ..sources.stage import staged
 from . import selectqueries as Q
 from . import sqltext as S
-from .catalogue import _CHUNKS, _SCORED, _TOP, _TYPED, _blocks, _chunks, _documents, _pack, query, table
+from .catalogue import _CHUNKS, _SCORED, _TOP, _TYPED, _blocks, _chunks, _documents, _groups, query, table
 from .topicqueries import _U, TOPICS, _embeddings
 
 
@@ -43,7 +43,7 @@ g2 AS (SELECT *, CASE WHEN gap IS NULL OR gap > CASE WHEN med > 0 THEN 1.8 * med
 g3 AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id, page_number ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM g2)
 SELECT doc_id, page_number, CAST(g AS INT) AS paragraph, string_agg(text, ' ' ORDER BY line) AS text, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS source_lines FROM g3 GROUP BY ALL""")
 def q42_layout_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = B.layout_paragraphs(staged(B.layout_lines(_boxes(spark, sf_dir)), "layout"))
+    out = B.layout_paragraphs(B.layout_lines(_boxes(spark, sf_dir)))
     return out.withColumn("source_lines", F.array_join(F.col("source_lines").cast("array<string>"), ","))
 
 
@@ -164,9 +164,8 @@ a AS (SELECT c.doc_id, count(*) AS n_chunks, {_m6('char_len')} AS avg_chunk_char
   FROM chunks c JOIN scores s USING (doc_id, chunk_seq) JOIN ic USING (doc_id, chunk_seq) GROUP BY ALL)
 SELECT st.doc_id, n_sections, n_blocks, coalesce(n_chunks, 0) AS n_chunks, {', '.join(f'coalesce(avg_{k}, 0) AS avg_{k}' for k in ('chunk_chars', 'chunk_tokens', *C.SCORES))} FROM st LEFT JOIN a ON a.doc_id = st.doc_id""")
 def q52_chunk_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pack = staged(_pack(spark, sf_dir), "sentences")
-    found, keys = staged(C.chunks(pack), "chunks"), ["doc_id", "chunk_seq"]
-    whole = found.join(C.scores(found), keys).join(C.intra_cohesion(pack), keys)
+    found = C.described(C.cohesive(_groups(spark, sf_dir)), "intra_cohesion_lex")
+    whole = C.scores(found, "char_len", "est_tokens", "intra_cohesion_lex", "lexical_density", "type_token_ratio", "avg_sentence_len_chars")
     return C.run_stats(C.sections(_blocks(spark, sf_dir)), whole)
 
 
@@ -200,7 +199,7 @@ def q55_keyword_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH RECURSIVE {Q._CHUNKSEL} SELECT doc_id, string_agg(DISTINCT domain, '|' ORDER BY domain) AS domains FROM csig GROUP BY doc_id""")
 def q56_evaluated_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.evaluated(Q._chunk_signals(Q._State(spark, sf_dir), Q._doc_selection(spark, sf_dir))).select("doc_id", F.array_join("domains", "|").alias("domains"))
+    return X.evaluated(Q._chunk_signals(spark, sf_dir)).select("doc_id", F.array_join("domains", "|").alias("domains"))
 
 
 @query(f"""WITH {S.BLOCKS}, {S.tfidf('blocks', 'doc_id', 'block_idx', 15, 'tw')} SELECT doc_id, string_agg(term, '|' ORDER BY rank) AS inherited_keywords FROM tw WHERE rank <= 10 GROUP BY doc_id""")
@@ -305,7 +304,7 @@ SELECT doc_id, 'Doc=' || doc_id || ', TopDomains=[' || chr(39) || array_to_strin
  CASE WHEN low OR short THEN 'generic_text_v1' ELSE template END || ', Confidence=' || printf('%.2f', confidence) || ', Chunks=' || n AS summary FROM docsel JOIN n USING (doc_id)""")
 def q65_selection_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = Q._State(spark, sf_dir)
-    return X.summary(Q._doc_selection(spark, sf_dir, st), st.chunks.groupBy("doc_id").agg(F.count("*").alias("n_chunks")))
+    return X.summary(Q._doc_selection(spark, sf_dir, st), st.documents.select("doc_id", "n_chunks"))
 
 
 @query("""WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS name, CASE WHEN label = 3 THEN 10 ELSE len(embedding) END AS dim, vec_id FROM embeddings), f AS (SELECT arg_min(dim, name) AS want FROM e)

@@ -16,7 +16,7 @@ from ..operators import select as X
 from ..operators import topics as P
 from ..sources.stage import staged
 from . import sqltext as S
-from .catalogue import _PACK, _SCORED, _TOP, _blocks, _chunks, _pack, _top, query
+from .catalogue import _SCORED, _TOP, _blocks, _chunks, query
 from .topicqueries import TOPICS
 
 #: The threshold under which the generic schema takes over; at the default of 0.40 it always does.
@@ -56,31 +56,18 @@ def q30_keyword_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("doc_id", "domain", "matches", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "k")])
 
 
-def _chunk_words(found: DataFrame, topics: DataFrame) -> DataFrame:
-    """doc_id, chunk_seq, keywords of the topic a chunk's number falls to."""
-    return P.topic_of(found.select("doc_id", "chunk_seq", F.col("chunk_seq").alias("label")), topics).select("doc_id", "chunk_seq", F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
-
-
 class _State:
-    """Chunks, scores and signals of one run, built once."""
+    """What selection needs of chunks and documents of one run, from one pass over the texts: the chunks' signals are written once, their
+    texts are not."""
 
     def __init__(self, spark, sf_dir):
-        self.spark = spark
-        self.blocks = _blocks(spark, sf_dir)
-        self.chunks = staged(_chunks(spark, sf_dir), "chunks")
-        self.scores = staged(C.scores(self.chunks, "doc_length"), "scores")
-        self.lengths = self.scores.groupBy("doc_id").agg(F.first("doc_length").alias("doc_length"))
-        self.topics = staged(P.block_topics(self.blocks), "topics")
-        self.words = _chunk_words(self.chunks, self.topics)
-        self.lexical = self.chunks.select("doc_id", "chunk_seq", "lexical_density", "type_token_ratio")
-        self.metrics = self.scores.join(self.lexical, ["doc_id", "chunk_seq"])
-
-    def affinity(self) -> DataFrame:
-        words = self.words.join(self.scores.select("doc_id", "chunk_seq", "chunk_health"), ["doc_id", "chunk_seq"])
-        return X.topic_affinity(self.spark, _SAMPLE, words, self.topics.withColumn("prob", F.lit(0.0)))
-
-    def context(self) -> DataFrame:
-        return X.document_metrics(self.metrics).select("doc_id", X.context_score().alias("c"))
+        self.spark, self.sf_dir = spark, sf_dir
+        found = _chunks(spark, sf_dir).withColumn("n_tokens", F.size(T.selector_tokens(F.col("text"))))
+        scored = C.scores(found, "doc_length", "lexical_density", "type_token_ratio", "n_tokens", registry=O.registry_vectors(spark, _SAMPLE))
+        words = P.topic_of(scored.withColumn("label", F.col("chunk_seq")), P.block_topics(_blocks(spark, sf_dir))).drop("label")
+        words = words.withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))
+        self.chunks = staged(words.withColumn("kw", T.unique_sorted(F.col("keywords"))), "signals")
+        self.documents = X.document_signals(spark, _SAMPLE, self.chunks)
 
 
 _HEALTH = f"""ck0 AS (SELECT doc_id, chunk_seq, chunk_seq % count(*) OVER (PARTITION BY doc_id) AS x FROM chunks), nt AS (SELECT doc_id, count(*) AS n FROM topics GROUP BY ALL), pl AS (SELECT doc_id, keywords, row_number() OVER (PARTITION BY doc_id ORDER BY topic_id) - 1 AS place FROM topics),
@@ -93,7 +80,9 @@ tt2 AS (SELECT DISTINCT doc_id FROM topics WHERE len(keywords) > 0), ta AS (SELE
 
 @query(f"WITH RECURSIVE {_BASE}, {_T} SELECT doc_id, domain, round(t, 6) AS t FROM ta")
 def q31_topic_affinity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _State(spark, sf_dir).affinity().select("doc_id", "domain", F.round("t", 6).alias("t"))
+    domains = F.broadcast(_SAMPLE.domain_table(spark).select("pos", "domain"))
+    grid = _State(spark, sf_dir).documents.crossJoin(domains)
+    return grid.select("doc_id", "domain", F.round(F.get("ts", F.col("pos")), 6).alias("t"))
 
 
 _MET = "mt AS (SELECT s.*, CASE WHEN len(tokens) > 0 THEN 1.0 ELSE 0.0 END AS ld, CASE WHEN len(tokens) > 0 THEN round(len(list_distinct(tokens)) / CAST(len(tokens) AS DOUBLE), 6) ELSE 0 END AS ttr FROM scores s JOIN chunks USING (doc_id, chunk_seq))"
@@ -102,7 +91,8 @@ _C = "greatest(0.0, least(1.0, 0.30 * {0}cohesion_vs_doc{1} + 0.30 * {0}chunk_he
 
 @query(f"WITH RECURSIVE {_SCORED}, {_MET} SELECT doc_id, round({_C.format('avg(', ')')}, 4) AS c FROM mt GROUP BY doc_id")
 def q32_context_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _State(spark, sf_dir).context().select("doc_id", F.round("c", 4).alias("c"))
+    metrics = C.scores(_chunks(spark, sf_dir), "lexical_density", "type_token_ratio")
+    return X.document_metrics(metrics).select("doc_id", F.round(X.context_score(), 4).alias("c"))
 
 
 @query(f"""WITH tk AS (SELECT doc_id, list_distinct({S.words('text', T.SELECTOR_LETTERS)}) AS toks FROM documents), e AS (SELECT domain, pos, type_name, list(DISTINCT alias) AS al FROM {_SAMPLE.values('entities')} GROUP BY ALL),
@@ -115,29 +105,23 @@ def q33_entity_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.entity_scores(toks, spark, _SAMPLE, ["doc_id"]).withColumn("score", F.round("score", 6))
 
 
-def _doc_ranked(st: _State, keywords: DataFrame) -> DataFrame:
-    k = O.keyword_f1(keywords, st.spark, _SAMPLE, ["doc_id"])
-    e = X.embedding_scores(st.spark, _SAMPLE, st.chunks.select("doc_id", "text"), ["doc_id"], st.lengths)
-    s = k.join(st.affinity(), ["doc_id", "domain"], "left").join(st.context(), "doc_id").join(e, ["doc_id", "domain"], "left")
-    s = s.withColumns({"t": F.coalesce("t", F.lit(0.0)), "e": F.coalesce("e", F.lit(0.0)), "p": F.lit(0.0)})
-    s = s.join(F.broadcast(_SAMPLE.domain_table(st.spark).select("domain", "template")), "domain")
-    return X.ranked(X.fused(s, CONFIG), ["doc_id"])
-
-
 def _doc_selection(spark, sf_dir, st: _State | None = None) -> DataFrame:
     st = st or _State(spark, sf_dir)
-    n = st.chunks.select("doc_id", F.size(T.selector_tokens(F.col("text"))).alias("n")).groupBy("doc_id").agg(F.sum("n").alias("n_tokens"))
-    return X.documents(_doc_ranked(st, _doc_keywords(spark, sf_dir)), n, CONFIG)
+    rows = st.documents.join(_doc_keywords(spark, sf_dir), "doc_id")
+    s = O.keyword_f1(rows, spark, _SAMPLE, ["doc_id", "n_tokens", "c", "ts", "es"])
+    s = s.withColumns({"t": F.get("ts", F.col("pos")), "e": F.get("es", F.col("pos")), "p": F.lit(0.0)}).drop("ts", "es")
+    s = s.join(F.broadcast(_SAMPLE.domain_table(spark).select("domain", "template")), "domain")
+    return X.documents(X.ranked(X.fused(s, CONFIG), ["doc_id"]), None, CONFIG)
 
 
-def _chunk_signals(st: _State, selected: DataFrame) -> DataFrame:
-    return X.chunk_signals(st.spark, _SAMPLE, st.chunks, st.words, st.metrics, selected)
+def _chunk_signals(spark, sf_dir) -> DataFrame:
+    st = _State(spark, sf_dir)
+    return X.chunk_signals(spark, _SAMPLE, st.chunks, _doc_selection(spark, sf_dir, st))
 
 
 def _chunk_selection(spark, sf_dir) -> DataFrame:
-    st = _State(spark, sf_dir)
     keys = ["doc_id", "chunk_seq"]
-    return X.decided(X.ranked(X.fused(_chunk_signals(st, _doc_selection(spark, sf_dir, st)), CONFIG), keys), keys, CONFIG)
+    return X.decided(X.ranked(X.fused(_chunk_signals(spark, sf_dir), CONFIG), keys), keys, CONFIG)
 
 
 _E = f"""av AS (SELECT * FROM {_SAMPLE.values('aliases')}), {S.vectors('av', 'domain, alias', 'alias', 'avv')}, dm AS (SELECT domain, bucket, sum(w) AS m FROM avv GROUP BY ALL),

@@ -107,3 +107,82 @@ def test_metrics_of_a_large_group_keep_no_list_of_its_topics(spark):
     p = np.array(c) / sum(c)
     assert r["entropy_topics"] == pytest.approx(-(p * np.log(p)).sum() / math.log(3000), abs=1e-6)
     assert r["topic_balance"] == pytest.approx(1 - np.std(c) / np.mean(c), abs=1e-6)
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """Names and columns of the tables that selection writes between its steps."""
+    from loomdoc.plans import selectqueries as Q
+
+    seen, plain = [], Q.staged
+    monkeypatch.setattr(Q, "staged", lambda df, name: seen.append(df.columns) or plain(df, name))
+    return seen
+
+
+@pytest.mark.parametrize(("name", "most"), [("q35_chunk_selection", 4), ("q56_evaluated_domains", 5), ("q34_doc_selection", 3), ("q36_explanations", 3), ("q31_topic_affinity", 1), ("q65_selection_summary", 4), ("q37_selector_quality", 5)])
+def test_selection_meets_by_document_and_writes_no_text(spark, data, written, name, most):
+    """Signals were joined by chunk and domain, a shuffle each, and texts and tokens of chunks written and read."""
+    df = catalogue.QUERIES[name](spark, data)
+    assert len(shuffles(df)) <= most
+    assert len(written) == 1 and not {"text", "tokens", "x"} & set(written[0])
+
+
+def test_context_scores_and_run_statistics_shuffle_a_text_once(spark, data, written):
+    assert len(shuffles(catalogue.QUERIES["q32_context_score"](spark, data))) == 2 and not written  # texts, then scores
+    plan = catalogue.QUERIES["q52_chunk_run_stats"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "loomdoc-" not in plan and len(re.findall(r"\bExchange (\w+)", plan.split("== Initial Plan ==")[-1])) == 3
+
+
+def test_cohesion_of_sentences_by_hand(spark):
+    s = spark.createDataFrame([(1, "en", 0, 1, 0, i, i + 1, x) for i, x in enumerate(["red fox runs.", "fox runs home.", "sky."])] + [(2, "en", 0, 1, 0, 0, 1, "alone here.")], "doc_id long, lang string, section_no int, page_number int, block_idx int, sent_idx int, k int, sentence string")
+    want = {1: 0.25, 2: 1.0}  # 2 of 4 words, then none
+    assert {x["doc_id"]: x["intra_cohesion_lex"] for x in C.intra_cohesion(C.packed(s)).collect()} == want
+    assert {x["doc_id"]: x["intra_cohesion_lex"] for x in C.cohesive(C.groups(s)).collect()} == want
+    assert C.packed(s).columns == [*s.columns, "order_in_section", "chunk_seq"]
+
+
+def test_document_signals_equal_affinity_and_products(spark):
+    from loomdoc.operators import ontology as O
+    from loomdoc.operators import select as X
+
+    rows = [(1, 0, ["the", "Un"], "the des und"), (1, 1, [], "que"), (2, 0, [], ""), (3, 0, ["Und", "die"], "die the the")]
+    found = spark.createDataFrame(rows, "doc_id long, chunk_seq int, keywords array<string>, text string").withColumns({"tokens": T.words(F.col("text")), "char_len": F.length("text"), "lexical_density": F.lit(1.0), "type_token_ratio": F.lit(0.5), "n_tokens": F.size(T.words(F.col("text")))})
+    vectors = O.registry_vectors(spark, O.SAMPLE)
+    chunks = C.scores(found, "doc_length", "lexical_density", "type_token_ratio", "n_tokens", "keywords", registry=vectors).withColumn("kw", T.unique_sorted(F.col("keywords")))
+    got = {x["doc_id"]: x for x in X.document_signals(spark, O.SAMPLE, chunks).collect()}
+    topics = found.where("chunk_seq = 0").select("doc_id", "keywords", F.lit(0.0).alias("prob"))
+    names = [d.name for d in O.SAMPLE.domains]
+    for x in X.topic_affinity(spark, O.SAMPLE, chunks, topics).collect():
+        assert got[x["doc_id"]]["ts"][names.index(x["domain"])] == pytest.approx(x["t"], abs=1e-12)
+    lengths = C.likeness(found).groupBy("doc_id").agg(F.first("doc_length").alias("doc_length"))
+    e = {(x["doc_id"], x["domain"]): x["e"] for x in X.embedding_scores(spark, O.SAMPLE, found, ["doc_id"], lengths).collect()}
+    for d, x in got.items():
+        assert [e.get((d, n), 0.0) for n in names] == pytest.approx(x["es"], abs=1e-12)
+    own = {(x["doc_id"], x["chunk_seq"], x["domain"]): x["e"] for x in X.embedding_scores(spark, O.SAMPLE, found, ["doc_id", "chunk_seq"]).collect()}
+    for x in C.products(found.select("doc_id", "chunk_seq", "text"), vectors).collect():
+        assert [own.get((x["doc_id"], x["chunk_seq"], n), 0.0) for n in names] == pytest.approx(x["dots"], abs=1e-12)
+    assert got[1]["n_tokens"] == 4 and got[2]["es"] == [0.0] * len(names)
+
+
+def test_layout_of_a_long_page_in_linear_time(spark):
+    """A page's line numbers were copied for every word of it."""
+    import time
+
+    from loomdoc.operators import blocks as B
+
+    n = 120_000
+    w = spark.range(n).select(F.lit(1).alias("doc_id"), F.lit(1).alias("page_number"), F.col("id").alias("seq"), F.concat(F.lit("w"), F.col("id").cast("string")).alias("text"), (F.floor(F.col("id") / 6) * 12 + F.col("id") % 3).cast("double").alias("top")).withColumn("bottom", F.col("top") + 10)
+    began = time.time()
+    r = B.layout_lines(w).orderBy(F.desc("line")).limit(2).collect()
+    assert time.time() - began < 60
+    assert [(x["line"], x["text"]) for x in r][0] == (n // 6 - 1, " ".join(f"w{i}" for i in range(n - 6, n)))
+
+
+def test_tokens_of_a_documents_chunks_meet_as_lists(spark, data):
+    """Every token of a document was a row of two shuffles."""
+    assert len(shuffles(catalogue.QUERIES["q54_entities_of_chunks"](spark, data))) <= 4
+    from loomdoc.operators import select as X
+
+    words = spark.createDataFrame([(1, ["b", "z"]), (3, ["q"])], "doc_id long, keywords array<string>")
+    chunks = spark.createDataFrame([(1, "A b"), (1, "b c"), (2, "d")], "doc_id long, text string")
+    assert {x["doc_id"]: sorted(x["tokens"]) for x in X.text_and_keywords(words, chunks).collect()} == {1: ["a", "b", "c", "z"], 2: ["d"], 3: ["q"]}
