@@ -238,8 +238,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    n = norm(a)
-    return F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
+    """Of length 1; a zero vector as it is.  The length is a lambda's argument, so that it is taken once, not once an element."""
+    scaled = lambda n: F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
+    return F.get(F.transform(F.array(norm(a)), scaled), F.lit(0))
 
 
 def clamp(c: Column, low: float = 0.0, high: float = 1.0) -> Column:

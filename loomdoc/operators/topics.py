@@ -134,20 +134,139 @@ def _forest(near: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray,
     return np.concatenate([i[r], j[c]]), np.concatenate([i[row[r]], i[column[c]]])
 
 
+#: A document's points are dealt in so many blocks, so that what is sent to tasks (every block to each other's) grows as the points do ...
+BLOCKS = 32
+#: ... unless blocks would hold more than so many points: those of which only links are sought, by tiles, and those of other passes.
+LINKED, DENSE = 16_384, 2_048
+
+
+def _dealt(points: DataFrame, block: int, most: int) -> DataFrame:
+    """points (_d, ...) with g, the number of their document's blocks, and b, the own one."""
+    n = F.col("n")
+    sizes = points.groupBy(F.col("_d").alias("_e")).agg(F.count("*").alias("n"))
+    sizes = sizes.select("_e", F.ceil(n / F.least(F.lit(max(block, most)), F.greatest(F.lit(block), F.ceil(n / BLOCKS)))).cast("int").alias("g"))
+    return points.join(F.broadcast(sizes), F.col("_d").eqNullSafe(F.col("_e"))).drop("_e").withColumn("b", F.pmod(F.xxhash64("_id"), F.col("g")).cast("int"))
+
+
 def _block_pairs(points: DataFrame, block: int) -> DataFrame:
     """Every two blocks of a document's points (_d, _id, _side, _rank, u): d, a, b, x, y, and ids and ranks i, j, s, t of points of
     side 0 and side 1 (both sides: side null)."""
-    n = F.count("*").over(W.partitionBy("_d"))
-    dealt = points.withColumn("b", F.pmod(F.xxhash64("_id"), F.ceil(n / block)).cast("int"))
-    rows = F.array_sort(F.collect_list(F.struct("_id", "_rank", "u")))
-
-    def side(k: int, names: str) -> DataFrame:
-        g = dealt.where(f"_side IS NULL OR _side = {k}").groupBy("_d", "b").agg(rows.alias("r"))
-        d, b, i, s, x = names
-        return g.select(F.col("_d").alias(d), F.col("b").alias(b), F.col("r._id").alias(i), F.col("r._rank").alias(s), F.flatten("r.u").alias(x))
+    dealt = _dealt(points, block, DENSE)
+    rows = F.sort_array(F.collect_list(F.struct("_id", "_rank", "u")))
+
+    def side(k: int, names: str, own: str, other: str) -> DataFrame:
+        g = dealt.where(f"_side IS NULL OR _side = {k}").groupBy("_d", "b").agg(rows.alias("r"), F.first("g").alias("g"))
+        d, i, s, x = names
+        g = g.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+        return g.select(F.col("_d").alias(d), F.col("b").alias(own), F.col("at").alias(other), F.col("r._id").alias(i), F.col("r._rank").alias(s), F.flatten("r.u").alias(x))
+
+    left, right = side(0, "disx", "a", "b"), side(1, "ejty", "f", "c")
+    met = F.col("d").eqNullSafe(F.col("e")) & (F.col("a") == F.col("c")) & (F.col("b") == F.col("f"))
+    return left.join(right, met).select("i", "j", "s", "t", "x", "y")
+
+
+def _least(eps: float) -> float:
+    """The least cosine s for which 1 - s <= eps."""
+    s = 1 - eps
+    while 1 - s > eps:
+        s = np.nextafter(s, 2)
+    while 1 - np.nextafter(s, -2) <= eps:
+        s = np.nextafter(s, -2)
+    return float(s)
+
+
+def _joined(x: np.ndarray, y: np.ndarray | None, own: np.ndarray, other: np.ndarray, least: float, tile: int = 1024) -> list[tuple[int, int]]:
+    """Pairs of components (numbers own of the rows of x, other of those of y; y None: x itself) that points with a cosine of least join, a
+    forest.  Tiles whose points are of one component by then are not multiplied; the rest is in single precision first, and what may reach
+    the least cosine in double."""
+    symmetric = y is None
+    order = np.argsort(own, kind="stable")
+    x, own = x[order], own[order]
+    if symmetric:
+        y, other = x, own
+    else:
+        order = np.argsort(other, kind="stable")
+        y, other = y[order], other[order]
+    x4, y4 = x.astype(np.float32), y.astype(np.float32)
+    root, links = np.arange(max(own.max(initial=-1), other.max(initial=-1)) + 1), []
+    near4 = np.float32(least - 4e-5)
+
+    def find(k: int) -> int:
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(0, len(x), tile):
+        for b in range(a if symmetric else 0, len(y), tile):
+            p, q = root[own[a : a + tile]], root[other[b : b + tile]]
+            if (p == p[0]).all() and (q == p[0]).all():
+                continue
+            s = x4[a : a + tile] @ y4[b : b + tile].T
+            if s.max() < near4:
+                continue
+            i, j = np.nonzero(s >= near4)
+            while len(i):
+                differ = root[p[i]] != root[q[j]]
+                i, j = i[differ], j[differ]
+                if not len(i):
+                    break
+                k, m = i[:16_384], j[:16_384]
+                i, j = i[16_384:], j[16_384:]
+                near = np.einsum("ij,ij->i", x[a + k], y[b + m]) >= least
+                for u, v in set(zip(p[k[near]].tolist(), q[m[near]].tolist(), strict=True)):
+                    f, g = find(u), find(v)
+                    if f != g:
+                        root[max(f, g)] = min(f, g)
+                        links.append((f, g))
+                while not np.array_equal(flat := root[root], root):
+                    root[:] = flat
+    return links
+
+
+def _links_of_points(points: DataFrame, block: int, eps: float) -> DataFrame:
+    """u, v: links that join all points (_d, _id, u) of a document with a cosine distance of eps at most, a forest for each block and
+    each two blocks: first within blocks, then between the components that these have."""
+    least = _least(eps)
+    rows = F.sort_array(F.collect_list(F.struct("_id", "u")))
+    blocks = _dealt(points, block, LINKED).groupBy("_d", "b").agg(rows.alias("r"), F.first("g").alias("g"))
+    blocks = blocks.select("_d", "b", "g", F.col("r._id").alias("i"), F.flatten("r.u").alias("x"))
+
+    def matrix(x, n):
+        return x.values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+
+    def within(batches):
+        for batch in batches:
+            roots = []
+            for i, x in zip(batch.column(3), batch.column(4), strict=True):
+                n = len(i)
+                root = np.arange(n)
+                for f, g in _joined(matrix(x, n), None, np.arange(n), np.arange(n), least):
+                    root[max(f, g)] = min(f, g)
+                while not np.array_equal(flat := root[root], root):
+                    root = flat
+                roots.append(pa.array(root.astype(np.int32)))
+            held = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(r) for r in roots])]).astype(np.int32)), pa.concat_arrays(roots) if roots else pa.array([], pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, held], names=["_d", "b", "g", "i", "x", "root"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocks.schema.fields)
+    blocks = staged(blocks.mapInArrow(within, f"{schema}, root array<int>"), "blocks")
+    own = blocks.select(F.explode(F.arrays_zip("i", F.transform("root", lambda r: F.get("i", r)).alias("v"))).alias("z")).select(F.col("z.i").alias("u"), F.col("z.v").alias("v")).where("u <> v")
+    left = blocks.where("b < g - 1").withColumn("c", F.explode(F.sequence(F.col("b") + 1, F.col("g") - 1)))
+    right = blocks.where("b > 0").select(F.col("_d").alias("e"), F.col("b").alias("f"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("h"), F.col("i").alias("j"), F.col("x").alias("y"), F.col("root").alias("toor"))
+    pairs = left.join(right, F.col("_d").eqNullSafe(F.col("e")) & (F.col("b") == F.col("h")) & (F.col("c") == F.col("f"))).select("i", "j", "x", "y", "root", "toor")
+
+    def between(batches):
+        for batch in batches:
+            u, v = [], []
+            for i, j, x, y, r, t in zip(*batch.columns, strict=True):
+                ids = np.concatenate([i.values.to_numpy(), j.values.to_numpy()])
+                r, t = r.values.to_numpy(), t.values.to_numpy() + len(i)
+                for f, g in _joined(matrix(x, len(i)), matrix(y, len(j)), r, t, least):
+                    u.append(ids[f])
+                    v.append(ids[g])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    left, right = side(0, "daisx"), side(1, "ebjty")
-    return left.join(right, F.col("d").eqNullSafe(F.col("e"))).select("i", "j", "s", "t", "x", "y")
+    return own.union(pairs.mapInArrow(between, "u long, v long"))
 
 
 def _over_blocks(pairs: DataFrame, eps: float, emit, schema: str) -> DataFrame:
@@ -169,9 +288,17 @@ def _over_blocks(pairs: DataFrame, eps: float, emit, schema: str) -> DataFrame:
 def clusters_in_blocks(points: DataFrame, doc: str, key: str, vector: str = "embedding", eps: float = 0.25, min_samples: int = 2, block: int = 512) -> DataFrame:
     """clusters(), for documents of many points: every pair of blocks of a document is one matrix product in a task of its own, which gives
     numbers of neighbours, then links that join its core points (a forest, not all pairs), then the first cluster near
-    every other point; the links' components are the clusters."""
+    every other point; the links' components are the clusters.  With min_samples of 2 a point with any neighbour is core, so the links
+    alone tell all, and pairs of points that others have joined are not compared."""
     u = points.select(F.col(doc).alias("_d"), F.col(key).alias("_k"), T.unit(F.col(vector)).alias("u"), F.lit(None).cast("int").alias("_side"), F.lit(0).cast("long").alias("_rank"))
     u = staged(u.withColumn("_id", F.monotonically_increasing_id()), "points")
+    if min_samples == 2 and eps > 1e-9:  # else a point might not be its own neighbour
+        found = components(_links_of_points(u.select("_d", "_id", "u"), block, eps))
+        named = u.select("_d", "_id", "_k").join(found, F.col("_id") == F.col("node"), "left").select("_d", "_k", F.col("component").alias("c"))
+        first = named.where("c IS NOT NULL").groupBy("_d", "c").agg(F.min("_k").alias("k"))
+        first = first.select(F.col("c").alias("_c"), (F.row_number().over(W.partitionBy("_d").orderBy("k")) - 1).alias("label"))
+        out = named.join(first, F.col("c") == F.col("_c"), "left")
+        return out.select(F.col("_d").alias(doc), F.col("_k").alias(key), F.coalesce("label", F.lit(-1)).cast("int").alias("label"))
     degree = _over_blocks(_block_pairs(u, block), eps, lambda near, i, j, s, t: (i, near.sum(axis=1)), "_id long, n long")
     core = staged(degree.groupBy("_id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_samples).select("_id"), "cores")
     cores = u.join(core, "_id")

@@ -186,3 +186,44 @@ def test_tokens_of_a_documents_chunks_meet_as_lists(spark, data):
     words = spark.createDataFrame([(1, ["b", "z"]), (3, ["q"])], "doc_id long, keywords array<string>")
     chunks = spark.createDataFrame([(1, "A b"), (1, "b c"), (2, "d")], "doc_id long, text string")
     assert {x["doc_id"]: sorted(x["tokens"]) for x in X.text_and_keywords(words, chunks).collect()} == {1: ["a", "b", "c", "z"], 2: ["d"], 3: ["q"]}
+
+
+def test_density_links_join_what_all_pairs_join(spark):
+    """Points as one component by then are not compared; blocks of a document are no more than thirty-two, unless they hold too many points."""
+    r = np.random.default_rng(11)
+    x = np.concatenate([r.standard_normal((500, 6)), r.standard_normal((8, 6)).repeat(30, axis=0) + 0.05 * r.standard_normal((240, 6)), np.zeros((3, 6))])
+    u = np.divide(x, np.linalg.norm(x, axis=1, keepdims=True), out=np.zeros_like(x), where=x.any(axis=1, keepdims=True))
+    for eps in (0.6, 0.1, 0.01):
+        near = 1 - u @ u.T <= eps
+        label = np.arange(len(x))
+        while not np.array_equal(least := np.where(near, label[None, :], len(x)).min(axis=1, where=near, initial=len(x)).clip(max=label), label):
+            label = least
+        for own, other in ((np.arange(len(x)), None), (np.arange(400), np.arange(400, len(x)))):
+            root = np.arange(len(x))
+            parts = P._joined(u, None, own, own, P._least(eps), tile=64) if other is None else P._joined(u[:400], None, own, own, P._least(eps), tile=64) + P._joined(u[400:], None, own := np.arange(len(x) - 400), own, P._least(eps), 64)
+            if other is not None:
+                first = len(P._joined(u[:400], None, np.arange(400), np.arange(400), P._least(eps), tile=64))
+                parts = parts[:first] + [(a + 400, b + 400) for a, b in parts[first:]] + P._joined(u[:400], u[400:], np.arange(400), np.arange(400, len(x)), P._least(eps), tile=64)
+            assert all(near[a, b] or label[a] == label[b] for a, b in parts)
+            for a, b in parts * 30:
+                root[[a, b]] = min(root[a], root[b])
+            for _ in range(len(x)):
+                before = root.copy()
+                for a, b in parts:
+                    root[[a, b]] = min(root[a], root[b])
+                if np.array_equal(before, root):
+                    break
+            assert np.array_equal(root, label)
+
+
+def test_blocks_of_points_grow_in_size_not_in_number(spark):
+    p = spark.range(4000).select(F.lit(None).cast("string").alias("_d"), F.col("id").alias("_id"))
+    assert P._dealt(p, 10, P.LINKED).agg(F.max("g")).first()[0] == 32  # was 400
+    assert P._dealt(p, 10, 50).agg(F.max("g")).first()[0] == 80
+    assert P._dealt(p.limit(5), 10, 50).agg(F.max("g")).first()[0] == 1
+
+
+def test_unit_vectors_take_their_length_once(spark):
+    assert spark.sql("SELECT array(3.0D, 4.0D) a UNION ALL SELECT array(0.0D) UNION ALL SELECT NULL").select(T.unit(F.col("a")).alias("u")).collect() == [([0.6, 0.8],), ([0.0],), (None,)]
+    plan = spark.range(1).select(F.array(F.col("id"), F.col("id")).alias("a")).select(T.unit(F.col("a")).alias("u"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("SQRT") == 1
