@@ -144,6 +144,11 @@ def selector_tokens(c: Column) -> Column:
     return _runs(c, SELECTOR_LETTERS)
 
 
+def selector_token_count(c: Column) -> Column:
+    """Number of selector_tokens()."""
+    return F.regexp_count(F.lower(c), F.lit(f"[{_each(SELECTOR_LETTERS)}]++"))
+
+
 def rough_tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(f"[{_each('A-Za-zÁÉÍÓÚÜÑáéíóúüñ0-9')}]{{2,}}"), F.lit(0))
 

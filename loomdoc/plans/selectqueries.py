@@ -62,7 +62,7 @@ class _State:
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
-        found = _chunks(spark, sf_dir).withColumn("n_tokens", F.size(T.selector_tokens(F.col("text"))))
+        found = _chunks(spark, sf_dir).withColumn("n_tokens", T.selector_token_count(F.col("text")))
         scored = C.scores(found, "doc_length", "lexical_density", "type_token_ratio", "n_tokens", registry=O.registry_vectors(spark, _SAMPLE))
         words = P.topic_of(scored.withColumn("label", F.col("chunk_seq")), P.block_topics(_blocks(spark, sf_dir))).drop("label")
         words = words.withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))

@@ -227,3 +227,11 @@ def test_unit_vectors_take_their_length_once(spark):
     assert spark.sql("SELECT array(3.0D, 4.0D) a UNION ALL SELECT array(0.0D) UNION ALL SELECT NULL").select(T.unit(F.col("a")).alias("u")).collect() == [([0.6, 0.8],), ([0.0],), (None,)]
     plan = spark.range(1).select(F.array(F.col("id"), F.col("id")).alias("a")).select(T.unit(F.col("a")).alias("u"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("SQRT") == 1
+
+
+def test_reasons_are_told_for_the_first_domain_only(spark, data):
+    """They were made for every chunk and domain, and q35 does not ask for them."""
+    q35, q36 = (catalogue.QUERIES[x](spark, data)._jdf.queryExecution().optimizedPlan().toString() for x in ("q35_chunk_selection", "q36_explanations"))
+    assert "format_string" not in q35 and "format_string" in q36
+    r = spark.sql("SELECT 'Ab ñu-3 x_y  ÉL' a UNION ALL SELECT '' UNION ALL SELECT NULL").select(T.selector_token_count(F.col("a")).alias("n"), F.size(T.selector_tokens(F.coalesce("a", F.lit("")))).alias("m")).collect()
+    assert [(x["n"], x["m"]) for x in r] == [(6, 6), (0, 0), (None, 0)]
